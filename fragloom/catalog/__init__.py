@@ -4,5 +4,5 @@ from fragloom.catalog.registry import ORACLE, QUERIES
 
 
 def load():
-    from fragloom.catalog import fragment_queries  # noqa: F401
+    from fragloom.catalog import (fragment_queries, coverage_queries, matrix_queries, cohort_queries, score_queries)  # noqa: F401
     return QUERIES, ORACLE

@@ -216,6 +216,7 @@ def genome(spark, sf_dir) -> DataFrame:
     return (
         chrom_sizes(spark, sf_dir)
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .repartition("chrom", "chunk")  # few contigs, much hashing: spread it
         .select("chrom", "chunk", start.alias("start"),
                 F.least(start + CHUNK, F.col("size")).alias("end"),
                 F.substring(sequence, F.lit(1), (F.col("size") - start).cast("int")).alias("seq")))

@@ -15,15 +15,17 @@ def _sums(x, fit_x, left, radius, k, design):
     for a in range(0, len(fit_x), BLOCK):
         b = min(a + BLOCK, len(fit_x))
         lo, hi = left[a], left[b - 1] + k
-        gap = np.abs(x[lo:hi][None, :] - fit_x[a:b, None])
+        d = x[lo:hi][None, :] - fit_x[a:b, None]
+        np.abs(d, out=d)
         h = radius[a:b, None]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            d = np.where(h > 0, gap / h, np.where(gap > 0, 1.0, 0.0))
+        # A zero radius keeps only the points at the fit point itself.
+        d /= np.where(h > 0, h, np.finfo(float).tiny)
         np.minimum(d, 1.0, out=d)
         w = d * d
         w *= d
         np.subtract(1.0, w, out=w)
-        w **= 3
+        np.multiply(w, w, out=d)
+        w *= d
         out[a:b] = w @ design[lo:hi]
     return out
 

@@ -45,8 +45,11 @@ def _hashed(labelled, params):
     return labelled.withColumn("_hash", key)
 
 
-def _class_size(labelled, value):
-    return labelled.agg(m.count_where(F.col("y") == value)).scalar()
+def _class_sizes(labelled):
+    """Both class sizes from one scalar subquery."""
+    both = labelled.agg(F.struct(*[
+        m.count_where(F.col("y") == y).alias(f"n{y}") for y in (0, 1)])).scalar()
+    return both.getField("n0"), both.getField("n1")
 
 
 def stratified_split(labelled: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -57,7 +60,7 @@ def stratified_split(labelled: DataFrame, params: Params = DEFAULTS) -> DataFram
     order and partitioning. Cohorts with fewer than 8 samples or a class below 2 are
     used for training only.
     """
-    n0, n1 = _class_size(labelled, 0), _class_size(labelled, 1)
+    n0, n1 = _class_sizes(labelled)
     n = n0 + n1
     n_train = n - F.ceil(n * F.lit(params.test_size))
     share0, share1 = n0 * n_train / n, n1 * n_train / n
@@ -75,7 +78,7 @@ def stratified_split(labelled: DataFrame, params: Params = DEFAULTS) -> DataFram
 def kfold(labelled: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Column `fold` (0-based) of a stratified k-fold with k = min(folds, smallest class);
     NULL when the smallest class has fewer than 2 samples."""
-    smallest = F.least(_class_size(labelled, 0), _class_size(labelled, 1))
+    smallest = F.least(*_class_sizes(labelled))
     k = F.least(F.lit(params.folds).cast("long"), smallest)
     ranked = hash_rank(_hashed(labelled, params), ["y"], "_hash", "_rank")
     fold = F.when(k >= 2, (F.col("_rank") - 1) % F.greatest(k, F.lit(2).cast("long")))
@@ -92,15 +95,22 @@ def training_folds(assigned: DataFrame, folds: int) -> DataFrame:
     return assigned.withColumn("fit_fold", F.explode(kept))
 
 
-def feature_medians(rows: DataFrame, groups=("feature_name",), cohort_limit: int = MEDIAN_COHORT_LIMIT,
-                    samples: DataFrame | None = None) -> DataFrame:
+def small_cohort(class_sizes: DataFrame, limit: int = MEDIAN_COHORT_LIMIT) -> bool:
+    """True when no group of (.., y, n_class) rows sums to more samples than `limit`,
+    so that an aggregate may keep all values of one feature."""
+    largest = class_sizes.agg(F.max("n_class")).head()[0]
+    return 2 * (largest or 0) <= limit
+
+
+def feature_medians(rows: DataFrame, groups=("feature_name",),
+                    cohort_limit: int = MEDIAN_COHORT_LIMIT) -> DataFrame:
     """Exact median per feature (and fold) of the non-missing values.
 
     A feature has one value per sample. Up to a counted cohort size the aggregate
     keeps that many values; larger cohorts use the range-wise quantile instead.
     """
     groups = list(groups)
-    cohort = (samples if samples is not None else rows).select("sample_id").distinct()
+    cohort = rows.select("sample_id").distinct()
     if fits_broadcast(cohort, cohort_limit):
         return rows.filter(F.col("value").isNotNull()).groupBy(*groups).agg(F.median("value").alias("fill"))
     return exact_quantiles(rows, "value", {"fill": 0.5}, groups)
@@ -122,17 +132,21 @@ def selection_stats(rows: DataFrame, labelled: DataFrame, groups=("feature_name"
     """
     groups = list(groups)
     folds = [g for g in groups if g != "feature_name"]
-    fills = feature_medians(rows, groups, samples=rows)
     value = F.col("value")
-    stats = rows.groupBy(*groups).agg(*[
+    columns = [
         column for y in (0, 1) for column in (
             F.count(F.when(F.col("y") == y, value)).alias(f"n{y}"),
             F.avg(F.when(F.col("y") == y, value)).alias(f"mean{y}"),
             F.var_pop(F.when(F.col("y") == y, value)).alias(f"var{y}"))
-    ])
+    ]
+    if small_cohort(labelled):
+        stats = rows.groupBy(*groups).agg(*columns, F.median("value").alias("fill"))
+        stats = stats.filter(F.col("fill").isNotNull())
+    else:
+        fills = exact_quantiles(rows, "value", {"fill": 0.5}, groups)
+        stats = rows.groupBy(*groups).agg(*columns).join(fills, groups)
     sizes = labelled.groupBy(*folds).agg(*[
         F.max(F.when(F.col("y") == y, F.col("n_class"))).alias(f"size{y}") for y in (0, 1)])
-    stats = stats.join(fills, groups)
     if folds:
         stats = lookup_join(stats, sizes, folds)
     else:

@@ -1,9 +1,15 @@
 """GC correction of bin coverage per sample."""
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from fragloom.functions import lowess as lowess_module
+from fragloom.functions.lowess import corrected
 from fragloom.params import DEFAULTS, Params
 
+# The kernel travels inside the task, executors need no copy of this package.
+cloudpickle.register_pickle_by_value(lowess_module)
+
 METRICS = ["coverage_total", "coverage_short", "coverage_long"]
 SUFFIX = "_gc_corrected"
 
@@ -14,7 +20,7 @@ def correct_gc(counts: DataFrame, params: Params = DEFAULTS, grid: float | None
     One task handles the bins of one sample, a number fixed by the genome and the bin
     size, not by sequencing depth. Only the key, gc and coverage columns enter Python.
     """
-    frac = params.lowess_frac
+    frac, metrics, suffix = params.lowess_frac, METRICS, SUFFIX
     schema = T.StructType(
         [T.StructField("sample_id", T.StringType()), T.StructField("chrom", T.StringType()),
          T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -25,10 +31,9 @@ def correct_gc(counts: DataFrame, params: Params = DEFAULTS, grid: float | None
     )
 
     def fit(pdf):
-        from fragloom.functions.lowess import corrected
-        values = corrected(pdf[METRICS].to_numpy(), pdf["gc_content"].to_numpy(), frac, grid)
-        for i, metric in enumerate(METRICS):
-            pdf[metric + SUFFIX] = values[:, i]
+        values = corrected(pdf[metrics].to_numpy(), pdf["gc_content"].to_numpy(), frac, grid)
+        for i, metric in enumerate(metrics):
+            pdf[metric + suffix] = values[:, i]
         return pdf
 
     kept = [f for f in schema.fieldNames() if not f.endswith(SUFFIX)]

@@ -18,7 +18,8 @@ def running_totals(levels: DataFrame, value: str, sums, groups=(), parts: int =
     groups, sums = list(groups), list(sums)
     cuts = [i / parts for i in range(1, parts)]
     bounds = levels.agg(F.percentile_approx(value, cuts, F.lit(5000))).scalar()
-    below = F.size(F.filter(bounds, lambda b: b < F.col(value)))
+    # First place of the value among the sorted cuts = number of smaller cuts.
+    below = F.array_position(F.sort_array(F.array_append(bounds, F.col(value))), F.col(value)) - 1
     ranged = levels.withColumn("_range", below)
     order = Window.partitionBy(*groups).orderBy("_range")
     offsets = ranged.groupBy(*groups, "_range").agg(*[F.sum(c).alias(c) for c in sums]).select(

@@ -1,9 +1,15 @@
 """Readers. Every text table has an explicit schema; nothing is inferred."""
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fragloom import schemas as S
 from fragloom.operators.joins import lookup_join
+from fragloom.sources import bgzf
+from fragloom.sources.bgzf import is_blocked, split_text, stream_text
+
+# The block reader travels inside the task, executors need no copy of this package.
+cloudpickle.register_pickle_by_value(bgzf)
 
 BGZ_SPLIT = 32 << 20
 
@@ -45,21 +51,20 @@ def read_bgz_fragments(spark: SparkSession, paths, split_bytes: int = BGZ_SPLIT)
     )
     # Splits are few rows; spread them over tasks by a hash of file and offset.
     splits = splits.repartition("path", "start")
+    names = S.RAW_FRAGMENT.fieldNames()
     schema = T.StructType(S.RAW_FRAGMENT.fields + [T.StructField("path", T.StringType())])
 
     def decode(batches):
         import io
         import pandas as pd
-        from fragloom.sources import bgzf
 
-        names = S.RAW_FRAGMENT.fieldNames()
         kinds = {"chrom": str, "start": "int64", "end": "int64", "mapq": "int64", "strand": str}
         for batch in batches:
             for path, length, start in batch[["path", "length", "start"]].itertuples(index=False):
-                if bgzf.is_blocked(path):
-                    pieces = bgzf.split_text(path, start, start + split_bytes, length)
+                if is_blocked(path):
+                    pieces = split_text(path, start, start + split_bytes, length)
                 elif start == 0:
-                    pieces = bgzf.stream_text(path)
+                    pieces = stream_text(path)
                 else:
                     continue
                 for piece in pieces:
