@@ -4,5 +4,8 @@ from fragloom.catalog.registry import ORACLE, QUERIES
 
 
 def load():
-    from fragloom.catalog import (fragment_queries, coverage_queries, matrix_queries, cohort_queries, score_queries)  # noqa: F401
+    from fragloom.catalog import (  # noqa: F401
+        cohort_queries, coverage_queries, fragment_queries, matrix_queries, model_queries,
+        sample_queries, score_queries, source_queries,
+    )
     return QUERIES, ORACLE

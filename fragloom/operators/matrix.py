@@ -151,13 +151,14 @@ def feature_summary(features: DataFrame) -> DataFrame:
     )
 
 
-def model_vectors(features: DataFrame, index: DataFrame, samples: DataFrame,
+def model_vectors(features: DataFrame, index: DataFrame, samples: DataFrame, fits=(),
                   column: str = "features") -> DataFrame:
     """One dense vector per sample in the order of a model's feature index.
 
     `index` holds (idx, feature_name, fill, scale) and is bounded by the number of
-    selected features. Missing values take the training fill, every value is divided
-    by the training scale.
+    selected features; with columns `fits` it holds one index per fit and the result
+    one vector per sample and fit. Missing values take the training fill, every value
+    is divided by the training scale.
     """
     from pyspark.ml.functions import array_to_vector
 
@@ -166,7 +167,7 @@ def model_vectors(features: DataFrame, index: DataFrame, samples: DataFrame,
     rows = grid.join(values, ["sample_id", "feature_name"], "left")
     cell = F.coalesce("value", "fill", F.lit(0.0)) / F.col("scale")
     return (
-        rows.groupBy("sample_id")
+        rows.groupBy("sample_id", *fits)
         .agg(F.sort_array(F.collect_list(F.struct("idx", cell.alias("v")))).alias("cells"))
-        .select("sample_id", array_to_vector(F.col("cells.v")).alias(column))
+        .select("sample_id", *fits, array_to_vector(F.col("cells.v")).alias(column))
     )

@@ -7,7 +7,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom import constants as C
 from fragloom.functions import labels as lab
@@ -59,79 +59,68 @@ def _classifier(name: str, n: int, seed: int, size: Learner):
                          seed=seed, **common)
 
 
-def feature_indexes(features: DataFrame, training: DataFrame, folds: int, params: Params = DEFAULTS) -> DataFrame:
-    """Selected features of every fit: (fit_fold, idx, feature_name, fill, sd).
+def feature_indexes(features: DataFrame, training: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Selected features of every fit: (fit_fold, idx, feature_name, fill, scale).
 
     `training` holds (sample_id, y, fit_fold), see `cohort.training_folds`. Medians, F
-    values and the top k of all folds come from one grouped pass over the long table.
+    values and the top k of all fits come from one grouped pass over the long table.
+    The scale is the population sd; trees do not depend on it, so all models share it.
     """
     rows = cohort.join_labels(features, training, "fit_fold")
     sizes = training.groupBy("fit_fold", "y").agg(F.count(F.lit(1)).alias("n_class"))
     stats = cohort.selection_stats(rows, sizes, ["fit_fold", "feature_name"])
     best = cohort.select_k_best(cohort.anova_f(stats), params.max_features, ["fit_fold"])
-    from pyspark.sql import Window
-    # At most max_features rows per fold are numbered.
+    # At most max_features rows per fit are numbered.
     idx = F.row_number().over(Window.partitionBy("fit_fold").orderBy("feature_name")) - 1
-    return best.select("fit_fold", idx.alias("idx"), "feature_name", "fill", "sd")
+    scale = F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+    return best.select("fit_fold", idx.alias("idx"), "feature_name", "fill", scale.alias("scale"))
 
 
-def _index_of(indexes: DataFrame, fold: int, scaled: bool) -> DataFrame:
-    scale = F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0) if scaled else F.lit(1.0)
-    return indexes.filter(F.col("fit_fold") == fold).select(
-        "idx", "feature_name", "fill", scale.alias("scale"))
+def fold_vectors(features: DataFrame, indexes: DataFrame, samples: DataFrame) -> DataFrame:
+    """Vectors of all samples for all fits, built once for all candidates:
+    (fit_fold, features) beside the sample columns."""
+    return model_vectors(features, indexes, samples, ["fit_fold"]).join(samples, "sample_id")
 
 
-def _weighted(rows: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(cohort.class_weights(rows).select("y", "weight")), "y")
-
-
-def fit(name: str, features: DataFrame, samples: DataFrame, index: DataFrame,
-        params: Params = DEFAULTS, size: Learner = Learner()) -> Model:
-    """One classifier on the given samples (sample_id, y) and feature index."""
-    vectors = model_vectors(features, index, samples).join(samples.select("sample_id", "y"), "sample_id")
-    train = _weighted(vectors).persist()
+def fit(name: str, vectors: DataFrame, params: Params = DEFAULTS, size: Learner = Learner()):
+    """One classifier on the rows (y, features)."""
+    weights = cohort.class_weights(vectors).select("y", "weight")
+    train = vectors.select("y", "features").join(F.broadcast(weights), "y").persist()
     try:
-        model = _classifier(name, max(train.count(), 1), params.seed, size).fit(train)
+        return _classifier(name, max(train.count(), 1), params.seed, size).fit(train)
     finally:
         train.unpersist()
-    return Model(name, model, index)
-
-
-def score(model: Model, features: DataFrame, samples: DataFrame) -> DataFrame:
-    """(sample_id, probability) of class 1."""
-    vectors = model_vectors(features, model.index, samples)
-    scored = model.classifier.transform(vectors)
-    return scored.select("sample_id", vector_to_array("probability")[1].alias("probability"))
 
 
-def _fold_count(assigned: DataFrame) -> int:
-    return (assigned.agg(F.max("fold")).head()[0] or -1) + 1
+def score(classifier, vectors: DataFrame, *columns) -> DataFrame:
+    """(sample_id, columns..., probability of class 1)."""
+    scored = classifier.transform(vectors)
+    return scored.select("sample_id", *columns, vector_to_array("probability")[1].alias("probability"))
 
 
-def cross_validate(name: str, features: DataFrame, train: DataFrame, indexes: DataFrame, folds: int,
-                   params: Params = DEFAULTS, size: Learner = Learner()) -> DataFrame:
-    """Out-of-fold (sample_id, y, probability); without folds the training fit scores itself."""
+def cross_validate(name: str, vectors: DataFrame, folds: int, params: Params = DEFAULTS,
+                   size: Learner = Learner()) -> DataFrame:
+    """Out-of-fold (sample_id, y, probability) of the training samples in `fold_vectors`;
+    without folds the training fit scores itself."""
     if folds == 0:
-        model = fit(name, features, train, _index_of(indexes, 0, name == "logistic_l2"), params, size)
-        return score(model, features, train).join(train.select("sample_id", "y"), "sample_id")
+        own = vectors.filter(F.col("fit_fold") == 0)
+        return score(fit(name, own, params, size), own, "y")
     parts = []
     for fold in range(folds):
-        index = _index_of(indexes, fold, name == "logistic_l2")
-        model = fit(name, features, train.filter(F.col("fold") != fold), index, params, size)
-        left_out = train.filter(F.col("fold") == fold)
-        parts.append(score(model, features, left_out).join(left_out.select("sample_id", "y"), "sample_id"))
+        of_fit = vectors.filter(F.col("fit_fold") == fold)
+        classifier = fit(name, of_fit.filter(F.col("fold") != fold), params, size)
+        parts.append(score(classifier, of_fit.filter(F.col("fold") == fold), "y"))
     return cohort.fold_union(parts)
 
 
-def evaluate(scored: DataFrame, scope: str) -> tuple[dict, list]:
+def evaluate(scored: DataFrame, scope: str) -> dict:
     """Areas, thresholds and sensitivities of one score table as driver-side facts."""
     area = metrics.areas(scored, "y", "probability").head()
     limits = metrics.thresholds_at_specificity(scored, "y", "probability", SPECIFICITIES)
     found = metrics.sensitivity_at_thresholds(scored, limits, "y", "probability").collect()
     fixed = {str(r["specificity"]): {"threshold": r["threshold"], "sensitivity": r["sensitivity"]} for r in found}
-    block = {"roc_auc": area["roc_auc"], "pr_auc": area["pr_auc"], "fixed_specificity": fixed,
-             "evaluation_scope": scope}
-    return block, found
+    return {"roc_auc": area["roc_auc"], "pr_auc": area["pr_auc"], "fixed_specificity": fixed,
+            "evaluation_scope": scope}
 
 
 @dataclass
@@ -156,20 +145,21 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
     values = cohort.numeric_values(features)
     split = stage(cohort.stratified_split(parsed, params), "split")
     training = stage(cohort.kfold(split.filter(F.col("partition") == "train"), params), "folds")
-    test = split.filter(F.col("partition") == "test")
-    folds = _fold_count(training)
+    folds = (training.agg(F.max("fold")).head()[0] or -1) + 1
     rounds = cohort.training_folds(training, folds).select("sample_id", "y", "fit_fold")
-    indexes = stage(feature_indexes(values, rounds, folds, params), "features")
+    indexes = stage(feature_indexes(values, rounds, params), "features")
     if not indexes.head(1):
         raise ValueError("no usable numeric features for training")
-    selected = lookup_selected(values, indexes)
+    samples = split.join(training.select("sample_id", "fold"), "sample_id", "left")
+    vectors = stage(fold_vectors(values, indexes, samples), "vectors")
+    train_part = vectors.filter(F.col("partition") == "train")
 
     scope = "cross_validated_training_partition" if folds else "resubstituted_training_partition"
     blocks, scores, best, best_auc = {}, {}, None, -1.0
     for name in candidates:
         try:
-            scored = stage(cross_validate(name, selected, training, indexes, folds, params, size), f"cv-{name}")
-            blocks[name], _ = evaluate(scored, scope)
+            scored = stage(cross_validate(name, train_part, folds, params, size), f"cv-{name}")
+            blocks[name] = evaluate(scored, scope)
         except Exception as failure:  # a candidate that cannot be trained is recorded and skipped
             blocks[name] = {"error": str(failure)}
             continue
@@ -179,10 +169,13 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
             best, best_auc = name, auc
     if best is None:
         raise RuntimeError(f"no model trained successfully: {blocks}")
-    model = fit(best, selected, training, _index_of(indexes, folds, best == "logistic_l2"), params, size)
-    model.threshold = blocks[best]["fixed_specificity"]["0.95"]["threshold"]
-    tested = test_predictions(model, selected, test)
-    if test.head(1):
+    final = F.col("fit_fold") == folds
+    index = indexes.filter(final).drop("fit_fold")
+    threshold = blocks[best]["fixed_specificity"]["0.95"]["threshold"]
+    model = Model(best, fit(best, train_part.filter(final), params, size), index, threshold)
+    test = vectors.filter(final & (F.col("partition") == "test"))
+    tested = stage(test_predictions(model, test), "tested")
+    if tested.head(1):
         confusion = metrics.confusion_at_threshold(tested, "y_true", "test_probability", model.threshold).head()
         area = metrics.areas(tested, "y_true", "test_probability").head()
         blocks[best]["heldout_test"] = {
@@ -203,12 +196,6 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
     return Training(model, blocks, metadata, cv_predictions(split, scores[best], model), tested)
 
 
-def lookup_selected(values: DataFrame, indexes: DataFrame) -> DataFrame:
-    """Only the features some fit uses, stored once for all fits."""
-    names = indexes.select("feature_name").distinct()
-    return stage(values.join(names, "feature_name", "left_semi"), "selected")
-
-
 def cv_predictions(split: DataFrame, scored: DataFrame, model: Model) -> DataFrame:
     """Every sample with its partition; test samples have no cross-validated score."""
     joined = split.join(scored.select("sample_id", F.col("probability").alias("cv_probability")), "sample_id", "left")
@@ -219,21 +206,21 @@ def cv_predictions(split: DataFrame, scored: DataFrame, model: Model) -> DataFra
         threshold.alias("threshold_used"), F.lit(model.name).alias("model_name"))
 
 
-def test_predictions(model: Model, features: DataFrame, test: DataFrame) -> DataFrame:
-    """Held-out scores; an empty table when nothing was held out."""
-    scored = score(model, features, test).withColumnRenamed("probability", "test_probability")
+def test_predictions(model: Model, test: DataFrame) -> DataFrame:
+    """Held-out scores from vectors of test samples; empty when nothing was held out."""
     threshold = F.lit(float(model.threshold))
-    return test.join(scored, "sample_id").select(
-        "sample_id", "label", F.col("y").alias("y_true"), "test_probability",
-        lab.classify(F.col("test_probability"), threshold).alias("test_classification"),
+    scored = score(model.classifier, test, "label", "y")
+    return scored.select(
+        "sample_id", "label", F.col("y").alias("y_true"), F.col("probability").alias("test_probability"),
+        lab.classify(F.col("probability"), threshold).alias("test_classification"),
         threshold.alias("threshold_used"), F.lit(model.name).alias("model_name"))
 
 
 def predict(model: Model, features: DataFrame, samples: DataFrame) -> DataFrame:
     """Scores and classes of new samples; features the model does not know are ignored."""
-    scored = score(model, cohort.numeric_values(features), samples)
+    vectors = model_vectors(cohort.numeric_values(features), model.index, samples)
     threshold = F.lit(float(model.threshold))
-    return scored.select(
+    return score(model.classifier, vectors).select(
         "sample_id", F.col("probability").alias("cancer_probability"),
         lab.classify(F.col("probability"), threshold).alias("classification"),
         threshold.alias("threshold_used"), F.lit(C.MODEL_VERSION).alias("model_version"),

@@ -227,7 +227,7 @@ def discover_fragment_urls(json, assembly: str):
         F.filter(texts, lambda s: F.contains(F.lower(s), F.lit(".frag."))
                  & (F.lower(s).endswith(".gz") | F.lower(s).endswith(".bgz"))
                  & ~F.contains(F.lower(s), F.lit("bedgraph")) & ~F.contains(F.lower(s), F.lit("frag_profile"))),
-        t.normalize_download_url)
+        lambda s: t.normalize_download_url(s))
     structured = F.coalesce(structured, F.array().cast("array<string>"))
     return F.array_distinct(F.when(F.size(structured) > 0, structured).otherwise(
         F.coalesce(scanned, F.array().cast("array<string>"))))

@@ -89,8 +89,12 @@ def read_fragments(spark: SparkSession, paths, sample_map: DataFrame) -> DataFra
     gz = [p for p in _paths(paths) if not p.endswith(".bgz")]
     parts = ([read_bgz_fragments(spark, bgz)] if bgz else []) + ([read_gz_fragments(spark, gz)] if gz else [])
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    named = rows.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-    return lookup_join(named, sample_map.select("file_name", "sample_id"), ["file_name"]).select(
+    return name_samples(rows.withColumn("file_name", F.element_at(F.split("path", "/"), -1)), sample_map)
+
+
+def name_samples(rows: DataFrame, sample_map: DataFrame) -> DataFrame:
+    """Sample ids of rows by `file_name`; the sample sheet is a small lookup."""
+    return lookup_join(rows, sample_map.select("file_name", "sample_id"), ["file_name"]).select(
         "sample_id", *S.RAW_FRAGMENT.fieldNames())
 
 
