@@ -7,6 +7,8 @@ DuckDB side of the same definitions.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fragloom.session import shuffle_tasks
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -216,7 +218,8 @@ def genome(spark, sf_dir) -> DataFrame:
     return (
         chrom_sizes(spark, sf_dir)
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .repartition("chrom", "chunk")  # few contigs, much hashing: spread it
+        # Few short rows, much hashing: a stated number of tasks is not merged by size.
+        .repartition(shuffle_tasks(spark), "chrom", "chunk")
         .select("chrom", "chunk", start.alias("start"),
                 F.least(start + CHUNK, F.col("size")).alias("end"),
                 F.substring(sequence, F.lit(1), (F.col("size") - start).cast("int")).alias("seq")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from fragloom.functions import lowess as lowess_module
 from fragloom.functions.lowess import corrected
 from fragloom.params import DEFAULTS, Params
+from fragloom.session import shuffle_tasks
 
 # The kernel travels inside the task, executors need no copy of this package.
 cloudpickle.register_pickle_by_value(lowess_module)
@@ -14,11 +15,14 @@ METRICS = ["coverage_total", "coverage_short", "coverage_long"]
 SUFFIX = "_gc_corrected"
 
 
-def correct_gc(counts: DataFrame, params: Params = DEFAULTS, grid: float | None = None) -> DataFrame:
+def correct_gc(counts: DataFrame, params: Params = DEFAULTS, grid: float | None = None,
+               tasks: int | None = None) -> DataFrame:
     """LOWESS correction: coverage - fit(gc) + median, for the three coverages.
 
     One task handles the bins of one sample, a number fixed by the genome and the bin
     size, not by sequencing depth. Only the key, gc and coverage columns enter Python.
+    A sample is a few megabytes but seconds of work, so the samples are spread over a
+    stated number of tasks (`tasks`, by default the configured shuffle tasks).
     """
     frac, metrics, suffix = params.lowess_frac, METRICS, SUFFIX
     schema = T.StructType(
@@ -37,7 +41,9 @@ def correct_gc(counts: DataFrame, params: Params = DEFAULTS, grid: float | None
         return pdf
 
     kept = [f for f in schema.fieldNames() if not f.endswith(SUFFIX)]
-    return counts.select(*kept).groupBy("sample_id").applyInPandas(fit, schema)
+    tasks = tasks or shuffle_tasks(counts.sparkSession)
+    spread = counts.select(*kept).repartition(tasks, "sample_id")
+    return spread.groupBy("sample_id").applyInPandas(fit, schema)
 
 
 def correct_gc_identity(counts: DataFrame) -> DataFrame:

@@ -44,6 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[key]
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Configured number of shuffle tasks, for steps with little data but much work:
+    a repartition by a stated number is not merged by adaptive execution."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -12,6 +12,7 @@ from fragloom.sources.bgzf import is_blocked, split_text, stream_text
 cloudpickle.register_pickle_by_value(bgzf)
 
 BGZ_SPLIT = 32 << 20
+BGZ_TASKS = 50_000
 
 
 def _paths(paths):
@@ -49,8 +50,11 @@ def read_bgz_fragments(spark: SparkSession, paths, split_bytes: int = BGZ_SPLIT)
         files.filter(F.col("length") > 0)
         .withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)))
     )
-    # Splits are few rows; spread them over tasks by a hash of file and offset.
-    splits = splits.repartition("path", "start")
+    # A split is one short row but much work: a stated number of tasks keeps adaptive
+    # execution from merging them by size.
+    total = files.agg(F.sum("length")).head()[0] or 0
+    tasks = min(max(-(-total // split_bytes), 1), BGZ_TASKS)
+    splits = splits.repartition(tasks, "path", "start")
     names = S.RAW_FRAGMENT.fieldNames()
     schema = T.StructType(S.RAW_FRAGMENT.fields + [T.StructField("path", T.StringType())])
 
