@@ -14,9 +14,17 @@ def con():
     return connect(SF)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name], 1e-9) is None
+    df = entry.queries()[name](spark, SF)
+    plan = plan_of(df)
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "PythonUDF" not in plan and "InPandas" not in plan
+    assert compare(df, con, entry.oracle_sql()[name], 1e-9) is None
 
 
 @pytest.mark.parametrize("name", ["gc_correct_lowess", "arm_feature_group", "model_vectors", "model_cv_logistic"])
@@ -29,19 +37,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_no_nested_loops(spark, name):
-    if name.startswith("stream_"):
-        pytest.skip("streams run when called")
-    plan = plan_of(entry.queries()[name](spark, SF))
-    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    assert "PythonUDF" not in plan and "InPandas" not in plan
-
-
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     from fragloom.catalog.views import fragments
     from fragloom.operators.fragments import filter_mapq
