@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fragloom.catalog import views as v
 from fragloom.catalog.registry import query, rounded
 from fragloom.operators import coverage as cv, gc, regions as rg
+from fragloom.session import stage
 from fragloom.sources.readers import chunk_sequence
 
 BIN = 100_000
@@ -81,19 +82,32 @@ def make_bins_all_contigs(spark, sf):
     return cv.make_bins(sizes, 200, autosomes_only=False)
 
 
-@query("""WITH c AS (SELECT 'doc' || doc_id AS chrom, length(text) AS size,
+def gc_sql(size):
+    return """WITH c AS (SELECT 'doc' || doc_id AS chrom, length(text) AS size,
   translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTNN') AS seq FROM documents),
-sizes AS (SELECT chrom, size FROM c),""" + bins_sql(200, False) + """,
+sizes AS (SELECT chrom, size FROM c),""" + bins_sql(size, False) + """,
 p AS (SELECT b.*, substring(seq, s + 1, e - s) AS piece FROM bins b JOIN c USING (chrom)),
 n AS (SELECT *, length(piece) - length(regexp_replace(piece, '[GCgc]', '', 'g')) AS gc,
              length(piece) - length(regexp_replace(piece, '[ACGTacgt]', '', 'g')) AS acgt FROM p)
 SELECT chrom, s AS start, e AS "end", bin_id, CASE WHEN acgt > 0 THEN gc / acgt ELSE 0.0 END AS gc_content,
-       e - s AS effective_bin_size FROM n""")
-def bin_gc(spark, sf):
+       e - s AS effective_bin_size FROM n"""
+
+
+def document_bins(spark, sf, size):
     contigs = v.document_contigs(spark, sf)
     sizes = contigs.select("chrom", F.length("sequence").cast("long").alias("size"))
-    bins = cv.make_bins(sizes, 200, autosomes_only=False)
-    return cv.annotate_gc(bins, chunk_sequence(contigs, 256))
+    return cv.make_bins(sizes, size, autosomes_only=False), chunk_sequence(contigs, 256)
+
+
+@query(gc_sql(200))
+def bin_gc(spark, sf):
+    return cv.annotate_gc(*document_bins(spark, sf, 200), 200)
+
+
+@query(gc_sql(1500))
+def interval_gc(spark, sf):
+    """The same without knowing that bins are tiles: through the bucketed join."""
+    return cv.annotate_gc(*document_bins(spark, sf, 1500))
 
 
 @query("WITH " + dense_sql() + """
@@ -194,14 +208,6 @@ def chrom_features(spark, sf):
     return rounded(rg.chrom_features(corrected(spark, sf)), "depth", digits=12)
 
 
-PANEL_SQL = ARM_SQL + """,
-panel AS (SELECT arm, avg(depth) AS panel_mean, stddev_samp(depth) AS panel_sd FROM arm_table
-          WHERE CAST(substr(sample_id, 2) AS INT) % 3 <> 0 GROUP BY arm),
-panel_z AS (SELECT sample_id, arm, depth,
-  coalesce(CASE WHEN panel_sd > 0 THEN (depth - panel_mean) / panel_sd END, 0.0) AS z
-  FROM arm_table LEFT JOIN panel USING (arm))"""
-
-
 def panel_z(spark, sf):
     arms = rg.chrom_features(corrected(spark, sf))
     healthy = arms.filter(F.substring("sample_id", 2, 9).cast("int") % 3 != 0)
@@ -310,4 +316,4 @@ windows AS (SELECT sample_id, chrom, (s + e) // 2 - 60 AS ws, (s + e) // 2 + 60
                    'region_' || (rn - 1) AS name FROM first)""" + wps_sql("windows", ""))
 def wps_own_regions(spark, sf):
     fragments = v.fragments(spark, sf)
-    return rg.wps(fragments, rg.wps_default_regions(fragments))
+    return rg.wps(fragments, stage(rg.wps_default_regions(fragments), "regions"))

@@ -6,6 +6,7 @@ from fragloom.catalog import views as v
 from fragloom.catalog.coverage_queries import CORRECTED_SQL, arm_table, corrected
 from fragloom.catalog.registry import query, rounded
 from fragloom.operators import matrix as mx, regions as rg
+from fragloom.session import stage
 from fragloom.sources.readers import split_matrix
 
 NAMED = "'bin_' || translate(bin_id, ':-', '__') || '_"
@@ -67,19 +68,19 @@ def feature_union(spark, sf):
     return feature_groups(spark, sf)
 
 
-# The sheet lists samples in reverse key order, every seventh is missing, some have no features.
+# The sheet lists samples in reverse key order; five samples are not listed, some have no features.
 SHEET_SQL = """
 sheet AS (
-  SELECT 's' || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') AS sample_id, 100 - c_custkey % 60 AS line,
-         CASE WHEN c_custkey % 60 % 3 = 0 THEN 'lung_cancer' ELSE 'control' END AS label,
-         'b' || (c_custkey % 60 % 4) AS batch
-  FROM customer WHERE c_custkey % 60 % 7 <> 0 GROUP BY ALL)"""
+  SELECT 's' || lpad(CAST(c_custkey % 50 + 5 AS VARCHAR), 2, '0') AS sample_id, 100 - c_custkey % 50 AS line,
+         CASE WHEN c_custkey % 50 % 3 = 0 THEN 'lung_cancer' ELSE 'control' END AS label,
+         'b' || (c_custkey % 50 % 4) AS batch
+  FROM customer GROUP BY ALL)"""
 
 
 def sheet(spark, sf):
-    key = F.col("c_custkey") % 60
-    return v.table(spark, sf, "customer").filter(key % 7 != 0).select(
-        F.concat(F.lit("s"), F.lpad(key.cast("string"), 2, "0")).alias("sample_id"), (100 - key).alias("line"),
+    key = F.col("c_custkey") % 50
+    return v.table(spark, sf, "customer").select(
+        F.concat(F.lit("s"), F.lpad((key + 5).cast("string"), 2, "0")).alias("sample_id"), (100 - key).alias("line"),
         F.when(key % 3 == 0, "lung_cancer").otherwise("control").alias("label"),
         F.concat(F.lit("b"), (key % 4).cast("string")).alias("batch")).distinct()
 
@@ -91,27 +92,21 @@ def feature_metadata_join(spark, sf):
     return mx.attach_metadata(feature_groups(spark, sf), sheet(spark, sf))
 
 
-@query("WITH " + GROUPS_SQL + """
-SELECT sample_id, max(value) FILTER (feature_name = 'frag_1') AS frag_1,
-       max(value) FILTER (feature_name = 'frag_MT') AS "frag_MT", max(value) FILTER (feature_name = 'frag_X') AS "frag_X",
-       max(value) FILTER (feature_name = 'mito_fraction') AS mito_fraction,
-       max(value) FILTER (feature_name = 'mito_reads') AS mito_reads
-FROM feats GROUP BY sample_id""")
+WIDE_COLUMNS = ", ".join(
+    f"max(value) FILTER (feature_name = '{name}') AS \"{name}\""
+    for name in [f"frag_{c}" for c in [*range(1, 23), "X", "MT"]] + ["mito_fraction", "mito_reads"])
+
+
+@query("WITH " + GROUPS_SQL + f" SELECT sample_id, {WIDE_COLUMNS} FROM feats GROUP BY sample_id")
 def feature_pivot(spark, sf):
-    wanted = feature_groups(spark, sf).filter(
-        F.col("feature_name").isin("frag_1", "frag_MT", "frag_X", "mito_fraction", "mito_reads"))
-    return mx.pivot_features(wanted)
+    return mx.pivot_features(feature_groups(spark, sf))
 
 
-@query("WITH " + GROUPS_SQL + "," + SHEET_SQL + """
-SELECT sample_id, label, batch,
-       max(value) FILTER (feature_name = 'mito_fraction') AS mito_fraction,
-       max(value) FILTER (feature_name = 'mito_reads') AS mito_reads
-FROM feats LEFT JOIN sheet USING (sample_id) GROUP BY ALL""")
+@query("WITH " + GROUPS_SQL + "," + SHEET_SQL + f"""
+SELECT sample_id, label, batch, {WIDE_COLUMNS} FROM feats LEFT JOIN sheet USING (sample_id) GROUP BY ALL""")
 def wide_matrix(spark, sf):
-    features = feature_groups(spark, sf)
-    meta = mx.attach_metadata(features, sheet(spark, sf))
-    return mx.wide_matrix(features.filter(F.col("feature_name").startswith("mito_")), meta)
+    features = stage(feature_groups(spark, sf), "groups")
+    return mx.wide_matrix(features, mx.attach_metadata(features, sheet(spark, sf)))
 
 
 @query("WITH " + PLAIN_SQL + """,

@@ -98,7 +98,7 @@ PRED_SQL = v.SCORED + """,
 pred AS (SELECT sample_id, cancer_probability, CASE WHEN cancer_probability > 0.7 THEN 'elevated_fragmentome_score'
            WHEN cancer_probability <= 0.7 THEN 'lower_fragmentome_score' END AS classification
          FROM (SELECT sample_id, CASE WHEN sample_id LIKE '%9' THEN NULL ELSE cancer_probability END AS cancer_probability FROM scored)),
-meta AS (SELECT sample_id, label, "partition" AS batch FROM scored WHERE sample_id NOT LIKE '%5'),
+meta AS (SELECT sample_id, label, "partition" AS batch FROM scored WHERE label IS NOT NULL),
 j AS (SELECT p.sample_id, m.label, m.batch, p.cancer_probability, p.classification FROM pred p LEFT JOIN meta m USING (sample_id))"""
 
 
@@ -109,7 +109,7 @@ def predictions(spark, sf):
 
 
 def metadata(spark, sf):
-    return v.scored(spark, sf).filter(~F.col("sample_id").endswith("5")).select(
+    return v.scored(spark, sf).filter(F.col("label").isNotNull()).select(
         "sample_id", "label", F.col("partition").alias("batch"))
 
 

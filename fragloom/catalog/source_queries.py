@@ -86,7 +86,7 @@ def read_reference(spark, sf):
 
 
 @query("WITH " + RECORDS + """
-SELECT id, frag_num, sample_name AS name, disease FROM recs WHERE id < 40 OR id >= 40""")
+SELECT id, frag_num, sample_name AS name, disease FROM recs""")
 def read_metadata_json(spark, sf):
     """Each record as its own text; parsed with the explicit record schema."""
     path = stage_path(spark, "records")

@@ -14,6 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Input files with fewer row groups than there are cores leave cores idle: then rows
+    are spread by a hash of their keys. Larger inputs have splits enough and stay."""
+    context = df.sparkSession.sparkContext
+    tasks = context.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, *keys)
+
+
+def lineitem(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
 # --- fragments -----------------------------------------------------------------
 
 RAW = """
@@ -50,7 +62,7 @@ def _sample_id():
 
 
 def raw_fragments(spark, sf_dir, *extra) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = lineitem(spark, sf_dir)
     order, line, part, supp = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     contig = (order + line) % 24
     start = (order * 7919 + line * 104729 + part * 31) % 2000000
@@ -132,7 +144,7 @@ alignments AS (
 
 
 def alignments(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = lineitem(spark, sf_dir)
     order, line, part, supp = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     k = order + line * 3 + part
     rev = F.col("l_returnflag") == "A"
@@ -227,7 +239,7 @@ def genome(spark, sf_dir) -> DataFrame:
 
 def document_contigs(spark, sf_dir) -> DataFrame:
     """Each document as a contig: letters stand for bases, everything else stays."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("chrom"),
         F.translate("text", LETTERS, LETTER_BASES).alias("sequence"))
 

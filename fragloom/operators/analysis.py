@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from fragloom import constants as C
 from fragloom.functions import labels as lab
 from fragloom.operators import metrics
+from fragloom.operators.joins import lookup_join
+from fragloom.operators.ranking import running_totals
 
 EVALUATION_COLUMNS = [c for c in C.META_COLUMNS if c != "sample_id"]
 
@@ -21,15 +23,10 @@ def ranked_predictions(df: DataFrame, score: str = "cancer_probability") -> Data
     The rank counts the rows with a higher score through running totals over distinct
     scores, and the order is a range-partitioned sort: no task sees the whole table.
     """
-    counts = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    from fragloom.operators.ranking import running_totals
-    placed = running_totals(counts, "_score", ["_n"])
-    ranks = placed.select("_score", (F.col("_n_total") - F.col("_n_before") - F.col("_n") + 1).alias("rank"))
-    return (
-        df.join(ranks, F.col(score) == F.col("_score"), "left").drop("_score")
-        .orderBy(F.col(score).desc_nulls_last(), "sample_id")
-    )
+    counts = df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_totals(counts, score, ["_n"])
+    ranks = placed.select(score, (F.col("_n_total") - F.col("_n_before") - F.col("_n") + 1).alias("rank"))
+    return lookup_join(df, ranks, [score], "left").orderBy(F.col(score).desc_nulls_last(), "sample_id")
 
 
 def classification_counts(df: DataFrame) -> DataFrame:

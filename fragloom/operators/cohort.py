@@ -5,7 +5,7 @@ import functools
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import labels as lab, measures as m
-from fragloom.operators.joins import fits_broadcast, lookup_join
+from fragloom.operators.joins import fits_broadcast, lookup_join, top_rows_per_group
 from fragloom.operators.ranking import exact_quantiles, hash_rank
 from fragloom.params import DEFAULTS, Params
 
@@ -184,7 +184,6 @@ def select_k_best(scored: DataFrame, k: int, groups=()) -> DataFrame:
     """The k features with the highest F; NULL ranks last, ties go to the later name."""
     order = [F.col("f_value").desc_nulls_last(), F.col("feature_name").desc()]
     if groups:
-        from fragloom.operators.joins import top_rows_per_group
         return top_rows_per_group(scored, list(groups), order, k)
     return scored.orderBy(*order).limit(k)
 

@@ -20,13 +20,17 @@ def make_bins(sizes: DataFrame, bin_size: int, autosomes_only: bool = True) -> D
         contigs.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, step)))
         .withColumn("end", end)
         .filter(F.col("end") - F.col("start") >= bin_size * 0.5)
-        .select("chrom", "start", "end",
-                F.concat("chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"),
-                         F.col("end").cast("string")).alias("bin_id"))
+        .select("chrom", "start", "end", tile_id().alias("bin_id"))
     )
 
 
-def annotate_gc(bins: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+def tile_id():
+    """`chrom:start-end`."""
+    return F.concat("chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string"))
+
+
+def annotate_gc(bins: DataFrame, reference: DataFrame | None = None,
+                bin_size: int | None = None) -> DataFrame:
     """Add gc_content and effective_bin_size.
 
     `reference` holds chunks (chrom, start, end, seq) with `seq` from start on, possibly
@@ -37,18 +41,27 @@ def annotate_gc(bins: DataFrame, reference: DataFrame | None = None) -> DataFram
     sized = bins.withColumn("effective_bin_size", F.col("end") - F.col("start"))
     if reference is None:
         return _ordered_bins(sized.withColumn("gc_content", F.lit(0.5)))
-    spans = bins.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    chunks = reference.select("chrom", "start", "end", "seq")
+    if bin_size:
+        step = F.lit(bin_size).cast("long")
+        tile = F.sequence(m.long_div(F.col("start"), bin_size) * step,
+                          m.long_div(F.col("end") - 1, bin_size) * step, step)
+        pieces = chunks.withColumn("r_start", F.explode(tile)).withColumn("r_end", F.col("r_start") + step)
+        keys = ["chrom", "start"]
+    else:
+        spans = bins.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end")).distinct()
+        pieces = overlap_join(chunks, spans)
+        keys = ["chrom", "start", "end"]
     low, high = F.greatest("start", "r_start"), F.least("end", "r_end")
     piece = F.upper(F.substring("seq", low - F.col("start") + 1, high - low))
     kept = F.length(piece)
     counted = (
-        overlap_join(reference.select("chrom", "start", "end", "seq"), spans)
-        .select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"),
-                (kept - F.length(F.translate(piece, "GC", ""))).alias("gc"),
-                (kept - F.length(F.translate(piece, "ACGT", ""))).alias("acgt"))
-        .groupBy("chrom", "start", "end").agg(F.sum("gc").alias("gc"), F.sum("acgt").alias("acgt"))
+        pieces.select("chrom", F.col("r_start").alias("start"), F.col("r_end").alias("end"),
+                      (kept - F.length(F.translate(piece, "GC", ""))).alias("gc"),
+                      (kept - F.length(F.translate(piece, "ACGT", ""))).alias("acgt"))
+        .groupBy(*keys).agg(F.sum("gc").alias("gc"), F.sum("acgt").alias("acgt"))
     )
-    joined = sized.join(counted, ["chrom", "start", "end"], "left")
+    joined = sized.join(counted, keys, "left")
     uncovered = joined.agg(m.count_where(F.col("acgt").isNull()).alias("n")).scalar()
     gc = F.when(uncovered > 0, 0.5).otherwise(m.share(F.col("gc"), F.col("acgt")))
     return _ordered_bins(joined.withColumn("gc_content", gc))
@@ -120,8 +133,9 @@ def dense_bin_counts(fragments: DataFrame, bins: DataFrame, samples: DataFrame,
                      bin_size: int | None = None, params: Params = DEFAULTS) -> DataFrame:
     """All 16 count columns for every sample and bin, zeros where nothing falls.
 
-    `bins` comes from `annotate_gc`. `bin_size` says that bins are tiles of that size,
-    then a fragment finds its bins by arithmetic and no join touches the fragments.
+    `bins` comes from `annotate_gc`. `bin_size` says that bins are tiles of that size from
+    `make_bins`, then a fragment finds its bins by arithmetic and no join touches the
+    fragments.
     Fragments are first reduced to counts per length. Grid rows then enter the same
     aggregate as the counts, which fills zeros and drops fragments outside the bins
     without a join. Lengths are clipped before the exact median, so a group keeps at
@@ -131,14 +145,18 @@ def dense_bin_counts(fragments: DataFrame, bins: DataFrame, samples: DataFrame,
         samples.select("sample_id"),
         bins.select("chrom", "start", "end", "bin_id", "gc_content", "effective_bin_size"),
     )
+    # A tile is named by its place, so no text travels through the aggregate.
     keys = ["sample_id", "chrom", "start"] if bin_size else ["sample_id", "chrom", "start", "end"]
+    carried = ["end", "gc_content", "effective_bin_size"] if bin_size else [
+        "bin_id", "gc_content", "effective_bin_size"]
     hits = _length_counts(fragment_hits(fragments, bins, bin_size), keys)
-    rows = grid.unionByName(hits, allowMissingColumns=True)
-    carried = [c for c in ("end", "bin_id", "gc_content", "effective_bin_size") if c not in keys]
+    rows = grid.select(*keys, *carried).unionByName(hits, allowMissingColumns=True)
     counted = (
         rows.groupBy(*keys).agg(*_count_columns(params), *[F.max(c).alias(c) for c in carried])
-        .filter(F.col("bin_id").isNotNull())
+        .filter(F.col("effective_bin_size").isNotNull())
     )
+    if bin_size:
+        counted = counted.withColumn("bin_id", tile_id())
     size = F.greatest("effective_bin_size", F.lit(1))
     total, short, long = (F.col(c) for c in ("n_total_fragments", "n_short_100_150", "n_long_151_220"))
     return counted.select(

@@ -4,15 +4,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from fragloom.operators.joins import lookup_join
 
-# Bucket widths. A left interval uses the smallest width that is not shorter than it.
-WIDTHS = [1 << 14, 1 << 20, 1 << 26, 1 << 32]
+# Bucket widths. A left interval uses the smallest width that is not shorter than it;
+# the last width covers every coordinate.
+WIDTHS = (1 << 14, 1 << 20, 1 << 26, 1 << 32)
+# For left intervals and right intervals of a few hundred bases.
+NARROW_WIDTHS = (1 << 9, 1 << 14, 1 << 20, 1 << 26, 1 << 32)
 
 
-def _width(length):
-    out = F.when(length <= WIDTHS[0], F.lit(WIDTHS[0]))
-    for width in WIDTHS[1:-1]:
+def _width(length, widths):
+    out = F.when(length <= widths[0], F.lit(widths[0]))
+    for width in widths[1:-1]:
         out = out.when(length <= width, F.lit(width))
-    return out.otherwise(F.lit(WIDTHS[-1]))
+    return out.otherwise(F.lit(widths[-1])).cast("long")
 
 
 def _bucket(position, width):
@@ -20,7 +23,7 @@ def _bucket(position, width):
 
 
 def overlap_join(left: DataFrame, right: DataFrame, how="inner", keys=("chrom",),
-                 left_span=("start", "end"), right_span=("r_start", "r_end"), **options):
+                 left_span=("start", "end"), right_span=("r_start", "r_end"), widths=WIDTHS, **options):
     """Join rows whose half-open intervals overlap:
     left.start < right.end and left.end > right.start.
 
@@ -28,16 +31,17 @@ def overlap_join(left: DataFrame, right: DataFrame, how="inner", keys=("chrom",)
     repeated for each bucket in which an overlapping left row of that width can
     start. So left rows are never copied, pairs never repeat, interval lengths have
     no cap, and `left_anti` / `left_semi` work unchanged. The repeated right side is
-    broadcast only below a counted row limit, beyond it the join is salted.
+    broadcast only below a counted row limit, beyond it the join is salted. `widths`
+    balances copies of the right side against candidates per bucket.
     """
     ls, le = (F.col(f"`{c}`") for c in left_span)
     rs, re_ = (F.col(f"`{c}`") for c in right_span)
     left_b = (
-        left.withColumn("_width", _width(le - ls))
+        left.withColumn("_width", _width(le - ls, widths))
         .withColumn("_bucket", _bucket(ls, F.col("_width")))
     )
     right_b = (
-        right.withColumn("_width", F.explode(F.array(*[F.lit(w) for w in WIDTHS])))
+        right.withColumn("_width", F.explode(F.array(*[F.lit(w).cast("long") for w in widths])))
         .withColumn("_first", _bucket(rs - F.col("_width") + 1, F.col("_width")))
         .withColumn("_last", _bucket(re_ - 1, F.col("_width")))
         .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))

@@ -1,4 +1,4 @@
-"""Threshold, ROC, precision-recall and score summaries as joins and window SQL.
+"""Threshold, ROC, precision-recall and score summaries.
 
 All functions take one row per scored sample with a 0/1 truth column and a score.
 `groups` computes the same per group (for example per partition or model) at once.
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fragloom.constants import ELEVATED
 from fragloom.functions import labels as lab, measures as m
+from fragloom.operators.joins import lookup_join
 from fragloom.operators.ranking import exact_quantiles, running_totals
 
 
@@ -114,7 +115,7 @@ def sensitivity_at_thresholds(df: DataFrame, thresholds: DataFrame, truth: str,
         F.sort_array(F.collect_list(F.struct("specificity", "threshold"))).alias("limits"))
     rows = df.filter(F.col(score).isNotNull())
     if groups:
-        joined = rows.join(limits, groups)
+        joined = lookup_join(rows, limits, groups)
     else:
         joined = rows.withColumn("limits", limits.select("limits").scalar())
     positive = F.col(truth) == 1

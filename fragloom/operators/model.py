@@ -1,7 +1,9 @@
 """Baseline classifiers with selection inside the folds, thresholds and predictions."""
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
     RandomForestClassificationModel, RandomForestClassifier,
@@ -105,12 +107,15 @@ def cross_validate(name: str, vectors: DataFrame, folds: int, params: Params = D
     if folds == 0:
         own = vectors.filter(F.col("fit_fold") == 0)
         return score(fit(name, own, params, size), own, "y")
-    parts = []
-    for fold in range(folds):
+
+    def one(fold):
         of_fit = vectors.filter(F.col("fit_fold") == fold)
         classifier = fit(name, of_fit.filter(F.col("fold") != fold), params, size)
-        parts.append(score(classifier, of_fit.filter(F.col("fold") == fold), "y"))
-    return cohort.fold_union(parts)
+        return score(classifier, of_fit.filter(F.col("fold") == fold), "y")
+
+    # The folds are independent small jobs; driver threads only submit them together.
+    with ThreadPool(folds) as pool:
+        return cohort.fold_union(pool.map(inheritable_thread_target(vectors.sparkSession)(one), range(folds)))
 
 
 def evaluate(scored: DataFrame, scope: str) -> dict:
@@ -142,7 +147,7 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
     """
     parsed = cohort.parse_labels(labelled.select("sample_id", "label"))
     cohort.require_two_classes(parsed)
-    values = cohort.numeric_values(features)
+    values = stage(cohort.numeric_values(features), "values")
     split = stage(cohort.stratified_split(parsed, params), "split")
     training = stage(cohort.kfold(split.filter(F.col("partition") == "train"), params), "folds")
     folds = (training.agg(F.max("fold")).head()[0] or -1) + 1

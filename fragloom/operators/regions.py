@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import chrom as chrom_fn, measures as m
-from fragloom.operators.intervals import overlap_join
+from fragloom.operators.intervals import NARROW_WIDTHS, overlap_join
 from fragloom.operators.joins import lookup_join, product_rows, top_rows_per_group
 from fragloom.params import DEFAULTS, Params
 
@@ -60,15 +60,24 @@ def with_panel_z(arm_table: DataFrame, panel: DataFrame) -> DataFrame:
 
 
 def arm_long(arm_table: DataFrame) -> DataFrame:
-    """Arm table as long features, with the aneuploidy score."""
-    depth = arm_table.select("sample_id", F.concat("arm", F.lit("_gc_corrected_depth")).alias("feature_name"),
-                             F.col("depth").alias("value"))
-    z = arm_table.select("sample_id", F.concat("arm", F.lit("_z")).alias("feature_name"),
-                         F.col("z").alias("value"))
-    score = aneuploidy_score(arm_table).select(
-        "sample_id", F.lit("plasma_aneuploidy_score").alias("feature_name"),
-        F.col("plasma_aneuploidy_score").alias("value"))
-    return depth.unionByName(z).unionByName(score)
+    """Arm table as long features, with the aneuploidy score, in one pass.
+
+    The window holds the arms of one sample; its first arm also emits the score.
+    """
+    sample = Window.partitionBy("sample_id")
+    score = F.coalesce(F.avg(F.abs("z")).over(sample), F.lit(0.0))
+    first = F.row_number().over(sample.orderBy("arm")) == 1
+
+    def cell(name, value):
+        return F.struct(name.alias("feature_name"), value.alias("value"))
+
+    scored = arm_table.withColumns({"_score": score, "_first": first})
+    cells = F.array_compact(F.array(
+        cell(F.concat("arm", F.lit("_gc_corrected_depth")), F.col("depth")),
+        cell(F.concat("arm", F.lit("_z")), F.col("z")),
+        F.when(F.col("_first"), cell(F.lit("plasma_aneuploidy_score"), F.col("_score")))))
+    return scored.select("sample_id", F.explode(cells).alias("c")).select(
+        "sample_id", "c.feature_name", "c.value")
 
 
 def mito_features(reads: DataFrame, column: str = "chrom") -> DataFrame:
@@ -183,7 +192,8 @@ def wps(fragments: DataFrame, regions: DataFrame, samples: DataFrame | None = No
         F.col("w_start").alias("r_start"), (F.col("w_end") + 1).alias("r_end"))
     rows = fragments.select("sample_id", "chrom", F.col("start").alias("f_start"),
                             (F.col("end") + 1).alias("f_end"))
-    hits = overlap_join(rows, spans, keys=keys, left_span=("f_start", "f_end"))
+    hits = overlap_join(rows, spans, keys=keys, left_span=("f_start", "f_end"),
+                        widths=NARROW_WIDTHS)
     start, end = F.col("f_start"), F.col("f_end") - 1
     low, high = F.col("w_start"), F.col("w_end")
     spanning = (start <= low) & (end >= high)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fragloom import constants as C
 from fragloom.functions import measures as m, text as t
+from fragloom.operators.joins import lookup_join
 from fragloom.schemas import METADATA_RECORD
 
 FRAGMENT_INPUT = "finaledb_fragments"
@@ -53,7 +54,7 @@ def mark_repeats(sheet: DataFrame) -> DataFrame:
         keyed.groupBy("_sid").agg(F.min("line").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1).drop("_n")
     )
-    return keyed.join(first, "_sid", "left").withColumn(
+    return lookup_join(keyed, first, ["_sid"], "left").withColumn(
         "is_duplicate", F.coalesce(F.col("line") > F.col("_first"), F.lit(False))
     ).drop("_sid", "_first")
 

@@ -1,7 +1,7 @@
 """Readers. Every text table has an explicit schema; nothing is inferred."""
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fragloom import schemas as S
 from fragloom.operators.joins import lookup_join
@@ -107,7 +107,9 @@ def read_fragment_parquet(spark: SparkSession, path: str) -> DataFrame:
     (or `<sample>.parquet`) per sample, whose name then gives the id."""
     df = spark.read.parquet(path)
     if "sample_id" in df.columns:
-        return df.withColumn("sample_id", F.col("sample_id").cast("string"))
+        # Ids are text also where folder names look like numbers ("007").
+        fields = [T.StructField(f.name, T.StringType() if f.name == "sample_id" else f.dataType) for f in df.schema]
+        return spark.read.schema(T.StructType(fields)).parquet(path)
     stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.fragments)?\.parquet(/[^/]*)?$", 1)
     return df.withColumn("sample_id", stem)
 
@@ -127,8 +129,6 @@ def with_line_numbers(df: DataFrame, name: str = "line", first: int = 2) -> Data
     Rows are numbered inside their file split; the sizes of the splits before are added.
     Only one number per split leaves the scan.
     """
-    from pyspark.sql import Window
-
     numbered = df.withColumn("_id", F.monotonically_increasing_id())
     split = F.shiftright("_id", 33)
     sizes = numbered.groupBy(split.alias("_split")).agg(F.count(F.lit(1)).alias("_n"))

@@ -148,3 +148,11 @@ def test_json_summary(spark, tmp_path):
     facts = wr.read_json_metadata(spark, str(tmp_path / "run"))
     assert facts["sample_count"] == 3 and facts["input_counts"]["bam"] == 1 and facts["assembly"] == "hg38"
     assert "created_utc" in facts
+
+
+def test_numeric_looking_ids_stay_text(spark, tmp_path, fragments):
+    from pyspark.sql import functions as F
+    df = fragments.withColumn("sample_id", F.lit("007")).withColumn("is_short", F.lit(True)).withColumn("is_long", F.lit(False))
+    wr.write_fragments(df, str(tmp_path / "t"), cluster=True)
+    back = rd.read_fragment_parquet(spark, str(tmp_path / "t"))
+    assert {r[0] for r in back.select("sample_id").collect()} == {"007"} and back.count() == 4
