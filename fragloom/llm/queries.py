@@ -24,3 +24,21 @@ def op2_ngram_jaccard_join(spark, sf_dir):
     """Components of all documents by 4-word shingles at a similarity of 0.85."""
     from .ngram_join import jaccard_join
     return jaccard_join(table(spark, sf_dir, "documents"), 4, (85, 100))
+
+
+@query()
+def op8_bpe_encoding(spark, sf_dir):
+    """Digests of the ids of every whole text and of the text that the ids give back."""
+    import public_tokenizers
+
+    from .encoding import encoded_digests
+    return encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op9_token_counts(spark, sf_dir):
+    """Bytes and tokens of every whole text."""
+    import public_tokenizers
+
+    from .token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
