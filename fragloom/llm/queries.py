@@ -42,3 +42,11 @@ def op9_token_counts(spark, sf_dir):
 
     from .token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op10_suffix_dedup(spark, sf_dir):
+    """Repeated 100-byte passages of all documents and what is left without them."""
+    from .suffix_dedup import repeated_passages
+    return repeated_passages(table(spark, sf_dir, "documents")).selectExpr(
+        "row.doc_id AS doc_id", "n_bytes", "n_removed", "CAST(size(spans) AS LONG) AS n_spans", "kept_sha256")
