@@ -68,3 +68,18 @@ def op6_chat_formatting(spark, sf_dir):
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text"))
     return conversation_digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added))
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    """Toxicity of every whole text."""
+    from .toxicity import toxicity_scores
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_quality(spark, sf_dir):
+    """Quality of every whole text."""
+    from .quality import quality_scores
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "held_out", "score", "predicted")

@@ -16,6 +16,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = _random.integers(1, 2**64, 16, dtype=np.uint64, endpoint=False) | np.uint64(1)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes that are neither letters nor digits nor part of a character beyond ASCII.
+IS_SIGN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(h):
@@ -45,14 +47,14 @@ def pieces(bounds: np.ndarray, most: int = PIECE_BYTES):
         first = min(last, n)
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray):
-    """Starts and ends of all words, and for each text the bounds of its words."""
+def word_spans(data: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = IS_SPACE):
+    """Starts and ends of all words, and for each text the bounds of its words; `gaps` part words."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
     cut = np.zeros(n + 1, bool)
     cut[bounds] = True
-    ink = ~IS_SPACE[data]
+    ink = ~gaps[data]
     first = ink.copy()
     first[1:] &= ~ink[:-1] | cut[1:n]
     last = ink.copy()
