@@ -83,3 +83,17 @@ def op7_quality(spark, sf_dir):
     from .quality import quality_scores
     scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op1_nearest_neighbours(spark, sf_dir):
+    """The ten nearest found for every hundredth vector among all others."""
+    from .neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op4_embedding_near_dedup(spark, sf_dir):
+    """Links and components of all vectors with one label at a cosine of 0.98."""
+    from .embedding_dedup import near_copies
+    return near_copies(table(spark, sf_dir, "embeddings"))
