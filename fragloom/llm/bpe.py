@@ -123,7 +123,7 @@ class Vocabulary:
 class Cache:
     """Ids of words met so far in this process, encoded once; emptied when it is full."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 150_000):
         self.vocabulary, self.most = vocabulary, most
         self.clear()
 

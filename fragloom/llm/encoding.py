@@ -5,6 +5,8 @@ into a minimal acyclic transducer. Encoding walks the transducer for all words o
 merges the words it does not hold exactly. Which words are in the lexicon changes speed only.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -16,8 +18,11 @@ from .words import pieces, utf8
 
 #: Words in the lexicon at most; it holds speed, not results.
 LEXICON_WORDS = 1 << 16
-#: A word is counted from a batch in which it stands at least so often.
-FREQUENT_IN_BATCH = 8
+#: A word is counted from a piece of about 2 MB in which it stands at least so often.
+FREQUENT_IN_PIECE = 3
+#: Bytes of text, and ids, that are worked on at once; each costs some 100 bytes of memory.
+ENCODED_BYTES = 1 << 19
+DECODED_IDS = 1 << 18
 
 
 
@@ -25,8 +30,8 @@ def _counter(specials):
     def count(batches):
         for batch in batches:
             data, bounds = utf8(batch.column(0))
-            found: dict[bytes, int] = {}
             for first, last in pieces(bounds):
+                found: dict[bytes, int] = {}
                 part = data[bounds[first]: bounds[last]]
                 starts, special, _ = pre_tokens(part, bounds[first: last + 1] - bounds[first], specials)
                 ends, buffer = np.append(starts[1:], len(part)), part.tobytes()
@@ -34,9 +39,9 @@ def _counter(specials):
                 for a, b in zip(starts[plain].tolist(), ends[plain].tolist()):
                     word = buffer[a:b]
                     found[word] = found.get(word, 0) + 1
-            often = {w: c for w, c in found.items() if c >= FREQUENT_IN_BATCH}
-            yield pa.record_batch(
-                [pa.array(list(often), pa.binary()), pa.array(list(often.values()), pa.int64())], names=["word", "n"])
+                often = {w: c for w, c in found.items() if c >= FREQUENT_IN_PIECE}
+                yield pa.record_batch(
+                    [pa.array(list(often), pa.binary()), pa.array(list(often.values()), pa.int64())], names=["word", "n"])
     return count
 
 
@@ -89,24 +94,20 @@ def _encode(shared):
             parts = {k: v for k, v in shared.value.items() if k != "key"}
             encoder = _encoders[shared.value["key"]] = _Encoder(**parts)
         for batch in batches:
-            data, bounds = utf8(batch.column(batch.schema.get_field_index("text")))
-            for first, last in pieces(bounds):
+            data, bounds = utf8(batch.column(1))
+            for first, last in pieces(bounds, ENCODED_BYTES):
                 ids, of = encoder.encode(data[bounds[first]: bounds[last]], bounds[first: last + 1] - bounds[first])
-                rows = batch.slice(first, last - first)
-                yield pa.record_batch(
-                    [*rows.columns, pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()))],
-                    names=[*rows.schema.names, "ids"])
+                lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.record_batch([batch.column(0).slice(first, last - first), lists], names=["doc_id", "ids"])
     return encode
 
 
 def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """`doc_id`, `text` and `ids` array<int>: the ids the vocabulary in `path` gives for the whole text.
+    """`doc_id` and `ids` array<int>: the ids the vocabulary in `path` gives for the whole text.
 
     A null or empty text has no ids. Strings of special tokens inside texts get the special id.
     Every row gives one row, repeated ones too; other columns are left out.
     """
-    import uuid
-
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     vocabulary = Vocabulary(path)
@@ -116,7 +117,7 @@ def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> Da
     shared = spark.sparkContext.broadcast({
         "key": uuid.uuid4().hex, "vocabulary": vocabulary, "tables": lexicon.tables(),
         "longest": lexicon.longest, "ids": ids, "bounds": bounds})
-    return docs.mapInArrow(_encode(shared), "doc_id long, text string, ids array<int>")
+    return docs.mapInArrow(_encode(shared), "doc_id long, ids array<int>")
 
 
 def _decode(shared, column):
@@ -128,18 +129,17 @@ def _decode(shared, column):
             lists = lists.cast(pa.list_(pa.int32())).fill_null(pa.scalar([], pa.list_(pa.int32())))
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             of = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
-            texts = []
-            for first, last in pieces(of, 1 << 19):
+            rest = [i for i in range(batch.num_columns) if i != at]
+            names = [*(batch.schema.names[i] for i in rest), "decoded"]
+            for first, last in pieces(of, DECODED_IDS):
                 part = ids[of[first]: of[last]]
                 size = np.diff(bounds)[part]
                 total = np.append(0, np.cumsum(size))
                 text = data[np.arange(total[-1]) + np.repeat(bounds[:-1][part] - total[:-1], size)].tobytes()
                 cut = total[of[first: last + 1] - of[first]].tolist()
-                texts.extend(text[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:]))
-            rest = [i for i in range(batch.num_columns) if i != at]
-            yield pa.record_batch(
-                [*(batch.column(i) for i in rest), pa.array(texts, pa.string())],
-                names=[*(batch.schema.names[i] for i in rest), "decoded"])
+                texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:])]
+                rows = batch.slice(first, last - first)
+                yield pa.record_batch([*(rows.column(i) for i in rest), pa.array(texts, pa.string())], names=names)
     return decode
 
 

@@ -6,6 +6,8 @@ only the rest is merged. Strings of up to 16 bytes are compared as two 8-byte nu
 length, longer ones as bytes, so that a match is never a matter of hashes.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -113,8 +115,6 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     strings of special tokens inside a text count one. Null and empty texts count 0. Repeated rows
     and null ids are returned as they come; other columns are left out.
     """
-    import uuid
-
     vocabulary = Vocabulary(path)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, vocabulary, WholeTokens(vocabulary)))
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
