@@ -21,10 +21,13 @@ Splitters only decide balance. An anchor with very many occurrences is replaced
 it stands for, which spread over the key ranges.
 """
 
+import bisect
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
@@ -157,12 +160,22 @@ class Piece:
         shared = common_prefixes(self.right)
         rest = [s[k:] for s, k in zip(self.right, shared.tolist())]
         size = lambda strings: np.fromiter(map(len, strings), np.uint8, len(strings)).tobytes()
+        pack_ = zstandard.ZstdCompressor(1).compress
         return (
-            shared.astype(np.uint8).tobytes(), size(rest), b"".join(rest), size(self.left), b"".join(self.left),
-            self.doc.tobytes(), self.packed.tobytes())
+            pack_(shared.astype(np.uint8).tobytes()), pack_(size(rest)), pack_(b"".join(rest)), pack_(size(self.left)),
+            pack_(b"".join(self.left)), self.doc.tobytes(), self.packed.tobytes())
+
+
+def _open(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _bytes(data: bytes) -> np.ndarray:
+    return np.frombuffer(_open(data), np.uint8)
 
 
 def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    data = _open(data)
     ends = np.cumsum(sizes, dtype=np.int64)
     return [data[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
 
@@ -188,7 +201,6 @@ def _runs(length, splitters):
                 before = i
             keys = [right[i] for i in stay]
             docs, packs = np.array(doc, np.int64), np.array(packed, np.int64)
-            import bisect
             cuts = [0, *(bisect.bisect_left(keys, s) for s in splitters), len(keys)]
             for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a < b:
@@ -209,10 +221,9 @@ def _runs(length, splitters):
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
         for batch in batches:
-            data, bounds = utf8(batch.column(1))
-            docs, lists = batch.column(0).to_pylist(), batch.column(2)
+            docs, texts, lists = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             for i in range(batch.num_rows):
-                text = data[bounds[i]: bounds[i + 1]].tobytes()
+                text = _open(texts[i].as_py())
                 for item in lists[i].as_py():
                     own, hot = item["packed"], item["hot"]
                     place, most, least, mark = unpack(own)
@@ -340,8 +351,8 @@ def _combine(length):
     def merge(held):
         runs, left, doc, packed = [], [], [], []
         for r in held:
-            runs.append((np.frombuffer(r["shared"], np.uint8), _cut(r["rest"], np.frombuffer(r["rest_size"], np.uint8))))
-            left.append(_cut(r["left"], np.frombuffer(r["left_size"], np.uint8)))
+            runs.append((_bytes(r["shared"]), _cut(r["rest"], _bytes(r["rest_size"]))))
+            left.append(_cut(r["left"], _bytes(r["left_size"])))
             doc.append(np.frombuffer(r["doc"], np.int64))
             packed.append(np.frombuffer(r["packed"], np.int64))
         run, item, shared = (np.array(c, np.int64) for c in zip(*merged(runs)))
@@ -383,56 +394,67 @@ def _splitters(docs: DataFrame, length: int, parts: int) -> list[bytes]:
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
+def _squeeze(batches):
+    """Replace the text, the last column, by its compressed bytes: it is shuffled twice."""
+    for batch in batches:
+        data, bounds = utf8(batch.column(batch.num_columns - 1))
+        press, whole = zstandard.ZstdCompressor(3).compress, data.tobytes()
+        texts = [press(whole[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "text"])
+
+
 def _remove(batches):
     for batch in batches:
-        data, bounds = utf8(batch.column(batch.schema.get_field_index("text")))
-        lists = batch.column(batch.schema.get_field_index("stretches"))
-        removed, spans, kept, digests = [], [], [], []
-        import hashlib
+        texts, lists = batch.column(1), batch.column(2)
+        size, removed, spans, kept, digests = [], [], [], [], []
         for i in range(batch.num_rows):
-            text = data[bounds[i]: bounds[i + 1]]
+            data = _open(texts[i].as_py())
             stretches = lists[i].as_py()
-            if not stretches:
-                removed.append(0), spans.append([])
-                kept.append(text.tobytes())
-            else:
-                edge = np.zeros(len(text) + 1, np.int32)
+            runs = []
+            if stretches:
+                text = np.frombuffer(data, np.uint8)
+                edge = np.zeros(len(text) + 1, np.int64)
                 ends = np.array([(s["first"], s["last"]) for s in stretches], np.int64)
                 np.add.at(edge, ends[:, 0], 1)
                 np.add.at(edge, ends[:, 1], -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 step = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-                spans.append([{"first": int(a), "last": int(b)} for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))])
-                removed.append(int(gone.sum()))
-                kept.append(text[~gone].tobytes())
-            digests.append(hashlib.sha256(kept[-1]).hexdigest())
-        keep = [n for n in batch.schema.names if n not in ("stretches",)]
+                runs = [{"first": int(a), "last": int(b)} for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))]
+                data = text[~gone].tobytes()
+            spans.append(runs)
+            removed.append(sum(r["last"] - r["first"] for r in runs))
+            size.append(len(data) + removed[-1])
+            kept.append(data.decode("utf-8", "ignore"))
+            digests.append(hashlib.sha256(data).hexdigest())
+        span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         yield pa.record_batch(
-            [*(batch.column(batch.schema.get_field_index(n)) for n in keep), pa.array(np.diff(bounds)),
-             pa.array(removed, pa.int64()),
-             pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-             pa.array(digests, pa.string())],
-            names=[*keep, "n_bytes", "n_removed", "spans", "kept_sha256"])
+            [batch.column(0), pa.array(kept, pa.string()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(spans, span), pa.array(digests, pa.string())],
+            names=["row", "kept", "n_bytes", "n_removed", "spans", "kept_sha256"])
 
 
 def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
-    """Rows of `docs` with the repeated bytes of their text.
+    """One row for each row of `docs`, with the repeated bytes of its text removed.
 
     A byte is repeated when a string of `length` bytes over it also starts earlier: in a document
-    with a smaller doc_id or earlier in the same one. Added columns: n_bytes, n_removed, spans
-    (maximal runs of repeated bytes, [first, last) in bytes), kept_sha256 (of the bytes left).
-    Null and empty texts and those below `length` have nothing repeated. A null doc_id counts as
+    with a smaller doc_id or earlier in the same one. Columns: row (a struct of all columns of
+    `docs` but the text, whatever their names), kept (the text left; parts of characters cut at
+    the edges are left out), n_bytes, n_removed, spans (maximal runs of repeated bytes,
+    [first, last) in bytes), kept_sha256 (of the bytes left). Null and empty texts and those below
+    `length` have nothing repeated; a null text is kept as an empty one. A null doc_id counts as
     the largest. Rows that repeat a doc_id are one document: neither start is earlier than the same
-    start of the other. Columns of `docs` are kept, whatever their names: they travel in one struct.
+    start of the other.
     """
     if not GRAM < length <= 127 + 1:
         raise ValueError(f"length must be over {GRAM} and at most 128")
     spark = docs.sparkSession
     shelf = Shelf(spark, "suffixes")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce("text", F.lit(""))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"),
-        F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(_MARKS)).alias("mark"), F.struct(*docs.columns).alias("row"))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
+        F.pmod(F.xxhash64(text), F.lit(_MARKS)).alias("mark"), others.alias("row"), text.alias("text"))
     found = texts.select("doc", "text", "mark").mapInArrow(_find(length), "gram long, doc long, packed long")
     repeated = shelf.keep(
         found.repartition(tasks, "gram").sortWithinPartitions("gram")
@@ -444,7 +466,8 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
     by_text = (
         repeated.join(hot, "gram", "left").groupBy("doc", F.expr(f"packed & {_MARKS - 1}").alias("mark"))
         .agg(F.collect_list(F.struct("packed", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("anchors")))
-    runs = texts.select("doc", "mark", "text").join(by_text, ["doc", "mark"]).select("doc", "text", "anchors").mapInArrow(
+    runs = texts.select("doc", "mark", "text").mapInArrow(_squeeze, "doc long, mark long, text binary") \
+        .join(by_text, ["doc", "mark"]).select("doc", "text", "anchors").mapInArrow(
         _runs(length, splitters),
         "part int, shared binary, rest_size binary, rest binary, left_size binary, left binary, doc binary, packed binary")
     covered = shelf.keep(
@@ -452,9 +475,17 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
         .groupBy("doc", "mark").agg(F.collect_set(F.struct("first", (F.col("last") + length).alias("last"))).alias("stretches")),
         "covered")
     shelf.drop("repeated")
-    rows = texts.join(covered, ["doc", "mark"], "left").select("row", "text", "stretches")
-    schema = "row " + docs.select(F.struct(*docs.columns).alias("row")).schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(
-        _remove, f"{schema}, text string, n_bytes long, n_removed long, "
+    kind = "row " + texts.schema["row"].dataType.simpleString()
+    rows = texts.mapInArrow(_squeeze, f"doc long, mark long, {kind}, text binary").join(covered, ["doc", "mark"], "left")
+    return rows.select("row", "text", "stretches").mapInArrow(
+        _remove, f"{kind}, kept string, n_bytes long, n_removed long, "
         "spans array<struct<first: bigint, last: bigint>>, kept_sha256 string")
-    return out
+
+
+def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+    """`docs` with `text` reduced to what `repeated_passages` keeps, and `n_chars`, if there, counted
+    again. All rows and columns stay; a null text becomes an empty one."""
+    found = repeated_passages(docs, length)
+    counted = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return found.select(*[
+        counted.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
