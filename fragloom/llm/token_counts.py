@@ -62,7 +62,7 @@ class WholeTokens:
         open_ = np.arange(len(starts))
         while len(open_):
             s = slot[open_]
-            hit = (self.low[s] == low[open_]) & (self.high[s] == high[open_]) & (self.size[s] == lengths[open_])
+            hit = (self.size[s] > 0) & (self.low[s] == low[open_]) & (self.high[s] == high[open_]) & (self.size[s] == lengths[open_])
             found[open_[hit]] = True
             open_ = open_[~hit & (self.size[s] > 0)]
             slot[open_] += 1
