@@ -24,11 +24,15 @@ from .words import mix, shingle_sets
 FREQUENT_IN_TASK = 16
 #: The order knows at most so many frequent shingles; the rest are ordered by hash.
 FREQUENT_KNOWN = 1 << 17
-#: Tiles up to this many rows emit all pairs that pass the bound; larger ones first emit the best
-#: pair of each row, and the rest only between different components.
+#: At first each row of a tile is held against so many rows before it, for its best pair; the other
+#: pairs are met later, where both ends are not yet in one component.
+LOOK_BACK = 512
+#: Tiles up to this many rows give all their pairs at once.
 SMALL_TILE = 64
-LOOK_BACK = 1024
-BLOCK = 256
+#: Tiles with more rows are cut.
+TILE_ROWS = 20_000
+#: Bytes of bitmaps that are compared at once.
+PAIR_BYTES = 8 << 20
 #: Ids of texts to verify are broadcast up to this count (16 bytes each), else joined by shuffle.
 BROADCAST_IDS = 200_000
 
@@ -45,14 +49,6 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
-def fold(bitmap: np.ndarray, width: int) -> np.ndarray:
-    """The bitmap that fewer bits would have given."""
-    while len(bitmap) * 8 > width:
-        half = len(bitmap) // 2
-        bitmap = bitmap[:half] ^ bitmap[half:]
-    return bitmap
-
-
 def prefix_length(n, threshold):
     part, whole = threshold
     return n - -(-part * n // whole) + 1
@@ -107,94 +103,129 @@ def _sketch(k, threshold, frequent):
     return sketch
 
 
-def _runs(batches, names):
-    """Yields the rows of each tile as arrays, from rows sorted by tile; a tile may span batches."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        rest = pa.concat_tables([rest, table]) if rest is not None else table
-        token = rest["token"].to_numpy()
-        if not len(token):
-            continue
-        cuts = np.flatnonzero(token[1:] != token[:-1]) + 1
-        if not len(cuts):
-            continue
-        columns = [rest[c].to_numpy() for c in names]
-        begins = np.concatenate([[0], cuts[:-1]])
-        several = cuts - begins > 1
-        for a, b in zip(begins[several].tolist(), cuts[several].tolist()):
-            yield [c[a:b] for c in columns]
-        rest = rest.slice(int(cuts[-1])).combine_chunks()
-    if rest is not None and rest.num_rows > 1:
-        yield [rest[c].to_numpy() for c in names]
-
-
-def _bounded(n, words, x, y, threshold):
-    """Differing bits of rows x and y, and whether the bound on the overlap lets the pair pass."""
-    bits = np.zeros((len(x), len(y)), np.int32)
-    for w in range(words.shape[1]):
-        bits += np.bitwise_count(words[x, w][:, None] ^ words[y, w][None, :])
-    total = n[x][:, None] + n[y][None, :]
+class _Bitmaps:
+    """Bitmaps of a batch, read from the buffers of a binary column."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        self.bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+        self.data = np.frombuffer(column.buffers()[2], np.uint8)
+        self.width = np.diff(self.bounds)
+
+    def rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps as the given number of bytes would hold them, as 8-byte words."""
+        out = np.empty((len(at), width), np.uint8)
+        stored = self.width[at]
+        for own in np.unique(stored).tolist():
+            some = np.flatnonzero(stored == own)
+            whole = self.data[self.bounds[at[some]][:, None] + np.arange(own)]
+            out[some] = np.bitwise_xor.reduce(whole.reshape(len(some), own // width, width), axis=1)
+        return out.view(np.uint64)
+
+    def differing(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Number of differing bits of pairs of rows, each at the smaller of both widths."""
+        bits = np.zeros(len(x), np.int64)
+        widths = np.minimum(self.width[x], self.width[y])
+        for width in np.unique(widths).tolist():
+            of = np.flatnonzero(widths == width)
+            for first in range(0, len(of), max(1, PAIR_BYTES // width)):
+                some = of[first: first + max(1, PAIR_BYTES // width)]
+                bits[some] = np.bitwise_count(self.rows(x[some], width) ^ self.rows(y[some], width)).sum(1)
+        return bits
+
+
+def _passing(n, bitmaps, x, y, threshold):
+    """Which pairs of rows can reach the similarity, by their sizes and bits; and the bits."""
     part, whole = threshold
+    fits = np.flatnonzero(whole * np.minimum(n[x], n[y]) >= part * np.maximum(n[x], n[y]))
+    x, y = x[fits], y[fits]
+    bits = bitmaps.differing(x, y)
+    total = n[x] + n[y]
     overlap = (total - bits) // 2
-    return bits, (whole * overlap >= part * (total - overlap)) & (
-        whole * np.minimum(n[x][:, None], n[y][None, :]) >= part * np.maximum(n[x][:, None], n[y][None, :]))
+    able = whole * overlap >= part * (total - overlap)
+    return x[able], y[able], bits[able]
 
 
-def _tile_pairs(n, doc, bitmaps, threshold, root=None):
-    """Pairs of one tile that pass the bound; rows are sorted by size. With `root`, only pairs of
-    different roots, all of them; without it, a large tile gives the best earlier row of each."""
+def _candidates(token, n, root, threshold):
+    """Yields pairs of rows of one tile that fit by size; rows are sorted by tile and size.
+
+    Pairs are made lag by lag for all tiles of the batch at once. Without roots a row looks back
+    LOOK_BACK rows of its tile at most; with roots it meets every row of another root.
+    """
     part, whole = threshold
-    many = len(n) > SMALL_TILE
-    for first in range(0, len(n), BLOCK):
-        x = np.arange(first, min(first + BLOCK, len(n)))
-        low = int(np.searchsorted(n, -(-part * n[first] // whole)))
-        if many and root is None:
-            low = max(low, first - LOOK_BACK)
-        for start in range(low, x[-1] + 1, 4 * BLOCK):
-            y = np.arange(start, min(start + 4 * BLOCK, x[-1] + 1))
-            both = np.concatenate([x, y])
-            width = 8 * min(len(bitmaps[i]) for i in (x[0], y[0]))
-            words = np.stack([fold(np.frombuffer(bitmaps[i], np.uint8), width) for i in both]).view(np.uint64)
-            bits, passed = _bounded(n[both], words, np.arange(len(x)), len(x) + np.arange(len(y)), threshold)
-            passed &= (y[None, :] < x[:, None]) & (doc[y][None, :] != doc[x][:, None])
-            if root is not None:
-                passed &= root[y][None, :] != root[x][:, None]
-            elif many:
-                score = np.where(passed, bits, 1 << 30)
-                best = score.argmin(1)
-                found = np.flatnonzero(score[np.arange(len(x)), best] < 1 << 30)
-                yield doc[x[found]], doc[y[best[found]]], score[found, best[found]]
-                continue
-            i, j = np.nonzero(passed)
-            yield doc[x[i]], doc[y[j]], bits[i, j]
+    begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    tile_begin = np.repeat(begin, np.diff(np.append(begin, len(token))))
+    # The first row of the tile that is large enough, found by bisection for all rows together.
+    low, high = tile_begin.copy(), np.arange(len(token))
+    while (low < high).any():
+        middle = (low + high) // 2
+        small = whole * n[middle] < part * n
+        low, high = np.where(small & (low < high), middle + 1, low), np.where(~small & (low < high), middle, high)
+    live, lag = np.arange(len(token)), 1
+    while True:
+        live = live[live - lag >= low[live]]
+        if not len(live) or root is None and lag > LOOK_BACK:
+            return
+        other = live - lag
+        apart = slice(None) if root is None else root[live] != root[other]
+        yield live[apart], other[apart]
+        lag += 1
+
+
+def _whole_tiles(batches):
+    """Tables of whole tiles, from rows sorted by tile."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = pa.concat_tables([rest, table]) if rest is not None else table
+        token = rest["token"].to_numpy()
+        cut = int(np.searchsorted(token, token[-1])) if len(token) else 0
+        if cut:
+            yield rest.slice(0, cut).combine_chunks()
+            rest = rest.slice(cut).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
 
 
 def _pairs(threshold, with_root):
-    names = ["n", "doc_id", "bitmap", *(["root"] if with_root else [])]
+    """Pairs that pass the bound, x the larger row, with the number of differing bits.
 
+    With roots: all pairs of different roots. Without them: all pairs of small tiles, and of large
+    ones the best earlier row of each row.
+    """
     def pairs(batches):
-        seen: dict[tuple[int, int], int] = {}
-        best: dict[int, tuple[int, int]] = {}
-
-        def flush():
-            rows = [(x, y) for x, y in seen] + [(x, y) for x, (_, y) in best.items()]
-            both = np.array(rows, np.int64).reshape(-1, 2)
-            seen.clear(), best.clear()
-            return pa.record_batch([pa.array(both.max(1)), pa.array(both.min(1))], names=["x", "y"])
-
-        for run in _runs(batches, names):
-            root = run[3] if with_root else None
-            for x, y, bits in _tile_pairs(run[0], run[1], run[2], threshold, root):
-                if with_root or len(run[0]) <= SMALL_TILE:
-                    seen.update(dict.fromkeys(zip(x.tolist(), y.tolist())))
-                else:
-                    for a, b, c in zip(x.tolist(), y.tolist(), bits.tolist()):
-                        if a not in best or (c, b) < best[a]:
-                            best[a] = (c, b)
-                if len(seen) + len(best) > 200_000:
+        for table in _whole_tiles(batches):
+            token, n, doc = (table[c].to_numpy() for c in ("token", "n", "doc_id"))
+            root = table["root"].to_numpy() if with_root else None
+            bitmaps = _Bitmaps(table["bitmap"].combine_chunks() if table["bitmap"].num_chunks != 1 else table["bitmap"].chunk(0))
+            names, number = np.unique(doc, return_inverse=True)
+            begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            rows = np.diff(np.append(begin, len(token)))
+            large = np.repeat(rows > SMALL_TILE, rows) & (not with_root)
+            held, count = [], 0
+
+            def flush():
+                """Each pair of documents once, whatever tiles it comes from."""
+                x, y = (np.concatenate(c) for c in zip(*held))
+                held.clear()
+                key = 2 * (number[x] * len(names) + number[y]) + large[x]
+                _, once = np.unique(key, return_index=True)
+                x, y, bits = _passing(n, bitmaps, x[once], y[once], threshold)
+                order = np.lexsort((bits, number[x], large[x]))
+                x, y, bits = x[order], y[order], bits[order]
+                stay = ~large[x] | np.append(True, np.diff(number[x]) != 0)[: len(x)] | np.append(True, np.diff(large[x]))[: len(x)]
+                return pa.record_batch(
+                    [pa.array(c[stay]) for c in (doc[x], doc[y], bits)], names=["x", "y", "bits"])
+
+            for x, y in _candidates(token, n, root, threshold):
+                differ = doc[x] != doc[y]
+                held.append((x[differ], y[differ]))
+                count += len(x)
+                if count > 500_000:
                     yield flush()
-        yield flush()
+                    count = 0
+            if held:
+                yield flush()
     return pairs
 
 
@@ -241,31 +272,48 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
     multi = shelf.keep(
         leaders.select(F.explode("prefix").alias("token"), "n", "doc_id", "mark")
         .repartition(tasks, "token").sortWithinPartitions(*in_order)
-        .mapInArrow(_shared, "token long, n long, doc_id long, mark long, rows long"), "multi")
+        .mapInArrow(_shared, "token long, n long, doc_id long, mark long"), "multi")
     bitmaps = leaders.select("doc_id", "mark", "bitmap")
 
-    first = shelf.keep(
-        multi.join(bitmaps, ["doc_id", "mark"]).select(*in_order, "bitmap")
-        .repartition(tasks, "token").sortWithinPartitions(*in_order)
-        .mapInArrow(_pairs(threshold, False), "x long, y long").distinct(), "first")
+    # Tiles that are too large for one task are cut into parts by document; later, when every pair
+    # must be met, each two parts have a tile of their own.
+    sizes = shelf.keep(
+        multi.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > SMALL_TILE)
+        .select("token", F.ceil(F.col("rows") / TILE_ROWS).alias("parts")), "sizes")
+
+    def tiled(rows, every):
+        own = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
+        cut = rows.join(sizes.filter("parts > 1"), "token").withColumn("own", own).withColumn(
+            "other", F.explode(F.expr("sequence(0L, parts - 1)")) if every else F.col("own"))
+        cut = cut.withColumn("token", F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")))
+        whole = rows.join(sizes.filter("parts > 1"), "token", "left_anti")
+        return whole.union(cut.select(*rows.columns))
+
+    def met(rows, columns, with_root):
+        return (
+            rows.join(bitmaps, ["doc_id", "mark"]).select(*in_order, "bitmap", *columns)
+            .repartition(tasks, "token").sortWithinPartitions(*in_order)
+            .mapInArrow(_pairs(threshold, with_root), "x long, y long, bits long")
+            .groupBy("x", "y").agg(F.min("bits").alias("bits")))
+
+    passing = shelf.keep(met(tiled(multi, False), [], False), "passing")
+    first = shelf.keep(passing.groupBy("x").agg(F.min_by("y", F.struct("bits", "y")).alias("y")), "first")
     linked = shelf.keep(_linked(docs, first, k, threshold), "linked")
     roots = shelf.keep(components(linked, shelf, "early"), "roots")
 
-    # What is left of the large tiles: pairs between different components, untested so far.
-    large = (
-        multi.filter(F.col("rows") > SMALL_TILE)
-        .join(roots.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
-        .withColumn("root", F.coalesce("root", "doc_id")))
-    apart = large.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b")
+    # What is left: pairs between different components, untested so far.
+    def rooted(rows, column, name):
+        known = roots.select(F.col("vertex").alias(column), F.col("root").alias("_root"))
+        return rows.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
+
+    apart = rooted(rooted(passing, "x", "a"), "y", "b").filter("a <> b").select("x", "y")
+    large = rooted(multi.join(sizes, "token", "left_semi"), "doc_id", "root")
     second = shelf.keep(
-        large.join(apart, "token", "left_semi").join(bitmaps, ["doc_id", "mark"])
-        .select(*in_order, "bitmap", "root")
-        .repartition(tasks, "token").sortWithinPartitions(*in_order)
-        .mapInArrow(_pairs(threshold, True), "x long, y long").distinct()
+        apart.union(met(tiled(large, True), ["root"], True).select("x", "y")).distinct()
         .join(first, ["x", "y"], "left_anti"), "second")
     more = shelf.keep(_linked(docs, second, k, threshold), "more")
     final = components(linked.union(more), shelf, "final") if not more.isEmpty() else roots
-    shelf.drop("multi", "first", "second")
+    shelf.drop("multi", "passing", "first", "second")
 
     known = classes.join(final.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
         *same, "class_id", F.coalesce("root", "class_id").alias("component_id"))
@@ -278,24 +326,20 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
 
 
 def _shared(batches):
-    """Only rows of tiles with at least two rows, with the number of rows of their tile."""
-    names = ["token", "n", "doc_id", "mark"]
-    held, count = [], 0
-
-    def flush():
-        rows = np.concatenate([np.full(len(c[0]), len(c[0])) for c in held])
-        columns = [np.concatenate(c) for c in zip(*held)]
-        held.clear()
-        return pa.record_batch([pa.array(c) for c in [*columns, rows]], names=[*names, "rows"])
-
-    for columns in _runs(batches, names):
-        held.append(columns)
-        count += len(columns[0])
-        if count > 100_000:
-            yield flush()
-            count = 0
-    if held:
-        yield flush()
+    """Of rows sorted by token, those whose token has at least two."""
+    held, known = None, False  # the last row, and whether a row before it has its token
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        token = table["token"].to_numpy()
+        same = token[1:] == token[:-1]
+        several = np.append(known, same) | np.append(same, False)
+        yield from table.slice(0, len(token) - 1).filter(pa.array(several[:-1])).combine_chunks().to_batches()
+        held, known = table.slice(len(token) - 1).combine_chunks(), bool(several[-1])
+    if held is not None and known:
+        yield from held.to_batches()
 
 
 def _linked(docs, pairs, k, threshold):
