@@ -287,7 +287,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
             "other", F.explode(F.expr("sequence(0L, parts - 1)")) if every else F.col("own"))
         cut = cut.withColumn("token", F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")))
         whole = rows.join(sizes.filter("parts > 1"), "token", "left_anti")
-        return whole.union(cut.select(*rows.columns))
+        return whole.select(*rows.columns).union(cut.select(*rows.columns))
 
     def met(rows, columns, with_root):
         return (
