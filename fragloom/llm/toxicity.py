@@ -27,7 +27,6 @@ STEM_BYTES = 4
 #: Passes over the training texts: at least, at most, and the texts seen that are aimed at.
 EPOCHS = (6, 60, 20_000)
 BATCH_TEXTS = 32
-WORDS_AT_ONCE = 200_000
 
 
 def word_rows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,6 +140,14 @@ def logits(network: Network, texts: pa.Array) -> np.ndarray:
     return np.concatenate([*out, np.zeros(0, np.float32)]).astype(float)
 
 
+def all_word_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of the words of all texts, made piece by piece."""
+    data, bounds = utf8(texts)
+    parts = [word_rows(data[bounds[a]: bounds[b]], bounds[a: b + 1] - bounds[a]) for a, b in pieces(bounds, 1 << 20)]
+    rows = np.concatenate([np.zeros((0, 3), np.int32), *(r for r, _ in parts)])
+    return rows, np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *(np.diff(of) for _, of in parts)])))
+
+
 def best_threshold(score: np.ndarray, y: np.ndarray) -> float:
     """The score that divides the labels with the best F1, halfway to the next one below."""
     order = np.argsort(-score, kind="stable")
@@ -155,8 +162,7 @@ def fit(texts: pa.Array, y: np.ndarray, langs: list):
     cut = len(y) * 4 // 5
     network = Network()
     if cut and y[:cut].min() < y[:cut].max():
-        data, bounds = utf8(texts.slice(0, cut))
-        network.train(*word_rows(data, bounds), y[:cut])
+        network.train(*all_word_rows(texts.slice(0, cut)), y[:cut])
     x = logits(network, texts.slice(cut))
     slope, offset = logistic(x, y[cut:])
     score = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
