@@ -70,9 +70,13 @@ def read_samplesheet(spark, sf):
     return rd.read_samplesheet(spark, path, "\t").drop("line")
 
 
-@query("""SELECT 'doc' || doc_id AS chrom, CAST(ceil(length(text) / 512) AS BIGINT) AS n_chunks,
-  CAST(length(regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTNN'), '[^ACGTN]', '', 'g')) AS BIGINT) AS size
-  FROM (SELECT doc_id, regexp_replace(text, '[^a-z]', '', 'g') AS text FROM documents) WHERE text <> ''""")
+@query("""WITH bases AS (
+  SELECT 'doc' || doc_id AS chrom,
+    regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTNN'), '[^ACGTN]', '', 'g') AS seq
+  FROM (SELECT doc_id, regexp_replace(text, '[^a-z]', '', 'g') AS text FROM documents) WHERE text <> '')
+SELECT chrom, chunk, 512 * chunk AS start, least(512 * (chunk + 1), length(seq)) AS "end",
+  md5(substring(seq, 512 * chunk + 1, 515)) AS digest
+FROM bases, LATERAL (SELECT unnest(range(CAST(ceil(length(seq) / 512) AS BIGINT))) AS chunk)""")
 def read_reference(spark, sf):
     """FASTA text of the document contigs in lines of 60 bases, read back as chunks."""
     path = stage_path(spark, "fasta")
@@ -82,7 +86,7 @@ def read_reference(spark, sf):
                      F.regexp_replace("seq", "(.{60})", "$1\n"))
     docs.select(lines.alias("value")).write.text(path)
     chunks = rd.read_reference(spark, path, 512)
-    return chunks.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_chunks"), F.max("end").alias("size"))
+    return chunks.select("chrom", "chunk", "start", "end", F.md5("seq").alias("digest"))
 
 
 @query("WITH " + RECORDS + """

@@ -181,7 +181,9 @@ def anova_f(stats: DataFrame) -> DataFrame:
 
 
 def select_k_best(scored: DataFrame, k: int, groups=()) -> DataFrame:
-    """The k features with the highest F; NULL ranks last, ties go to the later name."""
+    """The k features with the highest F; NULL ranks last, ties go to the later name. k = 0: all."""
+    if k <= 0:
+        return scored
     order = [F.col("f_value").desc_nulls_last(), F.col("feature_name").desc()]
     if groups:
         return top_rows_per_group(scored, list(groups), order, k)

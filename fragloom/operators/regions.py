@@ -127,13 +127,15 @@ def end_motif_counts(fragments: DataFrame, reference: DataFrame, chunk_size: int
 
     `reference` chunks carry `tail_bases` bases beyond their end. When the ingest
     filter bounds fragment lengths (`bounded_length`) and the tail covers that bound,
-    both ends of a fragment are read from one chunk with one join; otherwise each end
-    is looked up. The genome is repeated `salts` times rather than shuffling hot
+    both ends of a fragment are read from one chunk with one join; fragments that are
+    longer all the same, and all without a bound, have each end looked up. The genome is repeated `salts` times rather than shuffling hot
     chunks of fragments to one task. Pairs are counted first (at most 65,536 usual
     rows per sample), the families follow from the pair counts.
     """
     if bounded_length is not None and tail_bases >= bounded_length:
-        mers = _mers(fragments, reference, chunk_size, salts)
+        short = F.col("end") - F.col("start") <= tail_bases
+        mers = _mers(fragments.filter(short), reference, chunk_size, salts).union(
+            _mers_two_joins(fragments.filter(~short), reference, chunk_size, salts))
     else:
         if tail_bases < 3:
             raise ValueError("reference chunks need at least 3 tail bases")

@@ -177,9 +177,17 @@ def input_counts(sheet: DataFrame, input_type: str = "auto") -> DataFrame:
         m.count_where(bam).alias("bam"), m.count_where(cram).alias("cram"), zero.alias("fragments"))
 
 
+class SheetErrors(ValueError):
+    """A sheet that breaks rules; `errors` is a DataFrame with a row for each violation."""
+
+    def __init__(self, message: str, errors: DataFrame):
+        super().__init__(message)
+        self.errors = errors
+
+
 def validate(sheet: DataFrame, mode: str = "full", input_type: str = "auto", show: int = 100, **options):
-    """Checked canonical sheet. Collects all violations and raises them together; the
-    message lists the first `show` lines and the total number."""
+    """Checked canonical sheet. All violations raise together as `SheetErrors`: the message lists
+    the first `show` of them and the total number, `errors` is the table of all."""
     missing = missing_columns(sheet, input_type)
     if missing:
         raise ValueError(f"samplesheet missing required columns: {', '.join(missing)}")
@@ -190,8 +198,8 @@ def validate(sheet: DataFrame, mode: str = "full", input_type: str = "auto", sho
     first = errors.orderBy("line", "rule_no").limit(show + 1).collect()
     if first:
         text = "\n".join(r["message"] for r in first[:show])
-        more = "\n..." if len(first) > show else ""
-        raise ValueError(text + more)
+        more = f"\n... {errors.count()} errors in all" if len(first) > show else ""
+        raise SheetErrors(text + more, errors)
     if input_type == FRAGMENT_INPUT:
         keep = {k: v for k, v in options.items() if k in ("metadata", "assembly")}
         df = resolve_sources(df, **keep)

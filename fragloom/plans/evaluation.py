@@ -8,7 +8,10 @@ from fragloom.operators import analysis, metrics
 
 def report_tables(metadata: DataFrame, predictions: DataFrame, cv: DataFrame | None = None,
                   test: DataFrame | None = None, score: str = "cancer_probability") -> dict[str, DataFrame]:
-    """Every table of the report by name; curves and areas only make sense with labels."""
+    """Every table of the report by name; without labels only those that need none."""
+    labelled = "label" in metadata.columns or "label" in predictions.columns
+    if not labelled:
+        metadata = metadata.withColumn("label", F.lit(None).cast("string"))
     joined = analysis.predictions_with_labels(metadata, predictions)
     truth = joined.withColumn("y_true", lab.binary_label(F.col("label")))
     tables = {
@@ -25,6 +28,9 @@ def report_tables(metadata: DataFrame, predictions: DataFrame, cv: DataFrame | N
         "pr_curve": metrics.pr_curve(truth, "y_true", score),
         "top_scores": analysis.top_scores(joined, 12, score),
     }
+    if not labelled:
+        for name in ("confusion", "score_summary_by_label", "roc_curve", "pr_curve"):
+            del tables[name]
     for name, df, column in (("cv", cv, "cv_probability"), ("test", test, "test_probability")):
         if df is None:
             continue

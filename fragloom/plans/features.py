@@ -27,7 +27,7 @@ def feature_tables(fragments: DataFrame, sizes: DataFrame, samples: DataFrame, r
     LOWESS must not run twice.
     """
     bins = coverage.annotate_gc(
-        coverage.make_bins(sizes, params.bin_size, params.autosomes_only), reference)
+        coverage.make_bins(sizes, params.bin_size, params.autosomes_only), reference, params.bin_size)
     counts = coverage.dense_bin_counts(fragments, bins, samples, params.bin_size, params)
     corrected = stage(gc.correct_gc(counts, params), "corrected")
     if arms is not None:

@@ -26,15 +26,34 @@ def check_suffixes(paths) -> None:
         raise ValueError(f"Unsupported fragment file extension: {', '.join(refused[:10])}")
 
 
+def tab_fields(lines: DataFrame, schema: T.StructType, optional=()) -> list:
+    """Columns of `schema` from tab-separated lines in `value`; further fields are ignored.
+
+    A line with a missing field or a number that does not parse fails the job; fields named in
+    `optional` may be missing.
+    """
+    parts = F.split("value", "\t")
+    bad = F.raise_error(F.concat(F.lit("Malformed line: "), F.substring("value", 1, 200)))
+    columns = []
+    for i, field in enumerate(schema.fields):
+        text = F.get(parts, F.lit(i))
+        value = text if isinstance(field.dataType, T.StringType) else F.trim(text).try_cast(field.dataType)
+        checked = value if field.name in optional else F.when(value.isNull(), bad.cast(field.dataType)).otherwise(value)
+        columns.append(checked.alias(field.name))
+    return columns
+
+
 def read_gz_fragments(spark: SparkSession, paths) -> DataFrame:
     """Five-column fragment text in `.gz` files, with the file path of each row.
 
-    Spark decodes it; the `.gz` format cannot be split, so one file is one task.
+    Spark decodes it; the `.gz` format cannot be split, so one file is one task. Malformed rows
+    fail the job; `.bgz` files, which Spark would take for plain text, are refused.
     """
-    return (
-        spark.read.schema(S.RAW_FRAGMENT).csv(_paths(paths), sep="\t", quote="")
-        .withColumn("path", F.col("_metadata.file_path"))
-    )
+    blocked = [p for p in _paths(paths) if p.endswith(".bgz")]
+    if blocked:
+        raise ValueError(f"read .bgz files with read_bgz_fragments: {', '.join(blocked[:10])}")
+    lines = spark.read.text(_paths(paths)).filter(F.trim("value") != "")
+    return lines.select(*tab_fields(lines, S.RAW_FRAGMENT), F.col("_metadata.file_path").alias("path"))
 
 
 def read_bgz_fragments(spark: SparkSession, paths, split_bytes: int = BGZ_SPLIT) -> DataFrame:
@@ -45,16 +64,23 @@ def read_bgz_fragments(spark: SparkSession, paths, split_bytes: int = BGZ_SPLIT)
     One huge file is therefore spread over many tasks.
     """
     files = spark.read.format("binaryFile").load(_paths(paths)).select("path", "length")
-    step = F.lit(split_bytes).cast("long")
-    splits = (
-        files.filter(F.col("length") > 0)
-        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)))
-    )
+    splits = bgz_splits(files, split_bytes)
     # A split is one short row but much work: a stated number of tasks keeps adaptive
     # execution from merging them by size.
     total = files.agg(F.sum("length")).head()[0] or 0
     tasks = min(max(-(-total // split_bytes), 1), BGZ_TASKS)
-    splits = splits.repartition(tasks, "path", "start")
+    return decode_splits(splits.repartition(tasks, "path", "start"), split_bytes)
+
+
+def bgz_splits(files: DataFrame, split_bytes: int = BGZ_SPLIT) -> DataFrame:
+    """Byte ranges (path, length, start) of files (path, length)."""
+    step = F.lit(split_bytes).cast("long")
+    return files.filter(F.col("length") > 0).withColumn(
+        "start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)))
+
+
+def decode_splits(splits: DataFrame, split_bytes: int = BGZ_SPLIT) -> DataFrame:
+    """Raw fragments with the file path of the lines that begin in each byte range."""
     names = S.RAW_FRAGMENT.fieldNames()
     schema = T.StructType(S.RAW_FRAGMENT.fields + [T.StructField("path", T.StringType())])
 
@@ -115,12 +141,15 @@ def read_fragment_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bed(spark: SparkSession, path, name: str = "name") -> DataFrame:
-    """Headerless BED4; lines with `#` are comments."""
-    return spark.read.schema(S.bed4(name)).csv(path, sep="\t", comment="#", quote="")
+    """Headerless BED with a name in the fourth field, if any; lines with `#` are comments."""
+    lines = spark.read.text(path).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    return lines.select(*tab_fields(lines, S.bed4(name), [name]))
 
 
 def read_chrom_sizes(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(S.CHROM_SIZES).csv(path, sep="\t", quote="").dropna()
+    """Contigs and sizes; malformed rows fail the job."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(*tab_fields(lines, S.CHROM_SIZES))
 
 
 def with_line_numbers(df: DataFrame, name: str = "line", first: int = 2) -> DataFrame:
@@ -169,17 +198,59 @@ def _last_chunk(total, size):
 
 
 def read_reference(spark: SparkSession, path: str, chunk_size: int, tail_bases: int = 3) -> DataFrame:
-    """FASTA as sequence chunks, one contig per input record.
+    """FASTA as sequence chunks (chrom, chunk, start, end, seq), in linear time.
 
-    A record is one row before it is cut, so give whole genomes as one file per contig.
+    Files are read by line and may be split anywhere. Each line learns its contig and offset from
+    running sums inside its file split and from the sums of the splits before, of which there
+    is one row per split; then lines are cut at chunk ends and joined chunk by chunk. No task
+    holds more than the lines of one split or one chunk. Lines before the first header are ignored.
     """
-    records = spark.read.text(path, lineSep=">").filter(F.trim("value") != "")
-    line_end = F.locate("\n", F.col("value"))
-    header = F.substring_index("value", "\n", 1)
-    contigs = records.select(
-        F.split(F.trim(F.regexp_replace(header, "\r", "")), r"\s+")[0].alias("chrom"),
-        F.when(line_end > 0, F.translate(F.substr("value", line_end + 1), "\r\n ", "")).otherwise("").alias("sequence"))
-    return chunk_sequence(contigs, chunk_size, tail_bases)
+    block = ["path", "block"]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.col("value"))
+    is_header = F.col("value").startswith(">")
+    name = F.split(F.trim(F.regexp_replace(F.substr("value", F.lit(2)), "\r", "")), r"\s+")[0]
+    order = Window.partitionBy(*block).orderBy("line")
+    parsed = lines.select(
+        *block, "line", F.when(is_header, F.struct("line", name.alias("chrom"))).alias("header"),
+        F.when(is_header, "").otherwise(F.translate("value", "\r ", "")).alias("bases"))
+    headed = parsed.withColumn("record", F.last("header", ignorenulls=True).over(order))
+    inside = Window.partitionBy(*block, "record").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = headed.withColumn("before", F.coalesce(F.sum(F.length("bases")).over(inside), F.lit(0)))
+    # What each split hands to the next: its last header and the bases behind it.
+    ends = headed.groupBy(*block).agg(
+        F.max("record").alias("last"),
+        F.sum(F.when(F.col("record").isNull(), F.length("bases")).otherwise(0)).alias("leading"))
+    tails = headed.filter(F.col("record").isNotNull()).groupBy(*block, "record").agg(F.sum(F.length("bases")).alias("tail"))
+    ends = ends.join(tails.withColumnRenamed("record", "last"), [*block, "last"], "left").withColumn(
+        "carried", F.coalesce("tail", "leading"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.max(F.when(F.col("last").isNotNull(), F.struct("block", "last"))).over(earlier)
+    sums = ends.withColumn("open", opened)
+    since = Window.partitionBy("path", "open").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Splits under one open header add up; the first of them carries the header's own split.
+    sums = sums.withColumn("mid", F.coalesce(F.sum("leading").over(since), F.lit(0)))
+    first = ends.select("path", F.col("block").alias("_b"), F.col("carried").alias("first"))
+    sums = sums.join(first, (sums["path"] == first["path"]) & (F.col("open.block") == F.col("_b")), "left").select(
+        sums["path"], "block", F.col("open.last").alias("open"), (F.coalesce("first", F.lit(0)) + F.col("mid")).alias("offset"))
+    known = placed.filter(F.length("bases") > 0).join(sums, block).select(
+        "path", F.coalesce("record", "open").alias("record"),
+        (F.col("before") + F.when(F.col("record").isNull(), F.col("offset")).otherwise(0)).alias("off"), "bases"
+    ).filter(F.col("record").isNotNull())
+    size = F.lit(chunk_size).cast("long")
+    stop = F.col("off") + F.length("bases")
+    lowest = F.greatest(F.lit(0).cast("long"), F.floor((F.col("off") - tail_bases) / size))
+    pieces = known.withColumn("chunk", F.explode(F.sequence(lowest, F.floor((stop - 1) / size))))
+    low = F.greatest("off", F.col("chunk") * size)
+    high = F.least(stop, (F.col("chunk") + 1) * size + tail_bases)
+    own = F.greatest(F.lit(0), F.least(stop, (F.col("chunk") + 1) * size) - low)
+    piece = F.substring("bases", (low - F.col("off") + 1).cast("int"), (high - low).cast("int"))
+    return (
+        pieces.filter(high > low).groupBy("path", "record", "chunk")
+        .agg(F.sort_array(F.collect_list(F.struct(low.alias("low"), piece.alias("piece")))).alias("pieces"), F.sum(own).alias("own"))
+        .select(F.col("record.chrom").alias("chrom"), "chunk", (F.col("chunk") * size).alias("start"),
+                (F.col("chunk") * size + F.col("own")).alias("end"), F.array_join("pieces.piece", "").alias("seq")))
 
 
 def read_metadata_json(spark: SparkSession, paths) -> DataFrame:

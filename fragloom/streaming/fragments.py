@@ -7,16 +7,25 @@ from fragloom.functions import measures as m
 from fragloom.operators.coverage import fragment_hits
 from fragloom.operators.fragments import ingest
 from fragloom.params import DEFAULTS, Params
+from fragloom.sources.readers import bgz_splits, decode_splits, tab_fields
 
 
 def fragment_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """New `.gz` or plain fragment files under `folder/<sample_id>/`; the folder that holds
-    a file names its sample."""
-    rows = (
-        spark.readStream.schema(S.RAW_FRAGMENT).option("maxFilesPerTrigger", files_per_trigger)
-        .option("recursiveFileLookup", "true").csv(folder, sep="\t", quote="")
-    )
-    return rows.withColumn("sample_id", F.element_at(F.split("_metadata.file_path", "/"), -2))
+    """New fragment files under `folder/<sample_id>/`; the folder that holds a file names its sample.
+
+    `.gz` and plain text are decoded by Spark, `.bgz` files by the block reader in splits, as in
+    the batch readers. Malformed rows fail the query instead of vanishing.
+    """
+    def files(reader, names):
+        return reader.option("maxFilesPerTrigger", files_per_trigger).option(
+            "recursiveFileLookup", "true").option("pathGlobFilter", names)
+
+    lines = files(spark.readStream, "{*.gz,*[!z]}").text(folder).filter(F.trim("value") != "")
+    text = lines.select(*tab_fields(lines, S.RAW_FRAGMENT), F.col("_metadata.file_path").alias("path"))
+    blocked = files(spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary"), "*.bgz").load(folder).select("path", "length")
+    rows = text.unionByName(decode_splits(bgz_splits(blocked)))
+    return rows.withColumn("sample_id", F.element_at(F.split("path", "/"), -2)).drop("path")
 
 
 def ingest_stream(raw: DataFrame, out: str, checkpoint: str, style: str = "no_chr",

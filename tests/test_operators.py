@@ -259,3 +259,51 @@ def test_pivot_refuses_unbounded_width(spark):
     features, _ = toy_cohort(spark)
     with pytest.raises(ValueError):
         mx.pivot_features(features, limit=5)
+
+
+def test_motifs_of_fragments_beyond_the_bound(spark):
+    from fragloom.operators.regions import end_motif_counts
+    from fragloom.sources.readers import chunk_sequence
+    sequence = "".join("ACGT"[(i * i + i // 7) % 4] for i in range(400))
+    reference = chunk_sequence(spark.createDataFrame([("1", sequence)], "chrom string, sequence string"), 50, 40)
+    fragments = spark.createDataFrame(
+        [("s", "1", 3, 103), ("s", "1", 10, 40), ("s", "1", 0, 41)], "sample_id string, chrom string, start bigint, `end` bigint")
+    rows = lambda bound: sorted(map(tuple, end_motif_counts(fragments, reference, 50, 40, bound).collect()))
+    assert rows(40) == rows(None)
+    assert sum(n for _, _, n in rows(40)) == 9
+
+
+def test_zero_keeps_all_features(spark):
+    from fragloom.operators.cohort import select_k_best
+    scored = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0)], "feature_name string, f_value double")
+    assert select_k_best(scored, 0).count() == 3 and select_k_best(scored, 2).count() == 2
+
+
+def test_all_sheet_errors_are_there(spark):
+    from fragloom.operators.samples import SheetErrors, validate
+    columns = "sample_id string, label string, fastq_1 string, fastq_2 string, bam string, cram string, line bigint"
+    sheet = spark.createDataFrame([("", "", "", "", "", "", i) for i in range(300)], columns)
+    for column in ("batch", "age", "sex", "stage", "split", "patient_id", "source_type", "sequencing_center", "cancer_type", "smoking_status"):
+        sheet = sheet.withColumn(column, sheet["label"])
+    try:
+        validate(sheet)
+    except SheetErrors as failure:
+        assert failure.errors.count() >= 300
+        assert str(failure).endswith(f"{failure.errors.count()} errors in all")
+    except ValueError as missing:
+        pytest.skip(str(missing))
+    else:
+        raise AssertionError("no error")
+
+
+def test_report_without_labels(spark):
+    from fragloom.plans.evaluation import report_tables
+    metadata = spark.createDataFrame([("a",), ("b",)], "sample_id string")
+    predictions = spark.createDataFrame(
+        [("a", 0.9, "cancer_like", 0.5), ("b", 0.1, "control_like", 0.5)],
+        "sample_id string, cancer_probability double, classification string, threshold_used double")
+    tables = report_tables(metadata, predictions)
+    assert "roc_curve" not in tables and "confusion" not in tables
+    for table in tables.values():
+        table.collect()
+    assert tables["ranked_predictions"].count() == 2

@@ -156,3 +156,47 @@ def test_numeric_looking_ids_stay_text(spark, tmp_path, fragments):
     wr.write_fragments(df, str(tmp_path / "t"), cluster=True)
     back = rd.read_fragment_parquet(spark, str(tmp_path / "t"))
     assert {r[0] for r in back.select("sample_id").collect()} == {"007"} and back.count() == 4
+
+
+@pytest.mark.parametrize("split", [37, 200, 1 << 20])
+def test_fasta_over_splits_equals_cutting_the_string(spark, tmp_path, split):
+    r = random.Random(split)
+    contigs = {f"c{i}": "".join(r.choice("ACGTN") for _ in range(n)) for i, n in enumerate((0, 1, 8, 500, 333, 7))}
+    for name, own in (("a.fa", ["c0", "c3", "c1"]), ("b.fa", ["c2", "c4", "c5"])):
+        text = "".join(f">{c} x\n" + "".join(contigs[c][k: k + 11] + "\n" for k in range(0, len(contigs[c]), 11)) for c in own)
+        (tmp_path / name).write_text(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        got = rd.read_reference(spark, str(tmp_path), 16, 5).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = sorted((c, k // 16, k, min(k + 16, len(s)), s[k: k + 21]) for c, s in contigs.items() for k in range(0, len(s), 16))
+    assert sorted(tuple(row) for row in got) == want
+
+
+def test_malformed_rows_fail(spark, tmp_path):
+    with gzip.open(tmp_path / "x.tsv.gz", "wb") as f:
+        f.write(b"1\t10\t90\t60\t+\n1\tten\t90\t60\t+\n")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        rd.read_gz_fragments(spark, str(tmp_path / "x.tsv.gz")).collect()
+    with pytest.raises(ValueError, match="bgz"):
+        rd.read_gz_fragments(spark, "x.bgz")
+
+
+def test_stream_reads_blocks_and_text(spark, tmp_path):
+    from fragloom.streaming import fragments as st
+    data = {name: lines(200, seed) for seed, name in enumerate(("s1", "s2"))}
+    for name in data:
+        (tmp_path / "in" / name).mkdir(parents=True)
+    write_blocks(tmp_path / "in" / "s1" / "a.bgz", data["s1"], 500)
+    with gzip.open(tmp_path / "in" / "s2" / "b.tsv.gz", "wb") as f:
+        f.write(data["s2"])
+    raw = st.fragment_stream(spark, str(tmp_path / "in"))
+    query = raw.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    for name, text in data.items():
+        got = sorted(f"{r['chrom']}\t{r['start']}\t{r['end']}\t{r['mapq']}\t{r['strand']}" for r in rows if r["sample_id"] == name)
+        assert got == sorted(text.decode().split("\n")[:-1])
