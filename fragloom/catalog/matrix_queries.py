@@ -6,8 +6,9 @@ from fragloom.catalog import views as v
 from fragloom.catalog.coverage_queries import CORRECTED_SQL, arm_table, corrected
 from fragloom.catalog.registry import query, rounded
 from fragloom.operators import matrix as mx, regions as rg
-from fragloom.session import stage
-from fragloom.sources.readers import split_matrix
+from fragloom.session import stage, stage_path
+from fragloom.sources.readers import read_wide_lines, split_matrix
+from fragloom.sources.writers import write_wide_lines
 
 NAMED = "'bin_' || translate(bin_id, ':-', '__') || '_"
 PLAIN_SQL = CORRECTED_SQL + ",\nplain AS (" + " UNION ALL ".join(
@@ -109,6 +110,49 @@ def wide_matrix(spark, sf):
     return mx.wide_matrix(features, mx.attach_metadata(features, sheet(spark, sf)))
 
 
+BROAD_SQL = """broad AS (
+  SELECT l_returnflag || l_linestatus AS sample_id, 'f' || l_orderkey || '_' || l_linenumber AS feature_name,
+    max(CAST(l_quantity AS BIGINT)) AS value FROM lineitem GROUP BY ALL)"""
+
+
+def broad(spark, sf):
+    """A feature for every order line: as many columns as lines, few samples."""
+    text = lambda c: F.col(c).cast("string")
+    return v.table(spark, sf, "lineitem").groupBy(
+        F.concat("l_returnflag", "l_linestatus").alias("sample_id"),
+        F.concat(F.lit("f"), text("l_orderkey"), F.lit("_"), text("l_linenumber")).alias("feature_name"),
+    ).agg(F.max(F.col("l_quantity").cast("long")).alias("value"))
+
+
+def broad_lines(spark, sf):
+    features = stage(broad(spark, sf), "broad")
+    metadata = features.select("sample_id").distinct().withColumns(
+        {"unlisted": F.lit(True), "sheet_line": F.lit(None).cast("long")})
+    return mx.wide_lines(features, metadata)
+
+
+@query("WITH " + BROAD_SQL + """,
+names AS (SELECT DISTINCT feature_name FROM broad), samples AS (SELECT DISTINCT sample_id FROM broad),
+lines AS (
+  SELECT sample_id, row_number() OVER (ORDER BY sample_id) AS row, sample_id || chr(9) || line AS line FROM (
+    SELECT sample_id, string_agg(coalesce(CAST(value AS VARCHAR), ''), chr(9) ORDER BY feature_name) AS line
+    FROM samples CROSS JOIN names LEFT JOIN broad USING (sample_id, feature_name) GROUP BY sample_id)
+  UNION ALL
+  SELECT '', 0, 'sample_id' || chr(9) || string_agg(feature_name, chr(9) ORDER BY feature_name) FROM names)
+SELECT row, md5(line) AS digest, CAST(length(line) AS BIGINT) AS n_chars FROM lines""")
+def wide_matrix_text(spark, sf):
+    """The wide matrix as text, with a column for every order line."""
+    return broad_lines(spark, sf).select("row", F.md5("line").alias("digest"), F.length("line").cast("long").alias("n_chars"))
+
+
+@query("WITH " + BROAD_SQL + " SELECT sample_id, feature_name, CAST(value AS VARCHAR) AS value FROM broad")
+def read_wide_text(spark, sf):
+    """The same matrix written as text and read back into long features; missing cells are empty."""
+    path = stage_path(spark, "wide")
+    write_wide_lines(broad_lines(spark, sf), path)
+    return read_wide_lines(spark, path)[1].filter("value <> ''")
+
+
 @query("WITH " + PLAIN_SQL + """,
 names AS (SELECT DISTINCT feature_name FROM plain)
 SELECT feature_name, split_part(feature_name, '_', 1) AS feature_group,

@@ -128,6 +128,28 @@ def wide_matrix(features: DataFrame, metadata: DataFrame, limit: int = WIDE_LIMI
     )
 
 
+def wide_lines(features: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The wide matrix of any width as tab-separated text: (row, line), the header in row 0.
+
+    A line is built per sample by one aggregate over the grid of samples and features, so no plan
+    has a column per feature. Missing values are empty. Samples come in sheet order.
+    """
+    meta = [c for c in C.META_COLUMNS if c in metadata.columns]
+    names = feature_names(features)
+    rows = metadata.join(features.select("sample_id").distinct(), "sample_id", "left_semi")
+    number = F.row_number().over(Window.orderBy("unlisted", "sheet_line", "sample_id"))  # one row per sample
+    head = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in meta])
+    ordered = rows.select("sample_id", number.cast("long").alias("row"), head.alias("head"))
+    values = features.groupBy("sample_id", "feature_name").agg(F.first("value").cast("string").alias("text"))
+    cells = product_rows(ordered.select("sample_id"), names).join(values, ["sample_id", "feature_name"], "left")
+    cell = F.struct("feature_name", F.coalesce("text", F.lit("")).alias("text"))
+    lines = cells.groupBy("sample_id").agg(F.sort_array(F.collect_list(cell)).alias("cells")).join(ordered, "sample_id")
+    header = names.agg(F.array_join(F.sort_array(F.collect_list("feature_name")), "\t").alias("tail"))
+    return header.select(
+        F.lit(0).cast("long").alias("row"), F.concat(F.lit("\t".join(meta) + "\t"), "tail").alias("line")).union(
+        lines.select("row", F.concat("head", F.lit("\t"), F.array_join("cells.text", "\t"))))
+
+
 def feature_dictionary(features: DataFrame) -> DataFrame:
     name = F.col("feature_name")
     return feature_names(features).select(

@@ -291,6 +291,23 @@ def split_matrix(wide: DataFrame, meta_columns, limit: int = 5000):
     return meta, long
 
 
+def read_wide_lines(spark: SparkSession, path):
+    """Wide matrix file of any width as (metadata, long features), values as text.
+
+    Lines are split once and cut into cells by position; the header, one row, gives the names.
+    """
+    from fragloom.constants import META_COLUMNS
+
+    lines = spark.read.text(path).filter(F.col("value") != "").select(F.split("value", "\t", -1).alias("cells"))
+    header = F.col("cells")[0] == "sample_id"
+    names = lines.filter(header).select(F.posexplode("cells").alias("at", "feature_name")).distinct()
+    rows = lines.filter(~header).select(F.col("cells")[0].alias("sample_id"), F.posexplode("cells").alias("at", "value"))
+    cells = rows.join(names, "at")
+    is_meta = F.col("feature_name").isin(list(META_COLUMNS))
+    meta = cells.filter(is_meta).groupBy("sample_id").pivot("feature_name", list(META_COLUMNS)).agg(F.first("value"))
+    return meta, cells.filter(~is_meta).select("sample_id", "feature_name", "value")
+
+
 def read_predictions(spark: SparkSession, path: str, score: str = "cancer_probability") -> DataFrame:
     df = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
     numbers = [c for c in (score, "threshold_used", "cv_probability", "test_probability") if c in df.columns]

@@ -71,3 +71,8 @@ def run_manifest(counts: DataFrame, mode: str, input_type: str, genome: str,
         F.lit(mode).alias("mode"), F.lit(input_type).alias("input_type"), F.lit(genome).alias("genome"),
         F.lit(assembly or genome).alias("assembly"), "sample_count",
         F.struct(*types).alias("input_counts"), F.lit(sheet).alias("samplesheet"))
+
+
+def write_wide_lines(lines: DataFrame, path: str) -> None:
+    """Text of `matrix.wide_lines` in row order, header first; parts of the folder follow each other."""
+    lines.orderBy("row").select("line").write.mode("overwrite").text(path)
