@@ -94,7 +94,8 @@ def mask_anti_join(spark, sf):
 
 
 @query("WITH " + v.COPIES + """
-SELECT sample_id, chrom, s AS start, e AS "end", strand, mapq, qname, n_copies FROM (
+SELECT sample_id, chrom, s AS start, e AS "end", strand, mapq, qname, n_copies, e - s AS length,
+  e - s BETWEEN 100 AND 150 AS is_short, e - s BETWEEN 151 AND 220 AS is_long FROM (
   SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY sample_id, chrom, s, e, strand) AS n_copies
   FROM copies WINDOW w AS (PARTITION BY sample_id, chrom, s, e, strand ORDER BY mapq DESC, qname))
 WHERE rn = 1""")

@@ -38,6 +38,15 @@ def fragment_table(spark, sf):
     return wr.read_written_fragments(spark, path)
 
 
+@query("WITH " + v.FRAGS + f" SELECT {FRAGMENT_SQL} FROM frags")
+def read_fragment_parquet(spark, sf):
+    """The same table through the reader that also takes one file per sample."""
+    path = stage_path(spark, "fragments")
+    table = v.fragments(spark, sf)
+    wr.write_fragments(table, path, cluster=True)
+    return rd.read_fragment_parquet(spark, path).select(*table.columns)
+
+
 @query("WITH " + v.FRAGS + """
 SELECT chrom, s AS start, e AS "end", sample_id AS name, mapq, strand FROM frags""")
 def bed_export(spark, sf):
@@ -92,13 +101,11 @@ def read_reference(spark, sf):
 @query("WITH " + RECORDS + """
 SELECT id, frag_num, sample_name AS name, disease FROM recs""")
 def read_metadata_json(spark, sf):
-    """Each record as its own text; parsed with the explicit record schema."""
+    """Each record as a file of its own, read whole and parsed with the explicit record schema."""
     path = stage_path(spark, "records")
-    records(spark, sf).select("json").write.text(path)
-    from fragloom.schemas import METADATA_RECORD
-    text = spark.read.text(path)
-    return text.select(F.from_json("value", METADATA_RECORD).alias("r")).select(
-        "r.id", "r.frag_num", "r.sample.name", "r.sample.disease")
+    records(spark, sf).select(F.xxhash64("json").alias("file"), "json").write.partitionBy("file").text(path)
+    return rd.read_metadata_json(spark, f"{path}/file=*").select(
+        "record.id", "record.frag_num", "record.sample.name", "record.sample.disease")
 
 
 @query("WITH " + v.ALIGNMENTS + """

@@ -131,18 +131,20 @@ def alignments_to_fragments(alignments: DataFrame, params: Params = DEFAULTS,
 
 
 def mark_duplicates(fragments: DataFrame, name: str = "qname") -> DataFrame:
-    """Best copy of each (sample, contig, start, end, strand) and how many copies it had.
+    """Best copy of each (sample, contig, start, end, strand) as a canonical fragment, with its
+    `name` and the number of copies it had. Ties in mapping quality go to the lesser name.
 
     Copies are reduced by a partial aggregate before the shuffle, so a group that
     holds a large share of all rows reaches the reducer as one row per map task.
     """
     keys = ["sample_id", "chrom", "start", "end", "strand"]
     best = F.min(F.struct((-F.col("mapq")).alias("q"), F.col(name).alias("name")))
-    return (
+    marked = (
         fragments.groupBy(*keys)
         .agg(best.alias("best"), F.count(F.lit(1)).alias("n_copies"))
         .select(*keys, (-F.col("best.q")).alias("mapq"), F.col("best.name").alias(name), "n_copies")
     )
+    return with_size_class(with_length(marked)).select(*FRAGMENT_COLUMNS, name, "n_copies")
 
 
 def duplicate_rate(marked: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom import constants as C
@@ -165,7 +166,7 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
         try:
             scored = stage(cross_validate(name, train_part, folds, params, size), f"cv-{name}")
             blocks[name] = evaluate(scored, scope)
-        except Exception as failure:  # a candidate that cannot be trained is recorded and skipped
+        except (ValueError, IllegalArgumentException) as failure:  # cannot be trained: recorded and skipped
             blocks[name] = {"error": str(failure)}
             continue
         scores[name] = scored
