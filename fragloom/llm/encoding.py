@@ -5,8 +5,6 @@ into a minimal acyclic transducer. Encoding walks the transducer for all words o
 merges the words it does not hold exactly. Which words are in the lexicon changes speed only.
 """
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import Cache, Vocabulary
 from .lexicon import Lexicon
 from .pretokens import pre_tokens
-from .words import pieces, utf8
+from .words import pieces, released, small_batches, utf8
 
 #: Words in the lexicon at most; it holds speed, not results.
 LEXICON_WORDS = 1 << 16
@@ -53,7 +51,7 @@ def frequent_words(docs: DataFrame, specials: dict[bytes, int], most: int = LEXI
 
 
 class _Encoder:
-    """The lexicon, mapped into memory, and the words met beside it; one for each worker."""
+    """The lexicon, mapped into memory, and the words met beside it; one for each task."""
 
     def __init__(self, vocabulary, tables, longest, ids, bounds):
         self.vocabulary = vocabulary
@@ -83,22 +81,17 @@ class _Encoder:
         return pool[at], total[of]
 
 
-_encoders: dict = {}
-
-
 def _encode(shared):
     def encode(batches):
-        encoder = _encoders.get(shared.value["key"])
-        if encoder is None:
-            _encoders.clear()
-            parts = {k: v for k, v in shared.value.items() if k != "key"}
-            encoder = _encoders[shared.value["key"]] = _Encoder(**parts)
+        encoder = None  # for one task: a worker that lives on holds nothing of it
         for batch in batches:
+            encoder = encoder or _Encoder(**shared.value)
             data, bounds = utf8(batch.column(1))
             for first, last in pieces(bounds, ENCODED_BYTES):
                 ids, of = encoder.encode(data[bounds[first]: bounds[last]], bounds[first: last + 1] - bounds[first])
                 lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.record_batch([batch.column(0).slice(first, last - first), lists], names=["doc_id", "ids"])
+        released()
     return encode
 
 
@@ -110,12 +103,13 @@ def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> Da
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    small_batches(spark)
     vocabulary = Vocabulary(path)
     words = frequent_words(docs, vocabulary.specials, lexicon_words)
     ids, bounds = vocabulary.encode(words)
     lexicon = Lexicon(words)
     shared = spark.sparkContext.broadcast({
-        "key": uuid.uuid4().hex, "vocabulary": vocabulary, "tables": lexicon.tables(),
+        "vocabulary": vocabulary, "tables": lexicon.tables(),
         "longest": lexicon.longest, "ids": ids, "bounds": bounds})
     return docs.mapInArrow(_encode(shared), "doc_id long, ids array<int>")
 
@@ -148,6 +142,7 @@ def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
 
     Bytes that are no UTF-8 become U+FFFD. Null lists give an empty text.
     """
+    small_batches(rows.sparkSession)
     pieces_ = Vocabulary(path).pieces
     bounds = np.append(0, np.cumsum([len(p) for p in pieces_]))
     shared = rows.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(pieces_), np.uint8), bounds))

@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .shelf import Shelf
-from .words import mix, shingle_sets
+from .words import gathered, mix, released, shingle_sets, squeeze, unsqueezed
 
-#: Shingles this often in one task's documents take part in the count of frequent ones.
-FREQUENT_IN_TASK = 16
+#: Documents are counted in parts of about so many shingles; shingles this often in a part take
+#: part in the count of frequent ones.
+COUNTED_SHINGLES, FREQUENT_IN_PART = 1_000_000, 8
 #: The order knows at most so many frequent shingles; the rest are ordered by hash.
 FREQUENT_KNOWN = 1 << 17
 #: At first each row of a tile is held against so many rows before it, for its best pair; the other
@@ -32,7 +33,9 @@ SMALL_TILE = 64
 #: Tiles with more rows are cut.
 TILE_ROWS = 20_000
 #: Bytes of bitmaps that are compared at once.
-PAIR_BYTES = 8 << 20
+PAIR_BYTES = 1 << 20
+#: Pairs whose texts are opened at once.
+VERIFIED_PAIRS = 50
 #: Ids of texts to verify are broadcast up to this count (16 bytes each), else joined by shuffle.
 BROADCAST_IDS = 200_000
 
@@ -56,12 +59,25 @@ def prefix_length(n, threshold):
 
 def _frequent(k):
     def count(batches):
-        for batch in batches:
-            sets = [s for s in shingle_sets(batch.column(0), k)]
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= FREQUENT_IN_TASK
-            yield pa.record_batch(
+        held, size = [], 0
+
+        def flush():
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            often = counts >= FREQUENT_IN_PART
+            return pa.record_batch(
                 [pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["shingle", "n"])
+
+        for batch in batches:
+            for s in shingle_sets(batch.column(0), k):
+                held.append(s)
+                size += len(s)
+                if size > COUNTED_SHINGLES:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+        released()
     return count
 
 
@@ -175,8 +191,7 @@ def _candidates(token, n, root, threshold):
 def _whole_tiles(batches):
     """Tables of whole tiles, from rows sorted by tile."""
     rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
+    for table in gathered(batches):
         rest = pa.concat_tables([rest, table]) if rest is not None else table
         token = rest["token"].to_numpy()
         cut = int(np.searchsorted(token, token[-1])) if len(token) else 0
@@ -234,14 +249,17 @@ def _verify(k, threshold):
 
     def verify(batches):
         for batch in batches:
-            left, right = shingle_sets(batch.column(2), k), shingle_sets(batch.column(3), k)
             same = []
-            for a, b in zip(left, right):
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
-                overlap = int((b[at] == a).sum()) if len(a) else 0
-                same.append(overlap > 0 and whole * overlap >= part * (len(a) + len(b) - overlap))
+            for first in range(0, batch.num_rows, VERIFIED_PAIRS):
+                rows = batch.slice(first, VERIFIED_PAIRS)
+                texts = [unsqueezed(t) for pair in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist()) for t in pair]
+                sets = shingle_sets(pa.array(texts, pa.binary()).cast(pa.string()), k)
+                for a, b in zip(sets, sets):
+                    if len(a) > len(b):
+                        a, b = b, a
+                    at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
+                    overlap = int((b[at] == a).sum()) if len(a) else 0
+                    same.append(overlap > 0 and whole * overlap >= part * (len(a) + len(b) - overlap))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(same, pa.bool_()))
     return verify
 
@@ -272,7 +290,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
     multi = shelf.keep(
         leaders.select(F.explode("prefix").alias("token"), "n", "doc_id", "mark")
         .repartition(tasks, "token").sortWithinPartitions(*in_order)
-        .mapInArrow(_shared, "token long, n long, doc_id long, mark long"), "multi")
+        .mapInArrow(_shared(threshold), "token long, n long, doc_id long, mark long"), "multi")
     bitmaps = leaders.select("doc_id", "mark", "bitmap")
 
     # Tiles that are too large for one task are cut into parts by document; later, when every pair
@@ -325,21 +343,23 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
         F.expr("doc_id <=> component_id").alias("kept"))
 
 
-def _shared(batches):
-    """Of rows sorted by token, those whose token has at least two."""
-    held, known = None, False  # the last row, and whether a row before it has its token
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        token = table["token"].to_numpy()
-        same = token[1:] == token[:-1]
-        several = np.append(known, same) | np.append(same, False)
-        yield from table.slice(0, len(token) - 1).filter(pa.array(several[:-1])).combine_chunks().to_batches()
-        held, known = table.slice(len(token) - 1).combine_chunks(), bool(several[-1])
-    if held is not None and known:
-        yield from held.to_batches()
+def _shared(threshold):
+    """Of rows sorted by token and size, those that could reach the similarity with a row next to
+    them; a row that cannot with either neighbour cannot with any row of its tile."""
+    part, whole = threshold
+
+    def shared(batches):
+        held, known = None, False  # the last row, and whether it fits the row before it
+        for table in gathered(batches):
+            table = pa.concat_tables([held, table]) if held is not None else table
+            token, n = table["token"].to_numpy(), table["n"].to_numpy()
+            fits = (token[1:] == token[:-1]) & (whole * n[:-1] >= part * n[1:])
+            several = np.append(known, fits) | np.append(fits, False)
+            yield from table.slice(0, len(token) - 1).filter(pa.array(several[:-1])).combine_chunks().to_batches()
+            held, known = table.slice(len(token) - 1).combine_chunks(), bool(several[-1])
+        if held is not None and known:
+            yield from held.to_batches()
+    return shared
 
 
 def _linked(docs, pairs, k, threshold):
@@ -347,7 +367,8 @@ def _linked(docs, pairs, k, threshold):
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
+        .mapInArrow(squeeze, "doc_id long, text binary")
     left = texts.select(F.col("doc_id").alias("x"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("y"), F.col("text").alias("right"))
     return pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right").mapInArrow(

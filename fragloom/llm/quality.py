@@ -5,15 +5,13 @@ so that a long one does not become its own dictionary; each block is compressed
 difference of the sums over the whole text, divided by its length, is calibrated to a score.
 """
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .labelled import fold, labelled_sample, logistic
-from .words import utf8
+from .words import released, small_batches, utf8
 
 #: Labelled rows that the dictionaries and the calibration are fitted on, at most.
 SAMPLE_ROWS = 8_000
@@ -60,8 +58,7 @@ class Compressors:
 
 def differences(compressors: Compressors, texts: pa.Array) -> np.ndarray:
     data, bounds = utf8(texts)
-    whole = memoryview(data.tobytes())
-    return np.array([compressors.difference(bytes(whole[a:b])) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], float)
+    return np.array([compressors.difference(data[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], float)
 
 
 def fit(texts: pa.Array, y: np.ndarray):
@@ -73,19 +70,16 @@ def fit(texts: pa.Array, y: np.ndarray):
     return dictionaries, slope, offset
 
 
-_fitted: dict = {}
-
-
 def _score(shared):
     def score(batches):
-        key, dictionaries, slope, offset = shared.value
-        if key not in _fitted:
-            _fitted.clear()
-            _fitted[key] = Compressors(dictionaries)
+        compressors = None
         for batch in batches:
-            x = differences(_fitted[key], batch.column(batch.num_columns - 1))
+            dictionaries, slope, offset = shared.value
+            compressors = compressors or Compressors(dictionaries)
+            x = differences(compressors, batch.column(batch.num_columns - 1))
             p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
             yield pa.record_batch([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
+        released()
     return score
 
 
@@ -96,8 +90,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     difference. predicted is 1 from `threshold` on. Labels of the fold `held_out` are never learned
     from; without labels of both kinds every text gets the same score. Every row gives one row.
     """
+    small_batches(docs.sparkSession)
     texts, y, _ = labelled_sample(docs, labels, "quality", folds, held_out, SAMPLE_ROWS)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, *fit(texts, y)))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
     kind = rows.schema["row"].dataType.simpleString()
     scored = rows.mapInArrow(_score(shared), f"row {kind}, text string, score double")

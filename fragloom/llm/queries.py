@@ -19,7 +19,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(f"""WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(1) ORDER BY g)) AS content FROM shingles GROUP BY doc_id),
+classes AS (SELECT content, min(doc_id) AS class_id FROM sizes GROUP BY content),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.class_id, d.doc_id) AS class_id, r.component_id,
+  r.component_id = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN classes c USING (content)
+JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""")
 def op2_ngram_jaccard_join(spark, sf_dir):
     """Components of all documents by 4-word shingles at a similarity of 0.85."""
     from .ngram_join import jaccard_join
@@ -59,7 +78,17 @@ def op3_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query()
+@query("""WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(replace(replace(role, chr(92), '~~'), '<|', '~~~'))
+    + length(replace(replace(text, chr(92), '~~'), '<|', '~~~'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id""")
 def op6_chat_formatting(spark, sf_dir):
     """Digests of all formatted conversations, and of one that says control strings."""
     from .chat import conversation_digests

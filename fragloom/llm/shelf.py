@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fragloom.session import stage_path
 
+from .words import small_batches
+
 
 class Shelf:
     """Tables that one call of an operator writes under one folder.
@@ -15,6 +17,7 @@ class Shelf:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = stage_path(spark, name)
+        small_batches(spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"

@@ -31,17 +31,24 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
-from .words import mix, pieces, utf8
+from .words import gathered, mix, released, squeeze, unsqueezed, utf8
 
 GRAM = 24
 #: Anchors of one range and task, about.
 RANGE_ROWS = 100_000
+#: Anchors of one sorted run, about.
+RUN_ROWS = 100_000
 #: Texts whose suffixes the splitters are taken from.
-SPLITTER_TEXTS = 2_000
+SPLITTER_TEXTS = 4_000
 #: Occurrences of one k-gram from which its passages are sorted one by one.
 HOT_ROWS = 100_000
 _PLACE = np.uint64((1 << 28) - 1)
 _MARKS = 1 << 17
+#: Texts that are written out at once.
+REMOVED_ROWS = 1_000
+#: Of a row on its way to the others with its k-gram: to be found out; repeated for sure, and so
+#: dealt out evenly, however frequent the k-gram; tells the others, then goes.
+_OPEN, _KNOWN, _WITNESS = 0, 1, 2
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -100,8 +107,13 @@ def _find(length):
             def flush():
                 gram, doc, packed = (np.concatenate(c) for c in zip(*held))
                 held.clear()
-                return pa.record_batch(
-                    [pa.array(gram.view(np.int64)), pa.array(doc), pa.array(packed)], names=["gram", "doc", "packed"])
+                _, first, group, n = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
+                # Met twice here: known to be repeated, one row tells the others with its k-gram.
+                kind = np.where(n[group] > 1, _KNOWN, _OPEN)
+                told = first[n > 1]
+                gram, doc, packed = (np.concatenate([c, c[told]]) for c in (gram.view(np.int64), doc, packed))
+                kind = np.concatenate([kind, np.full(len(told), _WITNESS)]).astype(np.int8)
+                return pa.record_batch([pa.array(c) for c in (gram, doc, packed, kind)], names=["gram", "doc", "packed", "kind"])
 
             for i in np.flatnonzero(np.diff(bounds) >= length).tolist():
                 for gram, place, first, last in text_anchors(data[bounds[i]: bounds[i + 1]], length):
@@ -116,20 +128,22 @@ def _find(length):
 
 
 def _repeated(batches):
-    """Of rows sorted by k-gram, those whose k-gram stands in at least two rows."""
+    """Of rows sorted by k-gram, those known to be repeated and those next to one of their k-gram."""
+    def chosen(table, several):
+        kind = table["kind"].to_numpy()
+        keep = pa.array((kind == _KNOWN) | (kind == _OPEN) & several)
+        return table.filter(keep).drop_columns(["kind"]).combine_chunks().to_batches()
+
     held, known = None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
+    for table in gathered(batches):
         table = pa.concat_tables([held, table]) if held is not None else table
         gram = table["gram"].to_numpy()
         same = gram[1:] == gram[:-1]
         several = np.append(known, same) | np.append(same, False)
-        yield from table.slice(0, len(gram) - 1).filter(pa.array(several[:-1])).combine_chunks().to_batches()
+        yield from chosen(table.slice(0, len(gram) - 1), several[:-1])
         held, known = table.slice(len(gram) - 1).combine_chunks(), bool(several[-1])
-    if held is not None and known:
-        yield from held.to_batches()
+    if held is not None:
+        yield from chosen(held, np.array([known]))
 
 
 def common_prefixes(strings: list[bytes]) -> np.ndarray:
@@ -166,16 +180,12 @@ class Piece:
             pack_(b"".join(self.left)), self.doc.tobytes(), self.packed.tobytes())
 
 
-def _open(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
 def _bytes(data: bytes) -> np.ndarray:
-    return np.frombuffer(_open(data), np.uint8)
+    return np.frombuffer(unsqueezed(data), np.uint8)
 
 
 def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
-    data = _open(data)
+    data = unsqueezed(data)
     ends = np.cumsum(sizes, dtype=np.int64)
     return [data[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
 
@@ -223,7 +233,7 @@ def _runs(length, splitters):
         for batch in batches:
             docs, texts, lists = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             for i in range(batch.num_rows):
-                text = _open(texts[i].as_py())
+                text = unsqueezed(texts[i].as_py())
                 for item in lists[i].as_py():
                     own, hot = item["packed"], item["hot"]
                     place, most, least, mark = unpack(own)
@@ -238,7 +248,7 @@ def _runs(length, splitters):
                         left.append(text[place - most: place])
                         doc.append(docs[i])
                         packed.append(own)
-                if len(right) > 2 * RANGE_ROWS:
+                if len(right) > RUN_ROWS:
                     yield rows()
         if right:
             yield rows()
@@ -382,55 +392,59 @@ def _combine(length):
     return combine
 
 
-def _splitters(docs: DataFrame, length: int, parts: int) -> list[bytes]:
-    """Keys that cut the suffixes of a bounded sample of texts into equal parts."""
-    rows = docs.filter(F.length("text") >= length).orderBy(F.xxhash64("doc", "mark")).limit(SPLITTER_TEXTS)
+def _splitters(docs: DataFrame, repeated: DataFrame, parts: int) -> list[bytes]:
+    """Keys that cut the repeated suffixes of a bounded sample of texts into equal parts."""
+    sample = docs.select("doc", "mark", F.substring("text", 1, 20_000).alias("text")).orderBy(
+        F.xxhash64("doc", "mark")).limit(SPLITTER_TEXTS).toArrow()
+    texts = {(d, m): t.encode() for d, m, t in zip(*(sample[c].to_pylist() for c in ("doc", "mark", "text")))}
+    if not texts:
+        return []
+    ids = docs.sparkSession.createDataFrame(sorted({d for d, _ in texts}), "long").toDF("doc")
+    found = repeated.join(F.broadcast(ids), "doc").select("doc", "packed").toArrow()
     keys = []
-    for text in rows.select(F.substring("text", 1, 20_000).alias("text")).toArrow()["text"].to_pylist():
-        data = text.encode()
-        for _, place, _, _ in text_anchors(np.frombuffer(data, np.uint8), length):
-            keys.extend(data[p: p + GRAM] for p in place.tolist())
+    for doc, packed in zip(found["doc"].to_pylist(), found["packed"].to_pylist()):
+        place, _, _, mark = unpack(packed)
+        key = texts.get((doc, mark), b"")[place: place + GRAM]
+        if len(key) == GRAM:
+            keys.append(key)
     keys.sort()
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
-def _squeeze(batches):
-    """Replace the text, the last column, by its compressed bytes: it is shuffled twice."""
-    for batch in batches:
-        data, bounds = utf8(batch.column(batch.num_columns - 1))
-        press, whole = zstandard.ZstdCompressor(3).compress, data.tobytes()
-        texts = [press(whole[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "text"])
-
-
 def _remove(batches):
     for batch in batches:
-        texts, lists = batch.column(1), batch.column(2)
-        size, removed, spans, kept, digests = [], [], [], [], []
-        for i in range(batch.num_rows):
-            data = _open(texts[i].as_py())
-            stretches = lists[i].as_py()
-            runs = []
-            if stretches:
-                text = np.frombuffer(data, np.uint8)
-                edge = np.zeros(len(text) + 1, np.int64)
-                ends = np.array([(s["first"], s["last"]) for s in stretches], np.int64)
-                np.add.at(edge, ends[:, 0], 1)
-                np.add.at(edge, ends[:, 1], -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                step = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-                runs = [{"first": int(a), "last": int(b)} for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))]
-                data = text[~gone].tobytes()
-            spans.append(runs)
-            removed.append(sum(r["last"] - r["first"] for r in runs))
-            size.append(len(data) + removed[-1])
-            kept.append(data.decode("utf-8", "ignore"))
-            digests.append(hashlib.sha256(data).hexdigest())
-        span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        yield pa.record_batch(
-            [batch.column(0), pa.array(kept, pa.string()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(spans, span), pa.array(digests, pa.string())],
-            names=["row", "kept", "n_bytes", "n_removed", "spans", "kept_sha256"])
+        for first in range(0, batch.num_rows, REMOVED_ROWS):
+            yield _removed(batch.slice(first, REMOVED_ROWS))
+    released()
+
+
+def _removed(batch):
+    texts, lists = batch.column(1), batch.column(2)
+    size, removed, spans, kept, digests = [], [], [], [], []
+    for i in range(batch.num_rows):
+        data = unsqueezed(texts[i].as_py())
+        stretches = lists[i].as_py()
+        runs = []
+        if stretches:
+            text = np.frombuffer(data, np.uint8)
+            edge = np.zeros(len(text) + 1, np.int64)
+            ends = np.array([(s["first"], s["last"]) for s in stretches], np.int64)
+            np.add.at(edge, ends[:, 0], 1)
+            np.add.at(edge, ends[:, 1], -1)
+            gone = np.cumsum(edge[:-1]) > 0
+            step = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+            runs = [{"first": int(a), "last": int(b)} for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))]
+            data = text[~gone].tobytes()
+        spans.append(runs)
+        removed.append(sum(r["last"] - r["first"] for r in runs))
+        size.append(len(data) + removed[-1])
+        kept.append(data.decode("utf-8", "ignore"))
+        digests.append(hashlib.sha256(data).hexdigest())
+    span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    return pa.record_batch(
+        [batch.column(0), pa.array(kept, pa.string()), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+         pa.array(spans, span), pa.array(digests, pa.string())],
+        names=["row", "kept", "n_bytes", "n_removed", "spans", "kept_sha256"])
 
 
 def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -455,18 +469,19 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
         F.pmod(F.xxhash64(text), F.lit(_MARKS)).alias("mark"), others.alias("row"), text.alias("text"))
-    found = texts.select("doc", "text", "mark").mapInArrow(_find(length), "gram long, doc long, packed long")
+    found = texts.select("doc", "text", "mark").mapInArrow(_find(length), "gram long, doc long, packed long, kind byte")
+    deal = F.when(F.col("kind") == _KNOWN, F.xxhash64("doc", "packed")).otherwise(F.col("gram"))
     repeated = shelf.keep(
-        found.repartition(tasks, "gram").sortWithinPartitions("gram")
+        found.repartition(tasks, deal).sortWithinPartitions("gram")
         .mapInArrow(_repeated, "gram long, doc long, packed long"), "repeated")
     hot = repeated.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select("gram", F.lit(True).alias("hot"))
     total = repeated.count()
     parts = max(tasks, -(-total // RANGE_ROWS))
-    splitters = _splitters(texts, length, parts)
+    splitters = _splitters(texts, repeated, parts)
     by_text = (
         repeated.join(hot, "gram", "left").groupBy("doc", F.expr(f"packed & {_MARKS - 1}").alias("mark"))
         .agg(F.collect_list(F.struct("packed", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("anchors")))
-    runs = texts.select("doc", "mark", "text").mapInArrow(_squeeze, "doc long, mark long, text binary") \
+    runs = texts.select("doc", "mark", "text").mapInArrow(squeeze, "doc long, mark long, text binary") \
         .join(by_text, ["doc", "mark"]).select("doc", "text", "anchors").mapInArrow(
         _runs(length, splitters),
         "part int, shared binary, rest_size binary, rest binary, left_size binary, left binary, doc binary, packed binary")
@@ -476,7 +491,7 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
         "covered")
     shelf.drop("repeated")
     kind = "row " + texts.schema["row"].dataType.simpleString()
-    rows = texts.mapInArrow(_squeeze, f"doc long, mark long, {kind}, text binary").join(covered, ["doc", "mark"], "left")
+    rows = texts.mapInArrow(squeeze, f"doc long, mark long, {kind}, text binary").join(covered, ["doc", "mark"], "left")
     return rows.select("row", "text", "stretches").mapInArrow(
         _remove, f"{kind}, kept string, n_bytes long, n_removed long, "
         "spans array<struct<first: bigint, last: bigint>>, kept_sha256 string")

@@ -6,15 +6,13 @@ only the rest is merged. Strings of up to 16 bytes are compared as two 8-byte nu
 length, longer ones as bytes, so that a match is never a matter of hashes.
 """
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import Cache, Vocabulary
 from .pretokens import pre_tokens
-from .words import pieces, utf8
+from .words import pieces, released, small_batches, utf8
 
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1] * 9, np.uint64)
 
@@ -70,7 +68,7 @@ class WholeTokens:
 
 
 class _Counts:
-    """Whole tokens and the words met beside them; one for each worker."""
+    """Whole tokens and the words met beside them; one for each task."""
 
     def __init__(self, vocabulary, whole):
         self.vocabulary, self.whole, self.cache = vocabulary, whole, Cache(vocabulary)
@@ -89,22 +87,17 @@ class _Counts:
         return total[of[1:]] - total[of[:-1]]
 
 
-_counts: dict = {}
-
-
 def _count(shared):
     def count(batches):
-        key, vocabulary, whole = shared.value
-        if key not in _counts:
-            _counts.clear()
-            _counts[key] = _Counts(vocabulary, whole)
+        counts = None
         for batch in batches:
+            counts = counts or _Counts(*shared.value)
             data, bounds = utf8(batch.column(1))
-            counted = [
-                _counts[key].count(data[bounds[a]: bounds[b]], bounds[a: b + 1] - bounds[a]) for a, b in pieces(bounds)]
+            counted = [counts.count(data[bounds[a]: bounds[b]], bounds[a: b + 1] - bounds[a]) for a, b in pieces(bounds)]
             yield pa.record_batch(
                 [batch.column(0), pa.array(np.diff(bounds)), pa.array(np.concatenate([*counted, np.zeros(0, np.int64)]))],
                 names=["doc_id", "n_bytes", "n_tokens"])
+        released()
     return count
 
 
@@ -115,8 +108,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     strings of special tokens inside a text count one. Null and empty texts count 0. Repeated rows
     and null ids are returned as they come; other columns are left out.
     """
+    small_batches(docs.sparkSession)
     vocabulary = Vocabulary(path)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, vocabulary, WholeTokens(vocabulary)))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, WholeTokens(vocabulary)))
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _count(shared), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -8,14 +8,12 @@ Gradients flow through the places of the largest responses only. The score is ca
 texts that took no part in training; thresholds by language are found on the same texts.
 """
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .labelled import fold, labelled_sample, logistic
-from .words import IS_SIGN, mix, pieces, utf8, word_hashes, word_spans
+from .words import IS_SIGN, mix, pieces, small_batches, utf8, word_hashes, word_spans
 
 #: Labelled rows that the classifier is trained and calibrated on, at most.
 SAMPLE_ROWS = 10_000
@@ -193,6 +191,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
     flagged tells if the score reaches the threshold found for the row's language. Labels of the
     fold `held_out` are never learned from. Null ids and repeated rows are scored like others.
     """
+    small_batches(docs.sparkSession)
     texts, y, langs = labelled_sample(docs, labels, "toxic", folds, held_out, SAMPLE_ROWS)
     network, slope, offset, thresholds = fit(texts, y, langs)
     shared = docs.sparkSession.sparkContext.broadcast((network, slope, offset))

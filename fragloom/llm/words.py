@@ -6,8 +6,13 @@ A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as a-
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
-PIECE_BYTES = 2 << 20
+#: Bytes of text that are worked on at once; each costs about 50 bytes of memory.
+PIECE_BYTES = 1 << 19
+
+#: Session settings that `small_batches` lowers.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 _random = np.random.default_rng(20240611)
 _BYTE = _random.integers(1, 2**64, 256, dtype=np.uint64, endpoint=False) | np.uint64(1)
@@ -98,3 +103,44 @@ def shingle_sets(texts: pa.Array, k: int):
         words = word_hashes(part, starts, ends)
         for i in range(last - first):
             yield np.unique(shingle_hashes(words[of[i]: of[i + 1]], k))
+
+
+def squeeze(batches):
+    """Replace the text, the last column, by its compressed bytes, for shuffles of whole texts."""
+    for batch in batches:
+        data, bounds = utf8(batch.column(batch.num_columns - 1))
+        press = zstandard.ZstdCompressor(3).compress
+        texts = [press(data[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "text"])
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def gathered(batches, rows: int = 20_000):
+    """Tables of at least so many rows (but for the last) from small batches of narrow rows."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def small_batches(spark) -> None:
+    """Whole texts cross to Python and back in batches of a few megabytes: by default a batch has
+    10,000 rows, which for texts means hundreds of megabytes on both sides of every task."""
+    for name, most in BATCH_LIMITS.items():
+        now = int(spark.conf.get(name).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
+def released():
+    """Give memory of finished batches back: workers live on and share their machine."""
+    pa.default_memory_pool().release_unused()
