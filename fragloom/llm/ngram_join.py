@@ -89,6 +89,7 @@ def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         .select("shingle", F.floor(F.log2("n")).cast("int").alias("level")).toArrow())
     shingles = rows["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(shingles)
+    released()
     return shingles[order], rows["level"].to_numpy()[order]
 
 
@@ -202,11 +203,9 @@ def _whole_tiles(batches):
         yield rest.combine_chunks()
 
 
-def _pairs(threshold, with_root):
-    """Pairs that pass the bound, x the larger row, with the number of differing bits.
-
-    With roots: all pairs of different roots. Without them: all pairs of small tiles, and of large
-    ones the best earlier row of each row.
+def _pairs(threshold, with_root, best):
+    """Pairs that pass the bound, x the larger row, with the number of differing bits; with roots
+    only those of different roots. `best`: of large tiles the best earlier row of each row.
     """
     def pairs(batches):
         for table in _whole_tiles(batches):
@@ -216,7 +215,7 @@ def _pairs(threshold, with_root):
             names, number = np.unique(doc, return_inverse=True)
             begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             rows = np.diff(np.append(begin, len(token)))
-            large = np.repeat(rows > SMALL_TILE, rows) & (not with_root)
+            large = np.repeat(rows > SMALL_TILE, rows) & best
             held, count = [], 0
 
             def flush():
@@ -307,31 +306,42 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
         whole = rows.join(sizes.filter("parts > 1"), "token", "left_anti")
         return whole.select(*rows.columns).union(cut.select(*rows.columns))
 
-    def met(rows, columns, with_root):
+    def met(rows, columns, with_root, best):
         return (
             rows.join(bitmaps, ["doc_id", "mark"]).select(*in_order, "bitmap", *columns)
             .repartition(tasks, "token").sortWithinPartitions(*in_order)
-            .mapInArrow(_pairs(threshold, with_root), "x long, y long, bits long")
+            .mapInArrow(_pairs(threshold, with_root, best), "x long, y long, bits long")
             .groupBy("x", "y").agg(F.min("bits").alias("bits")))
 
-    passing = shelf.keep(met(tiled(multi, False), [], False), "passing")
+    passing = shelf.keep(met(tiled(multi, False), [], False, True), "passing")
     first = shelf.keep(passing.groupBy("x").agg(F.min_by("y", F.struct("bits", "y")).alias("y")), "first")
     linked = shelf.keep(_linked(docs, first, k, threshold), "linked")
     roots = shelf.keep(components(linked, shelf, "early"), "roots")
 
-    # What is left: pairs between different components, untested so far.
-    def rooted(rows, column, name):
+    def rooted(rows, column, name, roots):
         known = roots.select(F.col("vertex").alias(column), F.col("root").alias("_root"))
         return rows.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
-    apart = rooted(rooted(passing, "x", "a"), "y", "b").filter("a <> b").select("x", "y")
-    large = rooted(multi.join(sizes, "token", "left_semi"), "doc_id", "root")
+    # In large tiles the best partner in another component comes next: it joins most of what
+    # belongs together with one more pair for each document.
+    large = shelf.keep(multi.join(sizes, "token", "left_semi"), "large")
+    closest = shelf.keep(
+        met(tiled(rooted(large, "doc_id", "root", roots), True), ["root"], True, True)
+        .groupBy("x").agg(F.min_by("y", F.struct("bits", "y")).alias("y"))
+        .join(first, ["x", "y"], "left_anti"), "closest")
+    if not closest.isEmpty():
+        first = first.union(closest)
+        linked = shelf.keep(linked.union(_linked(docs, closest, k, threshold)), "linked-2")
+        roots = shelf.keep(components(linked, shelf, "middle"), "roots-2")
+
+    # What is left: pairs between different components, untested so far.
+    apart = rooted(rooted(passing, "x", "a", roots), "y", "b", roots).filter("a <> b").select("x", "y")
     second = shelf.keep(
-        apart.union(met(tiled(large, True), ["root"], True).select("x", "y")).distinct()
+        apart.union(met(tiled(rooted(large, "doc_id", "root", roots), True), ["root"], True, False).select("x", "y")).distinct()
         .join(first, ["x", "y"], "left_anti"), "second")
     more = shelf.keep(_linked(docs, second, k, threshold), "more")
     final = components(linked.union(more), shelf, "final") if not more.isEmpty() else roots
-    shelf.drop("multi", "passing", "first", "second")
+    shelf.drop("multi", "large", "passing", "first", "closest", "second")
 
     known = classes.join(final.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
         *same, "class_id", F.coalesce("root", "class_id").alias("component_id"))

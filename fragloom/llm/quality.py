@@ -93,6 +93,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     small_batches(docs.sparkSession)
     texts, y, _ = labelled_sample(docs, labels, "quality", folds, held_out, SAMPLE_ROWS)
     shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
+    del texts
+    released()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
     kind = rows.schema["row"].dataType.simpleString()
     scored = rows.mapInArrow(_score(shared), f"row {kind}, text string, score double")

@@ -408,6 +408,8 @@ def _splitters(docs: DataFrame, repeated: DataFrame, parts: int) -> list[bytes]:
         if len(key) == GRAM:
             keys.append(key)
     keys.sort()
+    del found, sample, texts
+    released()
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
