@@ -33,6 +33,32 @@ def test_query_without_sql(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 
 
+def test_model_queries_run_the_whole_job(spark, monkeypatch):
+    from fragloom.operators import model as md
+    from fragloom.params import DEFAULTS
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def trained(features, labelled, params=DEFAULTS, size=md.Learner(), candidates=tuple(md.CANDIDATES)):
+        seen.append((params, size, tuple(candidates)))
+        raise Stop
+
+    def validated(name, vectors, folds, params=DEFAULTS, size=md.Learner()):
+        seen.append((params, size, name))
+        return vectors
+
+    monkeypatch.setattr(md, "train", trained)
+    monkeypatch.setattr(md, "cross_validate", validated)
+    for name in ("model_cv_predictions", "model_predict"):
+        with pytest.raises(Stop):
+            entry.queries()[name](spark, SF)
+    for name in ("model_cv_logistic", "model_cv_forest", "model_cv_boosting"):
+        entry.queries()[name](spark, SF)
+    assert seen == [*[(DEFAULTS, md.Learner(), tuple(md.CANDIDATES))] * 2, *[(DEFAULTS, md.Learner(), c) for c in md.CANDIDATES]]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
