@@ -43,7 +43,6 @@ SPLITTER_TEXTS = 4_000
 #: Occurrences of one k-gram from which its passages are sorted one by one.
 HOT_ROWS = 100_000
 _PLACE = np.uint64((1 << 28) - 1)
-_MARKS = 1 << 17
 #: Texts that are written out at once.
 REMOVED_ROWS = 1_000
 #: Of a row on its way to the others with its k-gram: to be found out; repeated for sure, and so
@@ -87,37 +86,36 @@ def text_anchors(data: np.ndarray, length: int, stretch: int = 1 << 22):
         yield hashes, place + start, first + start, last + start
 
 
-def pack(place, first, last, mark):
-    """Place of an anchor, the reach of its passages to the left, and a mark of the text."""
-    return place << 31 | (place - first) << 24 | (place - last) << 17 | mark
+def pack(place, first, last):
+    """Place of an anchor and the reach of its passages to the left."""
+    return place << 14 | (place - first) << 7 | (place - last)
 
 
 def unpack(packed):
-    return packed >> 31, (packed >> 24) & 127, (packed >> 17) & 127, packed & (_MARKS - 1)
+    return packed >> 14, (packed >> 7) & 127, packed & 127
 
 
 def _find(length):
     def find(batches):
         for batch in batches:
             data, bounds = utf8(batch.column(1))
-            marks = batch.column(2).to_numpy()
-            docs = batch.column(0).to_numpy()
+            keys = batch.column(0).to_numpy()
             held, count = [], 0
 
             def flush():
-                gram, doc, packed = (np.concatenate(c) for c in zip(*held))
+                gram, key, packed = (np.concatenate(c) for c in zip(*held))
                 held.clear()
                 _, first, group, n = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
                 # Met twice here: known to be repeated, one row tells the others with its k-gram.
                 kind = np.where(n[group] > 1, _KNOWN, _OPEN)
                 told = first[n > 1]
-                gram, doc, packed = (np.concatenate([c, c[told]]) for c in (gram.view(np.int64), doc, packed))
+                gram, key, packed = (np.concatenate([c, c[told]]) for c in (gram.view(np.int64), key, packed))
                 kind = np.concatenate([kind, np.full(len(told), _WITNESS)]).astype(np.int8)
-                return pa.record_batch([pa.array(c) for c in (gram, doc, packed, kind)], names=["gram", "doc", "packed", "kind"])
+                return pa.record_batch([pa.array(c) for c in (gram, key, packed, kind)], names=["gram", "key", "packed", "kind"])
 
             for i in np.flatnonzero(np.diff(bounds) >= length).tolist():
                 for gram, place, first, last in text_anchors(data[bounds[i]: bounds[i + 1]], length):
-                    held.append((gram, np.full(len(gram), docs[i]), pack(place, first, last, marks[i])))
+                    held.append((gram, np.full(len(gram), keys[i]), pack(place, first, last)))
                     count += len(gram)
                 if count > 200_000:
                     yield flush()
@@ -166,8 +164,8 @@ def common_prefixes(strings: list[bytes]) -> np.ndarray:
 class Piece:
     """Items of one run and key range: sorted suffixes with what stands before and who owns them."""
 
-    def __init__(self, right, left, doc, packed):
-        self.right, self.left, self.doc, self.packed = right, left, doc, packed
+    def __init__(self, right, left, doc, key, packed):
+        self.right, self.left, self.doc, self.key, self.packed = right, left, doc, key, packed
 
     def coded(self):
         """Front-coded: common prefix with the suffix before, and the rest."""
@@ -177,7 +175,7 @@ class Piece:
         pack_ = zstandard.ZstdCompressor(1).compress
         return (
             pack_(shared.astype(np.uint8).tobytes()), pack_(size(rest)), pack_(b"".join(rest)), pack_(size(self.left)),
-            pack_(b"".join(self.left)), self.doc.tobytes(), self.packed.tobytes())
+            pack_(b"".join(self.left)), pack_(self.doc.tobytes()), pack_(self.key.tobytes()), self.packed.tobytes())
 
 
 def _bytes(data: bytes) -> np.ndarray:
@@ -193,60 +191,62 @@ def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
 def _runs(length, splitters):
     """Sort the suffixes of a task into runs and cut them by key ranges."""
     def runs(batches):
-        right, left, doc, packed = [], [], [], []
+        right, left, doc, key, packed = [], [], [], [], []
 
         def flush():
-            order = sorted(range(len(right)), key=lambda i: (right[i], left[i], doc[i], packed[i] >> 31))
+            order = sorted(range(len(right)), key=lambda i: (right[i], left[i], doc[i], packed[i] >> 14))
             stay, covered = [], []
             before = None
             for i in order:
                 # Equal contexts hold equal passages: only the first one is sent.
                 if before is not None and right[i] == right[before] and left[i] == left[before]:
-                    if (doc[i], packed[i] >> 31) != (doc[before], packed[before] >> 31):
+                    if (doc[i], packed[i] >> 14) != (doc[before], packed[before] >> 14):
                         covered.append(i)
                         continue
-                    if packed[i] == packed[before]:
+                    if (key[i], packed[i]) == (key[before], packed[before]):
                         continue
                 stay.append(i)
                 before = i
-            keys = [right[i] for i in stay]
-            docs, packs = np.array(doc, np.int64), np.array(packed, np.int64)
-            cuts = [0, *(bisect.bisect_left(keys, s) for s in splitters), len(keys)]
+            heads = [right[i] for i in stay]
+            docs, keys, packs = np.array(doc, np.int64), np.array(key, np.int64), np.array(packed, np.int64)
+            cuts = [0, *(bisect.bisect_left(heads, s) for s in splitters), len(heads)]
             for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a < b:
                     some = stay[a:b]
-                    yield (number, *Piece(keys[a:b], [left[i] for i in some], docs[some], packs[some]).coded())
+                    yield (number, *Piece(heads[a:b], [left[i] for i in some], docs[some], keys[some], packs[some]).coded())
             if covered:
-                place, most, least, mark = unpack(packs[covered])
-                yield (-1, b"", b"", b"", b"", b"", docs[covered].tobytes(),
-                       np.concatenate([place - most, place - least, mark]).tobytes())
-            for held in (right, left, doc, packed):
+                place, most, least = unpack(packs[covered])
+                yield (-1, b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
+                       np.concatenate([place - most, place - least]).tobytes())
+            for held in (right, left, doc, key, packed):
                 held.clear()
 
-        names = ["part", "shared", "rest_size", "rest", "left_size", "left", "doc", "packed"]
+        names = ["part", "shared", "rest_size", "rest", "left_size", "left", "doc", "key", "packed"]
 
         def rows():
             found = list(flush())
-            kinds = [pa.int32(), *[pa.binary()] * 7]
+            kinds = [pa.int32(), *[pa.binary()] * 8]
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
         for batch in batches:
-            docs, texts, lists = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            docs, keys, texts, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
                 text = unsqueezed(texts[i].as_py())
                 for item in lists[i].as_py():
                     own, hot = item["packed"], item["hot"]
-                    place, most, least, mark = unpack(own)
+                    place, most, least = unpack(own)
                     if hot:
                         for start in range(place - most, place - least + 1):
                             right.append(text[start: start + length])
                             left.append(b"")
                             doc.append(docs[i])
-                            packed.append(pack(start, start, start, mark))
+                            key.append(keys[i])
+                            packed.append(pack(start, start, start))
                     else:
                         right.append(text[place: place - least + length])
                         left.append(text[place - most: place])
                         doc.append(docs[i])
+                        key.append(keys[i])
                         packed.append(own)
                 if len(right) > RUN_ROWS:
                     yield rows()
@@ -315,7 +315,7 @@ def covered_starts(right_shared, left, doc, packed, length):
     Items are in suffix order; right_shared holds the common prefixes of neighbours.
     """
     n = len(doc)
-    place, most, least, _ = unpack(packed)
+    place, most, least = unpack(packed)
     turned = [s[::-1] for s in left]
     by_left = np.array(sorted(range(n), key=turned.__getitem__), np.int64)
     left_shared = common_prefixes([turned[i] for i in by_left.tolist()])
@@ -350,37 +350,37 @@ def covered_starts(right_shared, left, doc, packed, length):
     return item, place[item] - (end - 1), place[item] - begin
 
 
-_COVER = "doc long, mark long, first long, last long"
+_COVER = "key long, first long, last long"
 
 
 def _combine(length):
     """Merge the pieces of each key range and give the covered stretches of starts."""
-    def rows(doc, mark, first, last):
-        return pa.record_batch([pa.array(c) for c in (doc, mark, first, last)], names=["doc", "mark", "first", "last"])
+    def rows(key, first, last):
+        return pa.record_batch([pa.array(c) for c in (key, first, last)], names=["key", "first", "last"])
 
     def merge(held):
-        runs, left, doc, packed = [], [], [], []
+        runs, left, doc, key, packed = [], [], [], [], []
         for r in held:
             runs.append((_bytes(r["shared"]), _cut(r["rest"], _bytes(r["rest_size"]))))
             left.append(_cut(r["left"], _bytes(r["left_size"])))
-            doc.append(np.frombuffer(r["doc"], np.int64))
+            doc.append(np.frombuffer(unsqueezed(r["doc"]), np.int64))
+            key.append(np.frombuffer(unsqueezed(r["key"]), np.int64))
             packed.append(np.frombuffer(r["packed"], np.int64))
         run, item, shared = (np.array(c, np.int64) for c in zip(*merged(runs)))
         offset = np.cumsum([0, *map(len, doc)])
         at = offset[run] + item
         flat = [s for strings in left for s in strings]
-        doc, packed = np.concatenate(doc)[at], np.concatenate(packed)[at]
+        doc, key, packed = (np.concatenate(c)[at] for c in (doc, key, packed))
         found, first, last = covered_starts(shared, [flat[i] for i in at.tolist()], doc, packed, length)
-        return rows(doc[found], unpack(packed[found])[3], first, last)
+        return rows(key[found], first, last)
 
     def combine(batches):
         part, held = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["part"] < 0:
-                    doc = np.frombuffer(row["doc"], np.int64)
-                    first, last, mark = np.frombuffer(row["packed"], np.int64).reshape(3, -1)
-                    yield rows(doc, mark, first, last)
+                    first, last = np.frombuffer(row["packed"], np.int64).reshape(2, -1)
+                    yield rows(np.frombuffer(row["key"], np.int64), first, last)
                     continue
                 if row["part"] != part and held:
                     yield merge(held)
@@ -394,17 +394,17 @@ def _combine(length):
 
 def _splitters(docs: DataFrame, repeated: DataFrame, parts: int) -> list[bytes]:
     """Keys that cut the repeated suffixes of a bounded sample of texts into equal parts."""
-    sample = docs.select("doc", "mark", F.substring("text", 1, 20_000).alias("text")).orderBy(
-        F.xxhash64("doc", "mark")).limit(SPLITTER_TEXTS).toArrow()
-    texts = {(d, m): t.encode() for d, m, t in zip(*(sample[c].to_pylist() for c in ("doc", "mark", "text")))}
+    sample = docs.select("key", F.substring("text", 1, 20_000).alias("text")).orderBy(
+        F.xxhash64("key")).limit(SPLITTER_TEXTS).toArrow()
+    texts = {k: t.encode() for k, t in zip(*(sample[c].to_pylist() for c in ("key", "text")))}
     if not texts:
         return []
-    ids = docs.sparkSession.createDataFrame(sorted({d for d, _ in texts}), "long").toDF("doc")
-    found = repeated.join(F.broadcast(ids), "doc").select("doc", "packed").toArrow()
+    ids = docs.sparkSession.createDataFrame(sorted(texts), "long").toDF("key")
+    found = repeated.join(F.broadcast(ids), "key").select("key", "packed").toArrow()
     keys = []
-    for doc, packed in zip(found["doc"].to_pylist(), found["packed"].to_pylist()):
-        place, _, _, mark = unpack(packed)
-        key = texts.get((doc, mark), b"")[place: place + GRAM]
+    for text, packed in zip(found["key"].to_pylist(), found["packed"].to_pylist()):
+        place, _, _ = unpack(packed)
+        key = texts[text][place: place + GRAM]
         if len(key) == GRAM:
             keys.append(key)
     keys.sort()
@@ -468,32 +468,33 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce("text", F.lit(""))
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    # A text is known by all 64 bits of a hash of its document and itself; rows equal in both are one.
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
-        F.pmod(F.xxhash64(text), F.lit(_MARKS)).alias("mark"), others.alias("row"), text.alias("text"))
-    found = texts.select("doc", "text", "mark").mapInArrow(_find(length), "gram long, doc long, packed long, kind byte")
-    deal = F.when(F.col("kind") == _KNOWN, F.xxhash64("doc", "packed")).otherwise(F.col("gram"))
+        doc.alias("doc"), F.xxhash64(doc, text).alias("key"), others.alias("row"), text.alias("text"))
+    found = texts.select("key", "text").mapInArrow(_find(length), "gram long, key long, packed long, kind byte")
+    deal = F.when(F.col("kind") == _KNOWN, F.xxhash64("key", "packed")).otherwise(F.col("gram"))
     repeated = shelf.keep(
         found.repartition(tasks, deal).sortWithinPartitions("gram")
-        .mapInArrow(_repeated, "gram long, doc long, packed long"), "repeated")
+        .mapInArrow(_repeated, "gram long, key long, packed long"), "repeated")
     hot = repeated.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select("gram", F.lit(True).alias("hot"))
     total = repeated.count()
     parts = max(tasks, -(-total // RANGE_ROWS))
     splitters = _splitters(texts, repeated, parts)
     by_text = (
-        repeated.join(hot, "gram", "left").groupBy("doc", F.expr(f"packed & {_MARKS - 1}").alias("mark"))
+        repeated.join(hot, "gram", "left").groupBy("key")
         .agg(F.collect_list(F.struct("packed", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("anchors")))
-    runs = texts.select("doc", "mark", "text").mapInArrow(squeeze, "doc long, mark long, text binary") \
-        .join(by_text, ["doc", "mark"]).select("doc", "text", "anchors").mapInArrow(
+    runs = texts.select("doc", "key", "text").mapInArrow(squeeze, "doc long, key long, text binary") \
+        .join(by_text, "key").select("doc", "key", "text", "anchors").mapInArrow(
         _runs(length, splitters),
-        "part int, shared binary, rest_size binary, rest binary, left_size binary, left binary, doc binary, packed binary")
+        "part int, shared binary, rest_size binary, rest binary, left_size binary, left binary, doc binary, key binary, packed binary")
     covered = shelf.keep(
         runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_combine(length), _COVER)
-        .groupBy("doc", "mark").agg(F.collect_set(F.struct("first", (F.col("last") + length).alias("last"))).alias("stretches")),
+        .groupBy("key").agg(F.collect_set(F.struct("first", (F.col("last") + length).alias("last"))).alias("stretches")),
         "covered")
     shelf.drop("repeated")
     kind = "row " + texts.schema["row"].dataType.simpleString()
-    rows = texts.mapInArrow(squeeze, f"doc long, mark long, {kind}, text binary").join(covered, ["doc", "mark"], "left")
+    rows = texts.mapInArrow(squeeze, f"doc long, key long, {kind}, text binary").join(covered, "key", "left")
     return rows.select("row", "text", "stretches").mapInArrow(
         _remove, f"{kind}, kept string, n_bytes long, n_removed long, "
         "spans array<struct<first: bigint, last: bigint>>, kept_sha256 string")

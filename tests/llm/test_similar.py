@@ -139,6 +139,27 @@ def test_suffix_dedup_odd_rows(rows):
     assert got == [(-1, 0, 0), (2, 1, 1), (2, 300, 300), (2, 300, 300), (3, 0, 0)]
 
 
+def test_suffix_dedup_of_many_null_ids(rows):
+    pick = random.Random(11)
+    sign = lambda n: "".join(pick.choices("abcdefghijklmnop ", k=n))
+    passages_ = [sign(160) for _ in range(40)]
+    texts = [sign(pick.randrange(0, 60)) + pick.choice(passages_) + sign(pick.randrange(0, 600)) for _ in range(2_000)]
+    found = repeated_passages(rows([(None, t, i) for i, t in enumerate(texts)], "doc_id long, text string, number int")).collect()
+    # All null ids are one document: of its equal passages those at the least place stay.
+    least, want = {}, {}
+    for t in texts:
+        for s in range(len(t) - 99):
+            w = t[s: s + 100]
+            least[w] = min(s, least.get(w, s))
+    for i, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for s in range(len(t) - 99):
+            if least[t[s: s + 100]] < s:
+                gone[s: s + 100] = b"\1" * 100
+        want[i] = "".join(c for c, g in zip(t, gone) if not g)
+    assert {r["row"]["number"]: r.kept for r in found} == want
+
+
 def test_loser_tree_merges_and_knows_prefixes():
     pick = random.Random(6)
     runs = [sorted(bytes(pick.choice(b"ab") for _ in range(pick.randrange(1, 9))) for _ in range(pick.randrange(1, 40))) for _ in range(7)]
