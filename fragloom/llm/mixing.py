@@ -124,11 +124,20 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3) -> DataFrame:
     last copies follows a hash of their ids, so that reruns agree. Null ids and repeated rows are
     documents like others; documents without words take nothing. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    shelf = Shelf(spark, "mixing")
-    sizes = shelf.keep(docs.select(
+    decided, targets = _decided(docs, weights, cap)
+    return decided.join(targets.select("key", "source_size", "target"), "key").select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _decided(docs: DataFrame, weights, cap: int, *carried) -> tuple[DataFrame, DataFrame]:
+    """doc_id, source, key, size, the columns `carried` and copies of every row; and the targets."""
+    shelf = Shelf(docs.sparkSession, "mixing")
+    # Tells rows of one id apart; maps have no hash.
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    columns = [
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        source_key(F.col("source").cast("string")).alias("key"), word_count(F.col("text")).alias("size")), "sizes")
+        source_key(F.col("source").cast("string")).alias("key"), word_count(F.col("text")).alias("size"), tie.alias("tie")]
+    sizes = shelf.keep(docs.select(*columns), "sizes")
     targets = shelf.keep(source_targets(sizes, weights, cap), "targets")
     histogram = shelf.keep(sizes.filter("size > 0").groupBy("key", "size").agg(F.count("*").alias("n")), "histogram")
     tilts = balance(histogram, targets, shelf, cap)
@@ -138,35 +147,35 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3) -> DataFrame:
         cap), "strata")
     shelf.drop("histogram")
     # The first `copies mod n` documents of a stratum, by hash, take one copy more than the others.
-    known = sizes.join(strata, ["key", "size"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") / STRATUM_ROWS))))
-    known = shelf.keep(known, "known")
+    def placed(rows):
+        return rows.join(strata, ["key", "size"], "left").withColumn("part", F.pmod(
+            F.xxhash64(F.coalesce("doc_id", "tie")), F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") / STRATUM_ROWS))))
+
+    known = shelf.keep(placed(sizes), "known")
     parts = known.filter(F.col("n") > STRATUM_ROWS).groupBy("key", "size", "part").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("key", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("key", "size", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("key", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
+    inside = Window.partitionBy("key", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "tie")
+    # Texts are not written again: carried columns are read with the documents.
+    known = placed(docs.select(*columns, *carried)) if carried else known
     rows = known.filter("size > 0")
     ranked = rows.withColumn("rank", F.row_number().over(inside)).join(offsets, ["key", "size", "part"], "left").withColumn(
         "rank", F.col("rank") + F.coalesce("offset", F.lit(0)))
     copies = F.floor(F.col("copies") / F.col("n")) + (F.col("rank") <= F.col("copies") % F.col("n")).cast("long")
-    out = ranked.select("doc_id", "source", "key", "size", copies.cast("long").alias("copies")).union(
-        known.filter("size = 0").select("doc_id", "source", "key", "size", F.lit(0).cast("long")))
-    return out.join(targets.select("key", "source_size", "target"), "key").select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    kept = [c for c in known.columns if c not in ("tie", "n", "copies", "part")]
+    return ranked.select(*kept, copies.cast("long").alias("copies")).union(
+        known.filter("size = 0").select(*kept, F.lit(0).cast("long"))), targets
 
 
 def mixed_documents(docs: DataFrame, weights=(1, 2, 3), cap: int = 3) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it; the columns stay.
 
-    Documents without words, which no mix of words can weigh, stay once. Rows that repeat a doc_id,
-    source and size get the mean of their copies, rounded down.
+    Documents without words, which no mix of words can weigh, stay once. Every row has its own
+    copies, also when it shares a doc_id or has none.
     """
-    decided = mix(docs, weights, cap).groupBy("doc_id", "source", "size").agg(
-        F.floor(F.avg("copies")).cast("int").alias("_copies")).withColumnsRenamed(
-        {"doc_id": "_doc", "source": "_source", "size": "_size"})
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source")) & (
-        F.col("_words") == F.col("_size"))
-    times = F.when(F.col("_words") == 0, 1).otherwise(F.col("_copies"))
-    return sized.join(decided, on).withColumn("_times", times).filter("_times > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    decided, _ = _decided(docs, weights, cap, row)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int")
+    return decided.select("row", times.alias("times")).filter("times > 0").select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("times")))).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -74,6 +74,21 @@ def test_mix(rows, stratum, monkeypatch):
             assert counts.get(r.doc_id, 0) == (r.copies if r["size"] else 1)
 
 
+def test_rows_of_one_id_keep_their_own_copies(rows):
+    data = [(None, f"{i} b c", "a") for i in range(37)] + [(7, f"{i} x", "b") for i in range(11)] + [(8, "y z", "b")] * 3 + [
+        (i, " ".join(["w"] * 3), "c") for i in range(100, 160)]
+    docs = rows(data, "doc_id long, text string, source string")
+    want = {}
+    for r in mix(docs).collect():
+        want[r.source, r["size"]] = want.get((r.source, r["size"]), 0) + r.copies
+    got = {}
+    for r in mixed_documents(docs).collect():
+        key = r.source, len(r.text.split())
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert any(n % sum((s, len(t.split())) == k for _, t, s in data) for k, n in want.items() if k[0] != "c")
+
+
 def test_mix_of_nothing(rows):
     schema = "doc_id long, text string, source string"
     assert mix(rows([], schema)).count() == mixed_documents(rows([], schema)).count() == 0
