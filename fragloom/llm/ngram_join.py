@@ -280,11 +280,17 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))
     sets = shelf.keep(docs.mapInArrow(
         _sketch(k, threshold, frequent),
-        "doc_id long, n long, mark long, other long, bitmap binary, prefix array<long>"), "sets")
+        "doc_id long, n long, mark long, other long, bitmap binary, prefix array<long>")
+        .withColumn("row", F.monotonically_increasing_id()), "sets")
     usable = sets.filter("n > 0 AND doc_id IS NOT NULL")
     same = ["n", "mark", "other"]
-    classes = shelf.keep(usable.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
-    leaders = usable.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same])
+    # One row leads each class, however many rows repeat its doc_id.
+    entries = usable.groupBy("doc_id", *same).agg(F.min("row").alias("row"))
+    classes = shelf.keep(
+        entries.groupBy(*same).agg(F.min(F.struct("doc_id", "row")).alias("least"))
+        .select(*same, F.col("least.doc_id").alias("class_id"), F.col("least.row").alias("row")), "classes")
+    leaders = usable.join(classes.select("row"), "row", "left_semi")
+    repeats = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
     in_order = ["token", "n", "doc_id"]
     multi = shelf.keep(
         leaders.select(F.explode("prefix").alias("token"), "n", "doc_id", "mark")
@@ -315,7 +321,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
 
     passing = shelf.keep(met(tiled(multi, False), [], False, True), "passing")
     first = shelf.keep(passing.groupBy("x").agg(F.min_by("y", F.struct("bits", "y")).alias("y")), "first")
-    linked = shelf.keep(_linked(docs, first, k, threshold), "linked")
+    linked = shelf.keep(_linked(docs, first, k, threshold, repeats), "linked")
     roots = shelf.keep(components(linked, shelf, "early"), "roots")
 
     def rooted(rows, column, name, roots):
@@ -331,7 +337,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
         .join(first, ["x", "y"], "left_anti"), "closest")
     if not closest.isEmpty():
         first = first.union(closest)
-        linked = shelf.keep(linked.union(_linked(docs, closest, k, threshold)), "linked-2")
+        linked = shelf.keep(linked.union(_linked(docs, closest, k, threshold, repeats)), "linked-2")
         roots = shelf.keep(components(linked, shelf, "middle"), "roots-2")
 
     # What is left: pairs between different components, untested so far.
@@ -339,11 +345,11 @@ def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80,
     second = shelf.keep(
         apart.union(met(tiled(rooted(large, "doc_id", "root", roots), True), ["root"], True, False).select("x", "y")).distinct()
         .join(first, ["x", "y"], "left_anti"), "second")
-    more = shelf.keep(_linked(docs, second, k, threshold), "more")
+    more = shelf.keep(_linked(docs, second, k, threshold, repeats), "more")
     final = components(linked.union(more), shelf, "final") if not more.isEmpty() else roots
     shelf.drop("multi", "large", "passing", "first", "closest", "second")
 
-    known = classes.join(final.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
+    known = classes.drop("row").join(final.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
         *same, "class_id", F.coalesce("root", "class_id").alias("component_id"))
     rows = sets.select("doc_id", *same).withColumn("usable", F.expr("n > 0 AND doc_id IS NOT NULL"))
     out = rows.filter("usable").join(known, same).select("doc_id", "n", "class_id", "component_id").union(
@@ -372,13 +378,16 @@ def _shared(threshold):
     return shared
 
 
-def _linked(docs, pairs, k, threshold):
-    """Those of the pairs whose arrays have the overlap that is asked for."""
+def _linked(docs, pairs, k, threshold, repeats):
+    """Those of the pairs whose arrays have the overlap that is asked for. `repeats`: some doc_ids
+    have several rows; their equal texts are opened once."""
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
         .mapInArrow(squeeze, "doc_id long, text binary")
+    if repeats:
+        texts = texts.dropDuplicates(["doc_id", "text"])
     left = texts.select(F.col("doc_id").alias("x"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("y"), F.col("text").alias("right"))
     return pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right").mapInArrow(

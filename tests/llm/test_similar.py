@@ -80,6 +80,16 @@ def test_jaccard_join_odd_rows(rows):
     assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 0, 4, 5]
 
 
+def test_jaccard_join_of_repeated_rows(rows):
+    """A text links two shorter ones that are not linked themselves; its row is there many times."""
+    docs, groups = [], [1, 7, 8, 61, 62, 63, 70]
+    for g, times in enumerate(groups):
+        words = [f"g{g}w{i}" for i in range(100)]
+        docs += [(10 * g, " ".join(words))] * times + [(10 * g + 1, " ".join(words[10:])), (10 * g + 2, " ".join(words[:-10]))]
+    got = {(r.doc_id, r.component_id) for r in jaccard_join(rows(docs, "doc_id long, text string")).collect()}
+    assert got == {(10 * g + i, 10 * g) for g in range(len(groups)) for i in range(3)}
+
+
 def test_components(spark, rows):
     pick = random.Random(8)
     pairs = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1200)] + [(5000, 5000)]
