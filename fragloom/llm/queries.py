@@ -126,3 +126,40 @@ def op4_embedding_near_dedup(spark, sf_dir):
     """Links and components of all vectors with one label at a cosine of 0.98."""
     from .embedding_dedup import near_copies
     return near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@query("""WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+words AS (
+  SELECT 'd' AS kind, doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) FROM benchmark),
+hexed AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)),
+coded AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2),
+      lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) % 10000 AS bucket FROM hexed, crc_table),
+counts AS (
+  SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM words JOIN coded USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + 10000)
+    / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS weight
+  FROM words JOIN coded USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+noise AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h
+  FROM documents d LEFT JOIN weights w ON w.doc_id = d.doc_id),
+scored AS (
+  SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM noise),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id) AS place,
+    10 * (count(*) FILTER (n_features >= 20) OVER ()) // 100 AS most FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= most THEN place END AS rank FROM placed
+""".replace("{UPPER}", UPPER).replace("{LOWER}", LOWER).replace("{WORD}", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+def op11_importance_resampling(spark, sf_dir):
+    """Weight, score and rank of every document in a draw of a tenth towards the benchmark."""
+    from .resampling import importance_scores
+    return importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
