@@ -163,3 +163,12 @@ def op11_importance_resampling(spark, sf_dir):
     """Weight, score and rank of every document in a draw of a tenth towards the benchmark."""
     from .resampling import importance_scores
     return importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_best_fit_packing(spark, sf_dir):
+    """Sequence and place of every piece of all documents in sequences of 2,048 tokens."""
+    import public_tokenizers
+
+    from .packing import packed_pieces
+    return packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
