@@ -172,3 +172,30 @@ def op12_best_fit_packing(spark, sf_dir):
 
     from .packing import packed_pieces
     return packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("""WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS term FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM sizes),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM terms SEMI JOIN asked USING (term) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, nn),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+""".replace("{UPPER}", UPPER).replace("{LOWER}", LOWER).replace("{WORD}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+def op13_ranked_search(spark, sf_dir):
+    """The twenty best documents for every benchmark item."""
+    from .ranked_search import ranked_search
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
