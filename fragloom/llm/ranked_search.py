@@ -123,6 +123,12 @@ def _norms(n: np.ndarray, documents: int, total: int) -> np.ndarray:
     return np.array([100 - NORM_SHARE + NORM_SHARE * x * documents // total for x in n.tolist()], np.int64)
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All whole numbers from each first up to its last, one range after the other."""
+    n = last - first
+    return np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
 class Shard:
     """Impacts of a few thousand documents and their posting lists in blocks."""
 
@@ -155,45 +161,37 @@ class Shard:
             self.block_of[term + 1] = len(starts)
         self.posted, self.starts = posted, np.array([*starts, len(posted)])
         coarse = (-(-self.table // UNIT)).astype(np.uint16)
-        self.summary = np.zeros((len(starts), self.size), np.uint16)
-        step = 4096  # postings whose vectors are copied at once
-        first = 0
-        while first < len(starts):
-            last = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + step, "right")) - 1)
-            a, b = self.starts[first], self.starts[last]
-            self.summary[first:last] = np.maximum.reduceat(coarse[posted[a:b]], self.starts[first:last] - a, axis=0)
-            first = last
+        self.summary = coarse[posted[self.starts[:-1]]]
+        for i in np.flatnonzero(np.diff(self.starts) > 1).tolist():
+            np.maximum.reduce(coarse[posted[self.starts[i]: self.starts[i + 1]]], axis=0, out=self.summary[i])
 
     def search(self, terms, weight, k: int, least: int):
         """Rows that can be among the k best, and their scores; `least` is the score asked for so far.
 
-        Blocks of one list after the other, heaviest term first; the score asked for rises with
-        every list.
+        Blocks of all lists come in the order of their bounds, a growing number at once; the score
+        asked for rises with each turn, and the first bound below it ends the search.
         """
         seen = np.zeros(len(self.ids), bool)
-        rows, scores = [], []
-        best = np.zeros(0, np.int64)
-        for term in terms[np.argsort(-weight, kind="stable")]:
-            first, last = self.block_of[term], self.block_of[term + 1]
-            if first == last:
-                continue
-            bound = self.summary[first:last, terms].astype(np.int64) @ weight * UNIT
-            open_ = np.flatnonzero(bound >= max(least, 1)) + first
-            if not len(open_):
-                continue
-            found = np.concatenate([self.posted[self.starts[i]: self.starts[i + 1]] for i in open_])
+        rows, scores, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(0, np.int64)
+        blocks = _ranges(self.block_of[terms], self.block_of[terms + 1])
+        bound = self.summary[blocks[:, None], terms].astype(np.int64) @ weight * UNIT
+        order = np.argsort(-bound, kind="stable")
+        blocks, bound, first, step = blocks[order], bound[order], 0, 16
+        while first < len(blocks):
+            last = min(first + step, int(np.searchsorted(-bound, -max(least, 1), "right")))
+            if last <= first:
+                break
+            found = np.unique(self.posted[_ranges(self.starts[blocks[first:last]], self.starts[blocks[first:last] + 1])])
             found = found[~seen[found]]
             seen[found] = True
-            score = self.table[np.ix_(found, terms)].astype(np.int64) @ weight
+            score = self.table[found[:, None], terms].astype(np.int64) @ weight
             rows.append(found)
             scores.append(score)
             best = np.concatenate([best, score])
-            if len(best) > k:
-                best = np.partition(best, len(best) - k)[len(best) - k:]
             if len(best) >= k:
+                best = np.partition(best, len(best) - k)[len(best) - k:]
                 least = max(least, int(best.min()))
-        if not rows:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            first, step = last, 2 * step
         rows, scores = np.concatenate(rows), np.concatenate(scores)
         keep = scores >= max(least, 1)
         return rows[keep], scores[keep]
