@@ -157,9 +157,62 @@ def unbinned_fragments(spark, sf):
     return cv.unbinned_fragments(v.fragments(spark, sf), tiles(spark, sf))
 
 
-@query()
+def _lowess_sql():
+    """The robust passes as aggregates over all pairs of gc values of a sample."""
+    passes = ["points0 AS (SELECT *, CAST(1 AS DOUBLE) AS r FROM long)"]
+    for t in range(4):
+        passes.append(f"""
+levels{t} AS MATERIALIZED (SELECT sample_id, metric, x, sum(r) AS r, sum(r * y) AS ry, avg(y) AS mean FROM points{t} GROUP BY ALL),
+sums{t} AS (
+  SELECT w.sample_id, metric, x0, sum(w * r) AS s0, sum(w * r * (x - x0)) AS s1, sum(w * r * (x - x0) * (x - x0)) AS s2,
+    sum(w * ry) AS t0, sum(w * ry * (x - x0)) AS t1, max(mean) FILTER (x = x0) AS mean
+  FROM weights w JOIN levels{t} USING (sample_id, x) GROUP BY ALL),
+fits{t} AS MATERIALIZED (
+  SELECT sample_id, metric, x0 AS x, CASE WHEN s0 > 0 THEN t0 / s0
+    - s1 / s0 * (t1 / s0 - s1 / s0 * t0 / s0) / greatest(s2 / s0 - s1 / s0 * s1 / s0, 1e-12) ELSE mean END AS fit FROM sums{t})""")
+        if t < 3:
+            passes.append(f"""
+gaps{t} AS MATERIALIZED (SELECT p.*, abs(y - fit) AS gap FROM points{t} p JOIN fits{t} USING (sample_id, metric, x)),
+scales{t} AS (SELECT sample_id, metric, 6 * median(gap) AS scale FROM gaps{t} GROUP BY ALL),
+ratios{t} AS (SELECT * EXCLUDE (r), CASE WHEN scale > 0 THEN gap / scale WHEN gap > 0 THEN 1.0 ELSE 0.0 END AS u
+  FROM gaps{t} JOIN scales{t} USING (sample_id, metric)),
+points{t + 1} AS MATERIALIZED (SELECT sample_id, bin_id, metric, x, y,
+  pow(1 - pow(CASE WHEN u >= 0.999 THEN 1 WHEN u <= 0.001 THEN 0 ELSE u END, 2), 2) AS r FROM ratios{t})""")
+    long = " UNION ALL ".join(
+        f"SELECT sample_id, bin_id, '{c}' AS metric, gc_content AS x, {c} AS y FROM dense" for c in gc.METRICS)
+    values = ", ".join(
+        f"round(max(value) FILTER (metric = '{c}'), 10) AS {c}_gc_corrected" for c in gc.METRICS)
+    return "WITH " + dense_sql(gc=GC_SQL) + f""",
+long AS MATERIALIZED ({long}),
+spread AS (SELECT sample_id, x, count(*) AS n FROM long WHERE metric = '{gc.METRICS[0]}' GROUP BY ALL),
+asked AS (SELECT sample_id, greatest(CAST(floor(0.3 * sum(n) + 1e-10) AS BIGINT), 1) AS k FROM spread GROUP BY sample_id),
+pairs AS MATERIALIZED (SELECT a.sample_id, a.x AS x0, b.x, abs(b.x - a.x) AS d, sum(b.n) OVER (
+    PARTITION BY a.sample_id, a.x ORDER BY abs(b.x - a.x) RANGE UNBOUNDED PRECEDING) AS near
+  FROM spread a JOIN spread b USING (sample_id)),
+radii AS (SELECT sample_id, x0, min(d) AS h FROM pairs JOIN asked USING (sample_id) WHERE near >= k GROUP BY ALL),
+weights AS MATERIALIZED (SELECT sample_id, x0, x, CASE WHEN h > 0 THEN pow(1 - pow(d / h, 3), 3) ELSE 1 END AS w
+  FROM pairs JOIN radii USING (sample_id, x0) WHERE d < h OR d = 0),
+{",".join(passes)},
+corrected AS (
+  SELECT sample_id, bin_id, metric, y - fit + median(y) OVER (PARTITION BY sample_id, metric) AS value
+  FROM points3 JOIN fits3 USING (sample_id, metric, x))
+SELECT sample_id, bin_id, {values} FROM corrected GROUP BY sample_id, bin_id"""
+
+
+def _corrected_columns(out):
+    names = [c + gc.SUFFIX for c in gc.METRICS]
+    return rounded(out.select("sample_id", "bin_id", *names), *names, digits=10)
+
+
+@query(_lowess_sql())
 def gc_correct_lowess(spark, sf):
-    return gc.correct_gc(dense_with_gc(spark, sf))
+    return _corrected_columns(gc.correct_gc(dense_with_gc(spark, sf)))
+
+
+@query(_lowess_sql())
+def gc_correct_ranged(spark, sf):
+    """The same by ranges of gc: several tasks per sample."""
+    return _corrected_columns(gc.correct_gc_ranged(dense_with_gc(spark, sf), block=128))
 
 
 @query("WITH " + CORRECTED_SQL + """

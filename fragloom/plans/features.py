@@ -19,17 +19,17 @@ class FeatureTables:
 
 
 def feature_tables(fragments: DataFrame, sizes: DataFrame, samples: DataFrame, reference: DataFrame | None = None,
-                   arms: DataFrame | None = None, extra=(), params: Params = DEFAULTS) -> FeatureTables:
+                   arms: DataFrame | None = None, extra=(), params: Params = DEFAULTS, correction: str = "lowess") -> FeatureTables:
     """Bins, counts, corrected coverage, arm features and the long feature table.
 
     `extra` holds further long feature groups (mitochondrial, motif). The corrected
     table is stored once: it is the input of both the bin and the arm features, and
-    LOWESS must not run twice.
+    LOWESS must not run twice. `correction` may also be linear.
     """
-    bins = coverage.annotate_gc(
-        coverage.make_bins(sizes, params.bin_size, params.autosomes_only), reference, params.bin_size)
+    tiles = coverage.make_bins(sizes, params.bin_size, params.autosomes_only)
+    bins = coverage.annotate_gc(tiles, reference, params.bin_size)
     counts = coverage.dense_bin_counts(fragments, bins, samples, params.bin_size, params)
-    corrected = stage(gc.correct_gc(counts, params), "corrected")
+    corrected = stage(gc.correct(counts, tiles.count(), params, correction), "corrected")
     if arms is not None:
         arm_table = regions.arm_features(corrected, arms, samples)
     else:

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from fragloom.functions import lowess as kernel
 from fragloom.functions.lowess import corrected, lowess
 from fragloom.operators import cohort as co, gc, matrix as mx, metrics as me, model as md
 from fragloom.operators.intervals import overlap_join
@@ -66,6 +67,98 @@ def test_correction_without_gc_spread_is_identity():
     np.testing.assert_allclose(corrected(y[:4], np.array([0.1, 0.2, 0.3, 0.4]))[:, 0], y[:4])
 
 
+def levels_of(x, block):
+    x = np.sort(x)
+    levels, size = np.unique(x, return_counts=True)
+    before = np.cumsum(size) - size
+    number = before // block
+    rows = [levels[number == i] for i in np.unique(number)]
+    start = np.array([before[number == i][0] for i in np.unique(number)])
+    return x, levels, before, number, np.array([r[0] for r in rows]), np.array([r[-1] for r in rows]), start
+
+
+@pytest.mark.parametrize("n, block, ties", [(500, 16, 0), (3000, 100, 0), (3000, 64, 40), (50, 8, 3), (10, 100, 0), (700, 1, 0)])
+def test_block_plan_covers_every_neighbourhood(n, block, ties):
+    x = np.random.default_rng(n + ties).random(n)
+    x, levels, before, number, first, last, start = levels_of(np.round(x * ties) / ties if ties else x, block)
+    k = kernel.neighbours(n, 0.3)
+    low, high = kernel.block_ranks(first, last, start, n, k)
+    plan = kernel.block_plan(first, last, start, n, 0.3)
+    ids = np.unique(number)
+    middles = (x[: n - k] + x[k:]) / 2
+    left = np.minimum(np.searchsorted(middles, levels), n - k)
+    radius = np.maximum(levels - x[left], x[left + k - 1] - levels)
+    for i, block_id in enumerate(ids):
+        mine = number == block_id
+        assert low[i] <= left[mine].min() and left[mine].max() <= high[i]
+        rows = plan[plan[:, 0] == i]
+        near, far = rows[rows[:, 2] == 0, 1], rows[rows[:, 2] != 0, 1]
+        inside = np.unique(np.concatenate([
+            number[np.abs(levels - p) < h] for p, h in zip(levels[mine], radius[mine])] + [number[mine]]))
+        assert set(np.searchsorted(ids, inside)) <= {*near, *far}
+        for j in far:  # whole inside every radius, on one side
+            assert ((np.abs(levels[number == ids[j]][:, None] - levels[mine]) <= radius[mine] * (1 + 1e-12)).all())
+            assert j != i
+        some = np.isin(number, ids[near])
+        got = kernel.window_radius(levels[mine], levels[some], before[some], n, k, low[i], high[i])
+        np.testing.assert_array_equal(got, radius[mine])
+
+
+def test_merged_moments_are_those_of_all_levels():
+    rng = np.random.default_rng(8)
+    x, r, ry = np.sort(rng.random(90)), rng.random((90, 2)), rng.random((90, 2))
+    parts = kernel.merged([kernel.node(x[a:b], r[a:b], ry[a:b]) for a, b in ((0, 1), (1, 30), (30, 90))])
+    whole = kernel.node(x, r, ry)
+    np.testing.assert_allclose(parts.r, whole.r, atol=1e-12)
+    np.testing.assert_allclose(parts.ry, whole.ry, atol=1e-12)
+    assert kernel.merged([]) is None
+
+
+def bins_of(sample, gc_content, rng):
+    n = len(gc_content)
+    return pd.DataFrame({
+        "sample_id": sample, "chrom": "chr1", "start": np.arange(n) * 10, "end": np.arange(n) * 10 + 10,
+        "bin_id": [f"b{i}" for i in range(n)], "short_long_ratio": 1.0, "mean_fragment_length": 167.0,
+        "gc_content": gc_content, **{m: rng.random(n) for m in gc.METRICS}})
+
+
+def test_ranged_correction_equals_the_kernel(spark):
+    rng = np.random.default_rng(11)
+    frames = [bins_of("many", rng.random(700), rng), bins_of("ties", np.round(rng.random(400), 2), rng),
+              bins_of("four", rng.random(4), rng), bins_of("flat", np.full(30, 0.41), rng),
+              bins_of("hot", np.where(rng.random(300) < 0.5, 0.4, rng.random(300)), rng)]
+    counts = spark.createDataFrame(pd.concat(frames))
+    missing = counts.limit(1).withColumn("gc_content", F.lit(None).cast("double")).withColumn("bin_id", F.lit("none"))
+    got = gc.correct_gc_ranged(counts.union(missing), block=24).toPandas().set_index(["sample_id", "bin_id"])
+    assert len(got) == sum(map(len, frames)) + 1
+    for frame in frames:
+        sample = frame["sample_id"][0]
+        want = corrected(frame[gc.METRICS].to_numpy(), frame["gc_content"].to_numpy())
+        rows = got.loc[[(sample, b) for b in frame["bin_id"]]]
+        if sample == "many":  # the median is that of all bins, the one without gc included
+            continue
+        np.testing.assert_allclose(rows[[m + gc.SUFFIX for m in gc.METRICS]].to_numpy(), want, atol=1e-9)
+    none = got[got.index.get_level_values("bin_id") == "none"]
+    assert none[[m + gc.SUFFIX for m in gc.METRICS]].isna().all(axis=None)
+
+
+def test_method_of_correction_and_the_flat_rule(spark):
+    rng = np.random.default_rng(2)
+    frames = [bins_of("line", rng.random(40), rng), bins_of("flat", np.full(9, 0.4), rng), bins_of("few", rng.random(3), rng)]
+    counts = spark.createDataFrame(pd.concat(frames))
+    got = gc.correct(counts, 40, method="linear").toPandas()
+    for frame in frames:
+        y, x = frame["coverage_total"].to_numpy(), frame["gc_content"].to_numpy()
+        flat = len(x) < 5 or x.min() == x.max()
+        fit = np.full(len(x), np.median(y)) if flat else np.polyval(np.polyfit(x, y, 1), x)
+        rows = got[got["sample_id"] == frame["sample_id"][0]].sort_values("start")
+        np.testing.assert_allclose(rows["coverage_total_gc_corrected"], y - fit + np.median(y), atol=1e-10)
+    with pytest.raises(ValueError):
+        gc.correct(counts, 40, method="cubic")
+    wide = gc.correct(counts, gc.SAMPLE_BINS + 1)
+    assert "FlatMapGroupsInPandas" not in wide._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spark_correction_equals_the_kernel(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({
