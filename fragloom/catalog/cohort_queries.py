@@ -74,8 +74,11 @@ def feature_medians_large(spark, sf):
     return co.feature_medians(v.cohort_features(spark, sf), cohort_limit=0)
 
 
-def anova_sql(by, source):
+def anova_sql(by, source, digits=6):
     """F of median-imputed values over every sample of the training rows."""
+    def rounded_to(text):
+        return text if digits is None else f"round({text}, {digits})"
+
     return f"""
 g AS (SELECT {by}feature_name, sample_id, y FROM {source}
       CROSS JOIN (SELECT DISTINCT feature_name FROM feats WHERE value IS NOT NULL)),
@@ -89,8 +92,8 @@ a AS (SELECT {by}feature_name, sum(n) AS n, sum(n * mu) / sum(n) AS mu, sum(ss)
 b AS (SELECT {by}feature_name, any_value(a.n) AS n, any_value(ssw) AS ssw, any_value(a.fill) AS fill,
              sum(c.n * (c.mu - a.mu) * (c.mu - a.mu)) AS ssb FROM c JOIN a USING ({by}feature_name) GROUP BY ALL),
 anova AS (SELECT {by}feature_name, fill,
-  CASE WHEN ssw > 0 THEN round(ssb / (ssw / (n - 2)), 6) WHEN ssb > 0 THEN 'Infinity'::DOUBLE END AS f_value,
-  round(sqrt((ssw + ssb) / n), 6) AS sd FROM b)"""
+  CASE WHEN ssw > 0 THEN {rounded_to("ssb / (ssw / (n - 2))")} WHEN ssb > 0 THEN 'Infinity'::DOUBLE END AS f_value,
+  {rounded_to("sqrt((ssw + ssb) / n)")} AS sd FROM b)"""
 
 
 def anova(spark, sf):
@@ -112,17 +115,17 @@ def select_k_best(spark, sf):
     return rounded(best, "f_value", digits=6)
 
 
-@query("WITH " + SPLIT_SQL + """,
-fit AS (SELECT sample_id, y, fit_fold FROM folds, (SELECT unnest(range(6)) AS fit_fold) WHERE fold <> fit_fold),
-""" + anova_sql("fit_fold, ", "fit") + """
+FIT_SQL = SPLIT_SQL + """,
+fit AS (SELECT sample_id, y, fit_fold FROM folds, (SELECT unnest(range(6)) AS fit_fold) WHERE fold <> fit_fold)"""
+
+
+@query("WITH " + FIT_SQL + "," + anova_sql("fit_fold, ", "fit") + """
 SELECT CAST(fit_fold AS INT) AS fit_fold, feature_name, fill, f_value, sd FROM anova""")
 def fold_anova(spark, sf):
-    """Selection statistics of every cross-validation fit in one grouped pass."""
-    training = co.training_folds(stage(folds(spark, sf), "folds"), 5)
-    rows = co.join_labels(v.cohort_features(spark, sf), training, "fit_fold")
-    sizes = training.groupBy("fit_fold", "y").agg(F.count(F.lit(1)).alias("n_class"))
-    scored = co.anova_f(co.selection_stats(rows, sizes, ["fit_fold", "feature_name"]))
-    return rounded(scored, "f_value", "sd", digits=6)
+    """Selection statistics of every cross-validation fit in one pass over the features."""
+    training = stage(folds(spark, sf), "folds")
+    rows = co.join_labels(v.cohort_features(spark, sf), training, "fold")
+    return rounded(co.anova_f(co.fold_stats(rows, training, 5)), "f_value", "sd", digits=6)
 
 
 @query("WITH " + v.COHORT + """

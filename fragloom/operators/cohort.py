@@ -1,12 +1,13 @@
 """Labels, splits, imputation, class weights and feature selection on long features."""
 
 import functools
+import operator
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import labels as lab, measures as m
 from fragloom.operators.joins import fits_broadcast, lookup_join, top_rows_per_group
-from fragloom.operators.ranking import exact_quantiles, hash_rank
+from fragloom.operators.ranking import exact_quantiles, hash_rank, running_totals
 from fragloom.params import DEFAULTS, Params
 
 MEDIAN_COHORT_LIMIT = 100_000
@@ -85,16 +86,6 @@ def kfold(labelled: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return ranked.withColumn("fold", fold.cast("int")).drop("_hash", "_rank")
 
 
-def training_folds(assigned: DataFrame, folds: int) -> DataFrame:
-    """One row per sample and fold it trains in: `fit_fold` is the fold left out.
-
-    Fold `folds` stands for the final fit on all training samples.
-    """
-    every = F.sequence(F.lit(0), F.lit(folds))
-    kept = F.filter(every, lambda f: (f == folds) | F.coalesce(F.col("fold") != f, F.lit(True)))
-    return assigned.withColumn("fit_fold", F.explode(kept))
-
-
 def small_cohort(class_sizes: DataFrame, limit: int = MEDIAN_COHORT_LIMIT) -> bool:
     """True when no group of (.., y, n_class) rows sums to more samples than `limit`,
     so that an aggregate may keep all values of one feature."""
@@ -151,16 +142,95 @@ def selection_stats(rows: DataFrame, labelled: DataFrame, groups=("feature_name"
         stats = lookup_join(stats, sizes, folds)
     else:
         stats = stats.withColumns({f"size{y}": sizes.select(f"size{y}").scalar() for y in (0, 1)})
-    columns = {}
+    completed = {}
+    for y in (0, 1):
+        n, mean, var = F.col(f"n{y}"), F.coalesce(f"mean{y}", F.lit(0.0)), F.coalesce(f"var{y}", F.lit(0.0))
+        completed |= _imputed(y, n, mean, n.cast("double") * var, F.col(f"size{y}"), F.col("fill"))
+    return stats.withColumns(completed).select(*groups, "fill", "size0", "size1", "m0", "m1", "ss0", "ss1")
+
+
+def _imputed(y, n, mean, squares, size, fill) -> dict:
+    """Mean and squared deviations of a class when its missing values take the fill."""
+    n, size = n.cast("double"), size.cast("double")
+    missing = size - n
+    gap = F.when(n > 0, fill - mean).otherwise(0.0)
+    return {f"m{y}": F.when(n > 0, mean + gap * missing / size).otherwise(fill),
+            f"ss{y}": squares + gap * gap * n * missing / size}
+
+
+def fold_stats(rows: DataFrame, training: DataFrame, folds: int) -> DataFrame:
+    """`selection_stats` of every cross-validation fit from one pass over the long table.
+
+    `rows` holds (sample_id, feature_name, y, fold, value) of the training samples, `training`
+    (sample_id, y, fold). Fit f leaves fold f out, fit `folds` leaves none out; with 0 folds there
+    is only that one. A row enters once: each feature gets (count, mean, squared deviations) per
+    class and fold, and those of a fit are merged from its folds. Its median is the value whose
+    place among all values of the feature, less the places of the fold left out, is the middle.
+    """
+    parts = range(max(folds, 1))
+    cells = [(y, g) for y in (0, 1) for g in parts]
+    kept = {f: [g for g in parts if folds == 0 or g != f] for f in range(folds + 1)}
+    rows = rows.filter(F.col("value").isNotNull()).withColumn("fold", F.coalesce("fold", F.lit(0)))
+    moments = [F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var")]
+    middles = [f"{name}_{f}" for f in kept for name in ("low", "high")]
+    if fits_broadcast(training, MEDIAN_COHORT_LIMIT):
+        # A feature has one value per sample: its rows are shuffled and sorted once, everything follows.
+        feature = Window.partitionBy("feature_name")
+        before = feature.orderBy("value", "sample_id").rowsBetween(Window.unboundedPreceding, -1)
+        placed = rows.withColumns({f"_{g}_n": (F.col("fold") == g).cast("long") for g in parts}).withColumns({
+            **{f"_{g}_n_before": F.coalesce(F.sum(f"_{g}_n").over(before), F.lit(0)) for g in parts},
+            **{f"_{g}_n_total": F.sum(f"_{g}_n").over(feature) for g in parts}})
+        first = _with_middles(placed, kept).groupBy("feature_name", "y", "fold").agg(*moments, *[F.max(c).alias(c) for c in middles])
+        stats = first.groupBy("feature_name").agg(*_by_cell(cells), *[F.max(c).alias(c) for c in middles])
+    else:
+        levels = rows.groupBy("feature_name", "value").agg(*[m.count_where(F.col("fold") == g).alias(f"_{g}_n") for g in parts])
+        placed = running_totals(levels, "value", [f"_{g}_n" for g in parts], ["feature_name"])
+        medians = _with_middles(placed, kept).groupBy("feature_name").agg(*[F.max(c).alias(c) for c in middles])
+        first = rows.groupBy("feature_name", "y", "fold").agg(*moments)
+        stats = first.groupBy("feature_name").agg(*_by_cell(cells)).join(medians, "feature_name")
+    sizes = training.agg(F.struct(*[
+        m.count_where((F.col("y") == y) & (F.coalesce("fold", F.lit(0)) == g)).alias(f"n{y}_{g}") for y, g in cells])).scalar()
+    fits = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("fit_fold"), ((F.col(f"low_{f}") + F.col(f"high_{f}")) / 2).alias("fill")) for f in kept]))
+    fit = stats.withColumn("fit", fits).select("*", "fit.fit_fold", "fit.fill").filter(F.col("fill").isNotNull())
+
+    def over_folds(value, y):
+        """Sum over the folds that the fit of a row is trained on."""
+        return functools.reduce(operator.add, [
+            F.when((F.col("fit_fold") != g) | F.lit(folds == 0), value(y, g)).otherwise(0.0) for g in parts])
+
+    # Steps of their own: nothing that is used more than once is computed twice.
+    fit = fit.withColumns({
+        **{f"n{y}": over_folds(lambda y, g: F.col(f"n{y}_{g}"), y) for y in (0, 1)},
+        **{f"total{y}": over_folds(lambda y, g: F.col(f"n{y}_{g}") * F.col(f"mean{y}_{g}"), y) for y in (0, 1)},
+        **{f"size{y}": over_folds(lambda y, g: sizes.getField(f"n{y}_{g}"), y).cast("long") for y in (0, 1)}})
+    fit = fit.withColumns({f"mean{y}": F.col(f"total{y}") / F.greatest(f"n{y}", F.lit(1.0)) for y in (0, 1)})
+    fit = fit.withColumns({f"squares{y}": over_folds(
+        lambda y, g: F.col(f"n{y}_{g}") * (F.col(f"var{y}_{g}") + F.pow(F.col(f"mean{y}_{g}") - F.col(f"mean{y}"), F.lit(2.0))), y) for y in (0, 1)})
+    completed = {}
     for y in (0, 1):
-        n = F.col(f"n{y}").cast("double")
-        size = F.col(f"size{y}").cast("double")
-        missing = size - n
-        mean, var = F.coalesce(f"mean{y}", F.lit(0.0)), F.coalesce(f"var{y}", F.lit(0.0))
-        gap = F.when(n > 0, F.col("fill") - mean).otherwise(0.0)
-        columns[f"m{y}"] = F.when(n > 0, mean + gap * missing / size).otherwise(F.col("fill"))
-        columns[f"ss{y}"] = n * var + gap * gap * n * missing / size
-    return stats.withColumns(columns).select(*groups, "fill", "size0", "size1", "m0", "m1", "ss0", "ss1")
+        completed |= _imputed(y, F.col(f"n{y}"), F.col(f"mean{y}"), F.col(f"squares{y}"), F.col(f"size{y}"), F.col("fill"))
+    return fit.withColumns(completed).select("fit_fold", "feature_name", "fill", "size0", "size1", "m0", "m1", "ss0", "ss1")
+
+
+def _by_cell(cells):
+    """Moments of each class and fold as columns; a cell without values counts 0."""
+    return [
+        F.coalesce(F.max(F.when((F.col("y") == y) & (F.col("fold") == g), F.col(name))), F.lit(0.0)).alias(f"{name}{y}_{g}")
+        for y, g in cells for name in ("n", "mean", "var")]
+
+
+def _with_middles(placed, kept):
+    """The value of a row where it is one of the two middle ones of a fit, from running counts per fold."""
+    for f, folds in kept.items():
+        placed = placed.withColumns({f"_{f}{suffix}": functools.reduce(
+            operator.add, [F.col(f"_{g}_n{suffix}") for g in folds]) for suffix in ("", "_before", "_total")})
+    columns = {}
+    for f in kept:
+        n, before, total = (F.col(f"_{f}{suffix}") for suffix in ("", "_before", "_total"))
+        for name, place in (("low", F.floor((total - 1) / 2)), ("high", F.ceil((total - 1) / 2))):
+            columns[f"{name}_{f}"] = F.when((before <= place) & (place < before + n), F.col("value"))
+    return placed.withColumns(columns)
 
 
 def anova_f(stats: DataFrame) -> DataFrame:

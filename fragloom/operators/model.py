@@ -62,16 +62,15 @@ def _classifier(name: str, n: int, seed: int, size: Learner):
                          seed=seed, **common)
 
 
-def feature_indexes(features: DataFrame, training: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def feature_indexes(features: DataFrame, training: DataFrame, folds: int, params: Params = DEFAULTS) -> DataFrame:
     """Selected features of every fit: (fit_fold, idx, feature_name, fill, scale).
 
-    `training` holds (sample_id, y, fit_fold), see `cohort.training_folds`. Medians, F
-    values and the top k of all fits come from one grouped pass over the long table.
+    `training` holds (sample_id, y, fold). Medians, F values and the top k of all fits come
+    from one pass over the long table, see `cohort.fold_stats`; fit `folds` is the final one.
     The scale is the population sd; trees do not depend on it, so all models share it.
     """
-    rows = cohort.join_labels(features, training, "fit_fold")
-    sizes = training.groupBy("fit_fold", "y").agg(F.count(F.lit(1)).alias("n_class"))
-    stats = cohort.selection_stats(rows, sizes, ["fit_fold", "feature_name"])
+    rows = cohort.join_labels(features, training, "fold")
+    stats = cohort.fold_stats(rows, training, folds)
     best = cohort.select_k_best(cohort.anova_f(stats), params.max_features, ["fit_fold"])
     # At most max_features rows per fit are numbered.
     idx = F.row_number().over(Window.partitionBy("fit_fold").orderBy("feature_name")) - 1
@@ -152,8 +151,7 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
     split = stage(cohort.stratified_split(parsed, params), "split")
     training = stage(cohort.kfold(split.filter(F.col("partition") == "train"), params), "folds")
     folds = (training.agg(F.max("fold")).head()[0] or -1) + 1
-    rounds = cohort.training_folds(training, folds).select("sample_id", "y", "fit_fold")
-    indexes = stage(feature_indexes(values, rounds, params), "features")
+    indexes = stage(feature_indexes(values, training, folds, params), "features")
     if not indexes.head(1):
         raise ValueError("no usable numeric features for training")
     samples = split.join(training.select("sample_id", "fold"), "sample_id", "left")

@@ -59,7 +59,7 @@ def main():
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -400,3 +400,73 @@ def test_report_without_labels(spark):
     for table in tables.values():
         table.collect()
     assert tables["ranked_predictions"].count() == 2
+
+
+# Selection inside the folds, and vectors
+
+
+def long_values(spark, samples=60, features=9, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = [(f"s{i}", f"f{j}", None if rng.random() < 0.2 else float(np.round(rng.normal(i % 2 * j, 2), 1)))
+            for i in range(samples) for j in range(features)]
+    rows += [(f"s{i}", "constant", 4.0) for i in range(samples)] + [("s0", "rare", 1.5), ("s3", "none", None)]
+    training = spark.createDataFrame(
+        [(f"s{i}", i % 2, i % 7 % 3 if i else 2) for i in range(samples)], "sample_id string, y int, fold int")
+    return spark.createDataFrame(rows, "sample_id string, feature_name string, value double"), training
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("folds", [3, 0])
+def test_fold_statistics_equal_those_of_exploded_rows(spark, monkeypatch, limit, folds):
+    monkeypatch.setattr(co, "MEDIAN_COHORT_LIMIT", limit)
+    features, training = long_values(spark)
+    if not folds:
+        training = training.withColumn("fold", F.lit(None).cast("int"))
+    got = co.fold_stats(co.join_labels(features, training, "fold"), training, folds)
+    every = training.withColumn("fit_fold", F.explode(F.array(*[F.lit(f) for f in range(folds + 1)])))
+    every = every.filter((F.col("fit_fold") == folds) | (F.col("fold") != F.col("fit_fold")))
+    sizes = every.groupBy("fit_fold", "y").agg(F.count(F.lit(1)).alias("n_class"))
+    want = co.selection_stats(co.join_labels(features, every, "fit_fold"), sizes, ["fit_fold", "feature_name"])
+    key = ["fit_fold", "feature_name"]
+    a, b = (x.toPandas().sort_values(key).set_index(key) for x in (got, want))
+    assert list(a.index) == list(b.index)
+    np.testing.assert_allclose(a[b.columns].to_numpy().astype(float), b.to_numpy().astype(float), atol=1e-9)
+
+
+def test_fold_statistics_shuffle_the_values_once(spark):
+    features, training = long_values(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = features.join(F.broadcast(training), "sample_id")
+        plan = co.fold_stats(rows, training, 3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning(feature_name") == 1 and "Expand" not in plan
+    assert plan.index("Generate") < plan.index("Window")  # printed from the top: fits appear after the sums
+
+
+def test_vectors_of_all_fits(spark):
+    from pyspark.ml.functions import vector_to_array
+    features, _ = long_values(spark)
+    features = features.union(spark.createDataFrame([("s1", "f1", 99.0), ("s2", "f0", None)], features.schema))
+    index = spark.createDataFrame(
+        [(0, 0, "f0", 1.0, 2.0), (0, 1, "f1", None, 1.0), (1, 0, "constant", 3.0, 0.5), (1, 1, "f1", -1.0, 4.0), (1, 2, "gone", 7.0, 1.0)],
+        "fit int, idx int, feature_name string, fill double, scale double")
+    samples = spark.createDataFrame([("s1",), ("s2",), ("stranger",), ("s1",)], "sample_id string")
+    vectors = mx.model_vectors(features, index, samples, ["fit"])
+    got = {(r[0], r[1]): r[2] for r in vectors.select("sample_id", "fit", vector_to_array("features")).collect()}
+    values = {}
+    for r in features.collect():
+        if r.value is not None:
+            values[r.sample_id, r.feature_name] = max(r.value, values.get((r.sample_id, r.feature_name), -np.inf))
+    want = {}
+    for sample in ("s1", "s2", "stranger"):
+        for fit in (0, 1):
+            rows = sorted(r for r in index.collect() if r.fit == fit)
+            want[sample, fit] = [values.get((sample, r.feature_name), r.fill or 0.0) / r.scale for r in rows]
+    assert got == want
+    single = mx.model_vectors(features, index.filter("fit = 1").drop("fit"), samples)
+    assert {r[0]: r[1] for r in single.select("sample_id", vector_to_array("features")).collect()} == {
+        s: v for (s, fit), v in want.items() if fit == 1}
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -27,7 +27,7 @@ def test_query(spark, con, name):
     assert compare(df, con, entry.oracle_sql()[name], 1e-9) is None
 
 
-@pytest.mark.parametrize("name", ["arm_feature_group", "model_vectors", "model_cv_logistic"])
+@pytest.mark.parametrize("name", ["model_cv_logistic"])
 def test_query_without_sql(spark, name):
     assert name in MODELS
     assert entry.queries()[name](spark, SF).count() > 0
