@@ -246,7 +246,8 @@ arm_table AS (
 
 
 def arm_table(spark, sf):
-    return rg.arm_features(corrected(spark, sf), v.arms(spark, sf), v.samples(spark, sf))
+    return rg.arm_features(
+        corrected(spark, sf), v.arms(spark, sf), v.samples(spark, sf), cv.make_bins(v.chrom_sizes(spark, sf), BIN))
 
 
 @query("WITH " + ARM_SQL + " SELECT sample_id, arm, round(depth, 12) AS depth, z FROM arm_table")

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from fragloom.catalog import views as v
-from fragloom.catalog.registry import query
+from fragloom.catalog.registry import query, rounded
 from fragloom.functions import chrom as chrom_fn, text as t
 from fragloom.operators import fragments as fr
 from fragloom.operators.intervals import overlap_join
+from fragloom.params import Params
 
 FRAGMENT_SQL = "sample_id, chrom, s AS start, e AS \"end\", mapq, strand, length, is_short, is_long"
 
@@ -155,6 +156,53 @@ def qc_flags(spark, sf):
     return fr.qc_flags(qc.join(mito, "sample_id"))
 
 
+LIMITS = Params(qc_min_fragments=680, qc_min_coverage=0.0038, qc_max_duplicate_rate=0.6, qc_min_median_length=250,
+                qc_max_median_length=290, qc_max_mito_fraction=0.045, qc_min_proper_pair=0.7)
+
+
+@query("WITH " + QC_SQL + "," + v.SIZES + "," + v.ALIGNMENTS.strip() + "," + v.COPIES.strip() + f""",
+mito AS (SELECT sample_id, count(*) FILTER (chrom = 'MT') / count(*) AS mito_fraction FROM raw GROUP BY 1),
+genome AS (SELECT CAST(sum(size) AS DOUBLE) AS bases FROM sizes WHERE chrom NOT IN ('chrX', 'chrM')),
+cover AS (SELECT sample_id, coalesce(sum(e - s) FILTER (chrom NOT IN ('chrX', 'chrM')), 0) / any_value(bases) AS mean_coverage
+  FROM frags, genome GROUP BY sample_id),
+copied AS (SELECT sample_id, (count(*) - count(DISTINCT (chrom, s, e, strand))) / count(*) AS duplicate_rate FROM copies GROUP BY 1),
+pairs AS (SELECT sample_id, count(*) FILTER (flag & 1 <> 0 AND flag & 2304 = 0) AS n,
+  count(*) FILTER (flag & 1 <> 0 AND flag & 2304 = 0 AND flag & 2 <> 0 AND flag & 12 = 0) AS proper FROM alignments GROUP BY 1),
+j AS (SELECT sample_id, filtered_fragments, round(mean_coverage, 9) AS mean_coverage, round(duplicate_rate, 9) AS duplicate_rate,
+    median_fragment_length, round(mito_fraction, 9) AS mito_fraction, round(proper / n, 9) AS fraction_proper_pair
+  FROM qc LEFT JOIN mito USING (sample_id) LEFT JOIN cover USING (sample_id) LEFT JOIN copied USING (sample_id)
+  LEFT JOIN pairs USING (sample_id)),
+f AS (SELECT *, concat_ws(';',
+    CASE WHEN filtered_fragments < {LIMITS.qc_min_fragments} THEN 'low_fragment_count' END,
+    CASE WHEN mean_coverage < {LIMITS.qc_min_coverage} THEN 'low_coverage' END,
+    CASE WHEN duplicate_rate > {LIMITS.qc_max_duplicate_rate} THEN 'high_duplicate_rate' END,
+    CASE WHEN median_fragment_length < {LIMITS.qc_min_median_length} THEN 'low_median_length' END,
+    CASE WHEN median_fragment_length > {LIMITS.qc_max_median_length} THEN 'high_median_length' END,
+    CASE WHEN mito_fraction > {LIMITS.qc_max_mito_fraction} THEN 'high_mito_fraction' END,
+    CASE WHEN fraction_proper_pair < {LIMITS.qc_min_proper_pair} THEN 'low_proper_pair' END) AS qc_flags FROM j)
+SELECT *, qc_flags = '' AS qc_pass FROM f""")
+def sample_qc(spark, sf):
+    """All seven rules, with the tables that produce what they judge."""
+    from fragloom.operators.regions import mito_features
+    further = [fr.duplicate_rate(fr.mark_duplicates(v.copies(spark, sf))).select("sample_id", "duplicate_rate"),
+               fr.alignment_qc(v.alignments(spark, sf)).select("sample_id", "fraction_proper_pair"),
+               mito_features(v.raw_fragments(spark, sf)).select("sample_id", "mito_fraction")]
+    qc = fr.sample_qc(v.fragments(spark, sf), v.chrom_sizes(spark, sf), *further, params=LIMITS)
+    shown = qc.select("sample_id", "filtered_fragments", "mean_coverage", "duplicate_rate", "median_fragment_length",
+                      "mito_fraction", "fraction_proper_pair", "qc_flags", "qc_pass")
+    return rounded(shown, "mean_coverage", "duplicate_rate", "mito_fraction", "fraction_proper_pair")
+
+
+@query("WITH " + v.ALIGNMENTS + """
+SELECT sample_id, count(*) AS alignments, count(*) FILTER (flag & 2 <> 0 AND flag & 3844 = 0 AND mapq >= 30) AS kept_alignments,
+  count(*) FILTER (flag & 1 <> 0 AND flag & 2304 = 0) AS paired_alignments,
+  round(count(*) FILTER (flag & 1 <> 0 AND flag & 2304 = 0 AND flag & 2 <> 0 AND flag & 12 = 0)
+    / count(*) FILTER (flag & 1 <> 0 AND flag & 2304 = 0), 9) AS fraction_proper_pair
+FROM alignments GROUP BY sample_id""")
+def alignment_qc(spark, sf):
+    return rounded(fr.alignment_qc(v.alignments(spark, sf)), "fraction_proper_pair")
+
+
 @query("""
 SELECT url, regexp_matches(url, '(\\.frag\\.tsv\\.bgz|\\.frag\\.tsv\\.gz|\\.tsv\\.bgz|\\.tsv\\.gz|\\.bed\\.bgz|\\.bed\\.gz|\\.bgz|\\.gz)$') AS accepted
 FROM (SELECT url FROM pages UNION ALL SELECT url || '.frag.tsv.bgz' FROM pages

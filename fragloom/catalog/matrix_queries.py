@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from fragloom.catalog import views as v
-from fragloom.catalog.coverage_queries import CORRECTED_SQL, arm_table, corrected
+from fragloom.catalog.coverage_queries import ARM_SQL, CORRECTED_SQL, arm_table, corrected
 from fragloom.catalog.registry import query, rounded
 from fragloom.operators import matrix as mx, regions as rg
 from fragloom.session import stage, stage_path
@@ -193,6 +193,9 @@ def sample_report(spark, sf):
     return report(feature_groups(spark, sf), "s07")
 
 
-@query()
+@query("WITH " + ARM_SQL + """
+SELECT sample_id, arm || '_gc_corrected_depth' AS feature_name, round(depth, 12) AS value FROM arm_table
+UNION ALL SELECT sample_id, arm || '_z', z FROM arm_table
+UNION ALL SELECT sample_id, 'plasma_aneuploidy_score', avg(abs(z)) FROM arm_table GROUP BY sample_id""")
 def arm_feature_group(spark, sf):
-    return rg.arm_long(arm_table(spark, sf))
+    return rounded(rg.arm_long(arm_table(spark, sf)), "value", digits=12)

@@ -6,6 +6,9 @@ from fragloom.catalog import views as v
 from fragloom.catalog.registry import query, rounded
 from fragloom.functions import labels as lab
 from fragloom.operators import analysis as an, metrics as me
+from fragloom.plans.evaluation import analysis_summary as analysis_document
+from fragloom.session import stage_path
+from fragloom.sources.writers import write_json_summary
 
 SCORE = "cancer_probability"
 
@@ -233,3 +236,61 @@ SELECT sample_id, label, cancer_probability, classification FROM j
 ORDER BY cancer_probability DESC NULLS LAST, sample_id LIMIT 12""")
 def top_scores(spark, sf):
     return an.top_scores(joined(spark, sf))
+
+
+def _fact(key, value):
+    return f"SELECT '{key}' AS key, CAST(({value}) AS DOUBLE) AS value"
+
+
+SUMMARY_SQL = "WITH " + LABEL_SQL + """,
+either AS (SELECT 'cross_validated_predictions' AS block, cancer_probability AS s, y_true FROM scored WHERE "partition" = 'train'
+  UNION ALL SELECT 'heldout_test_predictions', cancer_probability, y_true FROM scored WHERE "partition" = 'test'),
+levels AS (SELECT block, s, sum(y_true) AS pos, count(*) - sum(y_true) AS neg FROM either GROUP BY ALL),
+sums AS (SELECT *, sum(pos) OVER (PARTITION BY block) AS p, sum(neg) OVER (PARTITION BY block) AS n,
+  sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM levels WINDOW w AS (PARTITION BY block ORDER BY s DESC)),
+blocks AS (SELECT block, sum(pos + neg) AS n_samples, count(*) AS unique_score_count,
+  round(sum(CAST(neg AS DOUBLE) * (tp - pos / 2)) / any_value(CAST(p AS DOUBLE) * n), 9) AS roc_auc,
+  round(sum(pos / p * (tp / (tp + fp))), 9) AS pr_auc FROM sums GROUP BY block)
+""" + " UNION ALL ".join([
+    _fact("n_samples", "SELECT count(*) FROM j"), _fact("n_predictions", "SELECT count(cancer_probability) FROM pred"),
+    _fact("score_min", "SELECT min(cancer_probability) FROM pred"), _fact("score_max", "SELECT max(cancer_probability) FROM pred"),
+    _fact("score_median", "SELECT round(median(cancer_probability), 9) FROM pred"),
+    _fact("unique_score_count", "SELECT count(DISTINCT cancer_probability) FROM pred"),
+    "SELECT 'classification_counts.' || coalesce(classification, 'null'), CAST(count(*) AS DOUBLE) FROM pred GROUP BY classification",
+    "SELECT 'class_counts.' || y_true, CAST(count(*) AS DOUBLE) FROM l GROUP BY y_true",
+    *[_fact(f"confusion_matrix.{name}", f"SELECT count(*) FROM l WHERE y_true = {y} AND {sign} called")
+      for name, y, sign in (("tp", 1, ""), ("tn", 0, "NOT"), ("fp", 0, ""), ("fn", 1, "NOT"))],
+    _fact("sensitivity", "SELECT round(count(*) FILTER (called) / greatest(count(*), 1), 9) FROM l WHERE y_true = 1"),
+    _fact("specificity", "SELECT round(count(*) FILTER (NOT called) / greatest(count(*), 1), 9) FROM l WHERE y_true = 0"),
+    _fact("roc_auc", "SELECT round(sum(CAST(neg AS DOUBLE) * (tp - pos / 2)) / any_value(CAST(p AS DOUBLE) * n), 9) FROM cu"),
+    _fact("pr_auc", "SELECT round(sum(pos / p * (tp / (tp + fp))), 9) FROM cu"),
+    *[f"SELECT block || '.{c}', CAST({c} AS DOUBLE) FROM blocks" for c in ("n_samples", "unique_score_count", "roc_auc", "pr_auc")],
+    _fact("model_metadata.max_features", "5000"), _fact("evaluation_warning", "1")])
+
+
+@query(SUMMARY_SQL)
+def analysis_summary(spark, sf):
+    """The document as written, read back and taken apart into its numbers (a note counts 1)."""
+    scored = v.scored(spark, sf)
+    cv, test = (scored.filter(F.col("partition") == part).withColumnRenamed(SCORE, column)
+                for part, column in (("train", "cv_probability"), ("test", "test_probability")))
+    document = analysis_document(metadata(spark, sf), predictions(spark, sf), cv, test, model_metadata={"max_features": 5000})
+    path = stage_path(spark, "summary")
+    write_json_summary(document, path)
+    numbers = ["n_samples", "n_predictions", "score_min", "score_median", "score_max", "unique_score_count",
+               "sensitivity", "specificity", "roc_auc", "pr_auc"]
+    notes = ["evaluation_warning", "score_warning", "classification_warning"]
+    schema = ", ".join([
+        *[f"{c} double" for c in numbers], *[f"{c} string" for c in notes],
+        *[f"{c} map<string, double>" for c in ("classification_counts", "class_counts", "confusion_matrix",
+                                               "cross_validated_predictions", "heldout_test_predictions", "model_metadata")]])
+
+    def prefixed(name):
+        return F.transform_keys(name, lambda k, _: F.concat(F.lit(f"{name}."), k))
+
+    read = spark.read.text(path).select(F.from_json("value", schema).alias("d")).select("d.*")
+    parts = [F.create_map(F.lit(c), F.col(c)) for c in numbers]
+    parts += [F.create_map(F.lit(c), F.when(F.col(c).isNotNull(), 1.0)) for c in notes]
+    parts += [prefixed(c) for c, kind in read.dtypes if kind.startswith("map")]
+    facts = read.select(F.explode(F.map_concat(*parts)).alias("key", "value")).filter(F.col("value").isNotNull())
+    return rounded(facts, "value")

@@ -1,15 +1,18 @@
 """Sources and sinks: tables derived from the given ones, written and read back."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fragloom.catalog import views as v
-from fragloom.catalog.coverage_queries import CORRECTED_SQL, bins_sql, corrected, tiles
+from fragloom.catalog.coverage_queries import CORRECTED_SQL, bins_sql, corrected, dense_sql, tiles
 from fragloom.catalog.fragment_queries import FRAGMENT_SQL
 from fragloom.catalog.registry import query
 from fragloom.catalog.sample_queries import SHEET, RECORDS, records, sheet
-from fragloom.operators import fragments as fr
+from fragloom.operators import coverage as cv, fragments as fr
 from fragloom.session import stage_path
 from fragloom.sources import readers as rd, writers as wr
+from fragloom.sources.fragment_source import register
 from fragloom.streaming import fragments as st
 
 RAW_ROWS = ' SELECT sample_id, chrom, s AS start, e AS "end", mapq, strand FROM raw'
@@ -31,6 +34,55 @@ def read_fragments(spark, sf):
     return rd.name_samples(rows.withColumn("file_name", folder), names)
 
 
+def _block_files(spark, sf):
+    """The raw fragments as block-gzipped files, one folder per sample, through the sink."""
+    path = stage_path(spark, "block-files")
+    register(spark)
+    v.raw_fragments(spark, sf).write.format("fragments").mode("append").save(path)
+    return path
+
+
+def _folder():
+    return F.element_at(F.split("path", "/"), -2).alias("sample_id")
+
+
+RAW_COLUMNS = ["chrom", "start", "end", "mapq", "strand"]
+
+
+@query("WITH " + v.RAW + RAW_ROWS)
+def read_bgz_fragments(spark, sf):
+    """Block-gzipped files through the data source, in splits."""
+    path = _block_files(spark, sf)
+    return spark.read.format("fragments").option("splitBytes", 1 << 14).load(path).select(_folder(), *RAW_COLUMNS)
+
+
+@query("WITH " + v.RAW + RAW_ROWS)
+def read_mixed_fragments(spark, sf):
+    """Gzip and block-gzipped files in one call of the reader, named by a sample sheet."""
+    path = stage_path(spark, "mixed-files")
+    register(spark)
+    raw = v.raw_fragments(spark, sf)
+    number = F.substring("sample_id", 2, 9).cast("int")
+    raw.filter(number % 10 != 1).write.format("fragments").mode("append").save(f"{path}/blocks")
+    for i in (1, 11, 21, 31):  # a write of its own for each: file names are unique in one write only
+        raw.filter(number == i).write.partitionBy("sample_id").mode("append").option("compression", "gzip").csv(
+            f"{path}/gzip", sep="\t")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.{gz,bgz}").load(path).select("path")
+    names = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                         F.regexp_replace(_folder(), "^sample_id=", "").alias("sample_id"))
+    return rd.read_fragments(spark, [r["path"] for r in files.collect()], names)
+
+
+@query("WITH " + v.FRAGS + f" SELECT {FRAGMENT_SQL} FROM frags")
+def stream_ingest_bgz(spark, sf):
+    """The data source as a stream of block-gzipped files."""
+    path, out, checkpoint = _block_files(spark, sf), stage_path(spark, "stream-out"), stage_path(spark, "stream-state")
+    raw = spark.readStream.format("fragments").load(path).select(_folder(), *RAW_COLUMNS)
+    st.ingest_stream(raw, out, checkpoint, "chr").awaitTermination()
+    return wr.read_written_fragments(spark, out)
+
+
 @query("WITH " + v.FRAGS + f" SELECT {FRAGMENT_SQL} FROM frags")
 def fragment_table(spark, sf):
     path = stage_path(spark, "fragments")
@@ -158,16 +210,37 @@ hits AS (SELECT *, unnest(range(s // 500000, (e - 1) // 500000 + 1)) * 500000 AS
 SELECT sample_id, chrom, b AS start, count(*) AS n_total_fragments, count(*) FILTER (is_short) AS n_short_100_150,
   count(*) FILTER (is_long) AS n_long_151_220, CAST(sum(length) AS BIGINT) AS length_sum FROM hits GROUP BY ALL""")
 def stream_bin_counts(spark, sf):
-    """Running counts of a stream; every trigger rewrites the table in the shared folder."""
+    """Running counts of a stream; every trigger appends the keys it touched."""
     path, out, checkpoint = (_fragment_files(spark, sf), stage_path(spark, "counts-out"),
                              stage_path(spark, "counts-state"))
     raw = st.fragment_stream(spark, path, 100).withColumn(
         "sample_id", F.regexp_replace("sample_id", "^sample_id=", ""))
     counts = st.running_bin_counts(fr.ingest(raw, "chr"), 500_000)
-
-    def store(df, batch):
-        df.write.mode("overwrite").parquet(out)
-
-    (counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).foreachBatch(store).start().awaitTermination())
-    return spark.read.schema(counts.schema).parquet(out)
+    st.store_updates(counts, out, checkpoint).awaitTermination()
+    return st.latest_rows(spark, out, st.KEYS, counts.schema)
+
+
+@query("WITH " + dense_sql() + """
+SELECT sample_id, chrom, b AS start, n AS n_total_fragments, ns AS n_short_100_150, nl AS n_long_151_220,
+       total AS length_sum, med AS median_fragment_length FROM agg""")
+def stream_bin_medians(spark, sf):
+    """Bin statistics of a stream in several triggers; half of the files arrive after a compaction."""
+    path, checkpoint = stage_path(spark, "bins-in"), stage_path(spark, "bins-state")
+    state, raw = st.BinState(spark, stage_path(spark, "bins"), 100_000), v.raw_fragments(spark, sf)
+    late = F.substring("sample_id", 2, 9).cast("int") >= 20
+    for part in (~late, late):
+        raw.filter(part).write.mode("append").partitionBy("sample_id").option("compression", "gzip").csv(path, sep="\t")
+        stream = st.fragment_stream(spark, path, 60).withColumn("sample_id", F.regexp_replace("sample_id", "^sample_id=", ""))
+        state.follow(fr.ingest(stream, "chr"), checkpoint).awaitTermination()
+        state.compact()
+    return state.statistics()
+
+
+@query("WITH " + dense_sql() + """
+SELECT sample_id, chrom, b AS start, n AS n_total_fragments, ns AS n_short_100_150, nl AS n_long_151_220,
+       total AS length_sum, med AS median_fragment_length FROM agg""")
+def bin_counts_bucketed(spark, sf):
+    """Bin counts on a fragment table in buckets of tiles: no fragment is shuffled."""
+    name = f"tiled_{uuid.uuid4().hex}"
+    tiled = wr.write_tiled_fragments(v.fragments(spark, sf), stage_path(spark, name), name, 100_000)
+    return cv.tiled_bin_counts(tiled)

@@ -46,6 +46,7 @@ MODEL_VERSION = "0.1.0"
 MITO_NAMES = ["chrM", "MT", "M", "chrMT"]
 
 # SAM flag bits.
+FLAG_PAIRED = 0x1
 FLAG_PROPER_PAIR = 0x2
 FLAG_UNMAPPED = 0x4
 FLAG_MATE_UNMAPPED = 0x8

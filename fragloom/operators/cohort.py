@@ -6,7 +6,7 @@ import operator
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import labels as lab, measures as m
-from fragloom.operators.joins import fits_broadcast, lookup_join, top_rows_per_group
+from fragloom.operators.joins import has_at_most, lookup_join, top_rows_per_group
 from fragloom.operators.ranking import exact_quantiles, hash_rank, running_totals
 from fragloom.params import DEFAULTS, Params
 
@@ -102,7 +102,7 @@ def feature_medians(rows: DataFrame, groups=("feature_name",),
     """
     groups = list(groups)
     cohort = rows.select("sample_id").distinct()
-    if fits_broadcast(cohort, cohort_limit):
+    if has_at_most(cohort, cohort_limit):
         return rows.filter(F.col("value").isNotNull()).groupBy(*groups).agg(F.median("value").alias("fill"))
     return exact_quantiles(rows, "value", {"fill": 0.5}, groups)
 
@@ -173,7 +173,7 @@ def fold_stats(rows: DataFrame, training: DataFrame, folds: int) -> DataFrame:
     rows = rows.filter(F.col("value").isNotNull()).withColumn("fold", F.coalesce("fold", F.lit(0)))
     moments = [F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var")]
     middles = [f"{name}_{f}" for f in kept for name in ("low", "high")]
-    if fits_broadcast(training, MEDIAN_COHORT_LIMIT):
+    if has_at_most(training, MEDIAN_COHORT_LIMIT):
         # A feature has one value per sample: its rows are shuffled and sorted once, everything follows.
         feature = Window.partitionBy("feature_name")
         before = feature.orderBy("value", "sample_id").rowsBetween(Window.unboundedPreceding, -1)

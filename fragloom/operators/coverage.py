@@ -1,6 +1,6 @@
 """Genomic bins, GC annotation and dense fragment counts per sample and bin."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import chrom as chrom_fn, measures as m
 from fragloom.operators.intervals import overlap_join
@@ -99,34 +99,64 @@ def fragment_hits(fragments: DataFrame, bins: DataFrame, bin_size: int | None =
     return _hits_on_intervals(fragments, bins)
 
 
-def _length_counts(hits: DataFrame, keys) -> DataFrame:
+def length_counts(hits: DataFrame, keys) -> DataFrame:
     """Fragments per sample, bin and length: a plain hash aggregate with map-side
     combine, after which no group has more rows than there are lengths."""
     return hits.groupBy(*keys, "length").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _count_columns(params: Params):
-    """Bin statistics from (length, n) rows."""
-    length, n = F.col("length"), F.col("n")
-    clipped = F.least(F.greatest(length, F.lit(0)), F.lit(params.histogram_max))
+def bin_statistics(rows: DataFrame, keys, carried=(), params: Params = DEFAULTS) -> DataFrame:
+    """Statistics of each bin from (length, n) rows; a row without n only names its bin.
+
+    The median follows from running counts over the lengths of a bin, at most histogram_max + 1
+    once they are clipped. Windows and aggregate share one shuffle by bin.
+    """
+    length = F.col("length")
+    place = Window.partitionBy(*keys)
+    until = F.sum("n").over(place.orderBy("_clipped").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumns({
+        "n": F.coalesce("n", F.lit(0)),
+        "_clipped": F.least(F.greatest(length, F.lit(0)), F.lit(params.histogram_max))})
+    rows = rows.withColumns({"_until": until, "_all": F.sum("n").over(place)})
 
     def total(condition):
-        return F.sum(F.when(condition, n).otherwise(0))
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_until") - F.col("n")) & (rank < F.col("_until")), F.col("_clipped")))
 
-    return [
-        total(n.isNotNull()).alias("n_total_fragments"),
+    below = F.floor((F.col("_all") - 1) / 2)
+    return rows.groupBy(*keys).agg(
+        F.sum("n").alias("n_total_fragments"),
         total(m.is_short(length, params)).alias("n_short_100_150"),
         total(m.is_long(length, params)).alias("n_long_151_220"),
-        F.sum(length * n).alias("length_sum"),
-        F.percentile(clipped, F.lit(0.5), F.coalesce(n, F.lit(0))).alias("median_fragment_length"),
-    ]
+        F.sum(length * F.col("n")).alias("length_sum"),
+        ((at(below) + at(F.floor(F.col("_all") / 2))) / 2).alias("median_fragment_length"),
+        *[F.max(c).alias(c) for c in carried])
 
 
 def bin_counts(fragments: DataFrame, bin_size: int, params: Params = DEFAULTS) -> DataFrame:
     """Counts and length statistics of the touched tiles only, one row per sample and tile."""
     keys = ["sample_id", "chrom", "start"]
-    counted = _length_counts(_hits_on_tiles(fragments, bin_size), keys)
-    return counted.groupBy(*keys).agg(*_count_columns(params))
+    return bin_statistics(length_counts(_hits_on_tiles(fragments, bin_size), keys), keys, (), params)
+
+
+def tiled_fragments(fragments: DataFrame, bin_size: int) -> DataFrame:
+    """One row per fragment and tile it touches, with the start of the tile as `tile`; `owner` marks
+    the row of the tile in which the fragment starts, so each fragment has one such row."""
+    step = F.lit(bin_size).cast("long")
+    first = m.long_div(F.col("start"), bin_size) * step
+    last = m.long_div(F.greatest(F.col("end") - 1, F.col("start")), bin_size) * step
+    tiles = F.explode(F.sequence(first, last, step))
+    return fragments.withColumn("tile", tiles).withColumn("owner", F.col("tile") == first)
+
+
+def tiled_bin_counts(tiled: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """`bin_counts` of a table of `tiled_fragments`. On a table written by
+    `writers.write_tiled_fragments` nothing is shuffled: buckets hold whole tiles."""
+    keys = ["sample_id", "chrom", "tile"]
+    rows = tiled.filter(F.col("end") > F.col("start"))
+    return bin_statistics(length_counts(rows.select(*keys, "length"), keys), keys, (), params).withColumnRenamed("tile", "start")
 
 
 def dense_bin_counts(fragments: DataFrame, bins: DataFrame, samples: DataFrame,
@@ -138,8 +168,7 @@ def dense_bin_counts(fragments: DataFrame, bins: DataFrame, samples: DataFrame,
     fragments.
     Fragments are first reduced to counts per length. Grid rows then enter the same
     aggregate as the counts, which fills zeros and drops fragments outside the bins
-    without a join. Lengths are clipped before the exact median, so a group keeps at
-    most histogram_max + 1 counters however hot it is.
+    without a join.
     """
     grid = product_rows(
         samples.select("sample_id"),
@@ -149,12 +178,9 @@ def dense_bin_counts(fragments: DataFrame, bins: DataFrame, samples: DataFrame,
     keys = ["sample_id", "chrom", "start"] if bin_size else ["sample_id", "chrom", "start", "end"]
     carried = ["end", "gc_content", "effective_bin_size"] if bin_size else [
         "bin_id", "gc_content", "effective_bin_size"]
-    hits = _length_counts(fragment_hits(fragments, bins, bin_size), keys)
+    hits = length_counts(fragment_hits(fragments, bins, bin_size), keys)
     rows = grid.select(*keys, *carried).unionByName(hits, allowMissingColumns=True)
-    counted = (
-        rows.groupBy(*keys).agg(*_count_columns(params), *[F.max(c).alias(c) for c in carried])
-        .filter(F.col("effective_bin_size").isNotNull())
-    )
+    counted = bin_statistics(rows, keys, carried, params).filter(F.col("effective_bin_size").isNotNull())
     if bin_size:
         counted = counted.withColumn("bin_id", tile_id())
     size = F.greatest("effective_bin_size", F.lit(1))

@@ -187,6 +187,49 @@ def length_histogram(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("sample_id", "length").agg(F.count(F.lit(1)).alias("n_fragments"))
 
 
+def autosomal_coverage(fragments: DataFrame, sizes: DataFrame) -> DataFrame:
+    """mean_coverage per sample: bases of fragments on autosomes over the bases of the autosomes.
+
+    `sizes` holds (chrom, size): contigs, or bins with their effective sizes. Samples without
+    autosomal fragments get 0.
+    """
+    on = chrom_fn.is_autosome(F.col("chrom"))
+    genome = sizes.filter(on).agg(F.sum("size").cast("double")).scalar()
+    bases = F.coalesce(F.sum(F.when(on, F.col("end") - F.col("start"))), F.lit(0))
+    return fragments.groupBy("sample_id").agg((bases / genome).alias("mean_coverage"))
+
+
+def alignment_qc(alignments: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Per sample, in one pass: alignments, those that `filter_flags` keeps, primary records of
+    pairs, and fraction_proper_pair, the share of these that are mapped in a proper pair."""
+    flag = F.col("flag")
+
+    def has(bits):
+        return flag.bitwiseAND(F.lit(bits)) != 0
+
+    primary = has(C.FLAG_PAIRED) & ~has(C.FLAG_SECONDARY | C.FLAG_SUPPLEMENTARY)
+    proper = primary & has(C.FLAG_PROPER_PAIR) & ~has(C.FLAG_UNMAPPED | C.FLAG_MATE_UNMAPPED)
+    kept = has(C.FLAG_PROPER_PAIR) & ~has(params.exclude_flags) & (F.col("mapq") >= params.min_mapq)
+    counts = alignments.groupBy("sample_id").agg(
+        F.count(F.lit(1)).alias("alignments"), m.count_where(kept).alias("kept_alignments"),
+        m.count_where(primary).alias("paired_alignments"), m.count_where(proper).alias("_proper"))
+    share = m.share(F.col("_proper"), F.col("paired_alignments"))
+    return counts.withColumn("fraction_proper_pair", share).drop("_proper")
+
+
+def sample_qc(fragments: DataFrame, sizes: DataFrame, *further: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """One row per sample with the quantities that `qc_flags` judges, and its verdict.
+
+    Length statistics and coverage come from the filtered fragments; `further` tables, one row per
+    sample, bring the rest: `duplicate_rate`, `alignment_qc`, `regions.mito_features`. A sample
+    missing in a table has NULL there, which passes.
+    """
+    qc = fragment_qc(fragments, params).join(autosomal_coverage(fragments, sizes), "sample_id", "left")
+    for table in further:
+        qc = qc.join(table, "sample_id", "left")
+    return qc_flags(qc, params)
+
+
 def qc_flags(qc: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Opt-in quality verdict. Limits apply to the columns that `qc` has; NULL passes.
 

@@ -31,8 +31,8 @@ def overlap_join(left: DataFrame, right: DataFrame, how="inner", keys=("chrom",)
     repeated for each bucket in which an overlapping left row of that width can
     start. So left rows are never copied, pairs never repeat, interval lengths have
     no cap, and `left_anti` / `left_semi` work unchanged. The repeated right side is
-    broadcast only below a counted row limit, beyond it the join is salted. `widths`
-    balances copies of the right side against candidates per bucket.
+    broadcast only while it is estimated to be small. `widths` balances copies of the
+    right side against candidates per bucket.
     """
     ls, le = (F.col(f"`{c}`") for c in left_span)
     rs, re_ = (F.col(f"`{c}`") for c in right_span)

@@ -2,29 +2,34 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BROADCAST_ROW_LIMIT = 500_000
+#: Bytes of a lookup, by the optimizer's estimate, up to which it is sent to every task.
+BROADCAST_BYTES = 32 << 20
 SALTS = 16
 
 
-def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Proves the bound by a distributed count; the count needs no column values."""
-    return df.count() <= row_limit
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of `df`: no job, and no less than its input sizes say."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def lookup_join(big, small, on, how="inner", residual=None, row_limit=BROADCAST_ROW_LIMIT,
-                salts=SALTS):
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
+def lookup_join(big, small, on, how="inner", residual=None, max_bytes=BROADCAST_BYTES, salts=None):
     """Join many rows of `big` to a lookup table.
 
-    The lookup is broadcast when a count proves it has at most `row_limit` rows.
-    Otherwise both sides are shuffled on the keys plus a salt: rows of `big` with
-    one key are spread over `salts` tasks and the lookup is repeated once per salt,
-    so inner, left, left-semi and left-anti results stay whole.
+    A lookup that is estimated at up to `max_bytes` is broadcast. Beyond that the plan carries no
+    hint: adaptive execution broadcasts it where its real size allows, and splits hot keys of `big`
+    in the sort-merge join otherwise. With `salts` both sides are shuffled on the keys plus a salt
+    instead, for keys known to be hot: rows of `big` with one key are spread over so many tasks and
+    the lookup is repeated for each, so inner, left, left-semi and left-anti results stay whole.
     """
     on = list(on)
-    if fits_broadcast(small, row_limit):
+    hint = lambda df: df
+    if planned_bytes(small) <= max_bytes:
         hint = F.broadcast
-    else:
-        hint = lambda df: df
+    elif salts:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts).cast("long"))
         big = big.withColumn("_salt", salt)
         small = small.withColumn(
@@ -40,14 +45,15 @@ def lookup_join(big, small, on, how="inner", residual=None, row_limit=BROADCAST_
     return joined.drop("_salt", *[f"_key_{k}" for k in on])
 
 
-def product_rows(rows: DataFrame, items: DataFrame, shards: int = 64) -> DataFrame:
+def product_rows(rows: DataFrame, items: DataFrame, shards: int | None = None) -> DataFrame:
     """Every row with every item, for outputs that are defined on the full grid
     (for example a zero for every sample and bin).
 
-    Items are spread over `shards` groups and each row visits every group once, so
-    the grid is built by an equi-join on the group number: no nested-loop plan, and
-    the work is spread over `shards` tasks even for a single row.
+    Items are spread over `shards` groups (by default twice the cores of the session) and each
+    row visits every group once, so the grid is built by an equi-join on the group number: no
+    nested-loop plan, and the work is spread over `shards` tasks even for a single row.
     """
+    shards = shards or 2 * rows.sparkSession.sparkContext.defaultParallelism
     grouped = items.withColumn(
         "_shard", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in items.columns]), F.lit(shards)))
     visits = rows.withColumn(

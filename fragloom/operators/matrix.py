@@ -1,5 +1,6 @@
 """Long feature table, bounded wide matrix, dictionary and summary."""
 
+import functools
 import sys
 
 import numpy as np
@@ -8,7 +9,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom import constants as C
-from fragloom.operators.joins import product_rows
+from fragloom.operators.joins import lookup_join, product_rows
+from fragloom.session import stage
 
 # The function that fills vectors travels inside the task, executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -82,15 +84,31 @@ def scalar_features(table: DataFrame, columns=None) -> DataFrame:
 
 
 def union_features(*groups: DataFrame) -> DataFrame:
-    """Union of feature groups; a later group replaces equal names of an earlier one."""
+    """Union of feature groups; a later group replaces equal names of an earlier one.
+
+    Names held by more than one group are found first, from the distinct names of each. Only rows
+    of these names are shuffled; all others pass through.
+    """
+    columns = ["sample_id", "feature_name", "value"]
+    groups = [group.select(*columns) for group in groups]
     if len(groups) == 1:
         return groups[0]
-    columns = ["sample_id", "feature_name", "value"]
-    merged = None
+    names = [g.select("feature_name").distinct().withColumn("_rank", F.lit(i)) for i, g in enumerate(groups)]
+    held = functools.reduce(DataFrame.unionByName, names).groupBy("feature_name").agg(F.collect_list("_rank").alias("_ranks"))
+    shared = stage(held.filter(F.size("_ranks") > 1), "shared-names")
+    in_group = {r[0] for r in shared.select(F.explode("_ranks")).distinct().collect()}
+    own, common = [], []
     for rank, group in enumerate(groups):
-        ranked = group.select(*columns, F.lit(rank).alias("_rank"))
-        merged = ranked if merged is None else merged.unionByName(ranked)
-    return merged.groupBy("sample_id", "feature_name").agg(F.max_by("value", "_rank").alias("value"))
+        if rank not in in_group:
+            own.append(group)
+            continue
+        other = shared.filter(F.array_contains("_ranks", rank)).select("feature_name")
+        own.append(lookup_join(group, other, ["feature_name"], "left_anti"))
+        common.append(lookup_join(group, other, ["feature_name"], "left_semi").withColumn("_rank", F.lit(rank)))
+    if common:
+        rows = functools.reduce(DataFrame.unionByName, common)
+        own.append(rows.groupBy("sample_id", "feature_name").agg(F.max_by("value", "_rank").alias("value")))
+    return functools.reduce(DataFrame.unionByName, own)
 
 
 def attach_metadata(features: DataFrame, sheet: DataFrame, line: str = "line") -> DataFrame:

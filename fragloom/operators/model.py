@@ -192,6 +192,7 @@ def train(features: DataFrame, labelled: DataFrame, params: Params = DEFAULTS, s
         "max_features": params.max_features,
         **{key: {str(r["y"]): r[column] for r in counts} for key, column in (
             ("class_counts", "total"), ("train_class_counts", "train"), ("test_class_counts", "test"))},
+        "test_size": params.test_size if any(r["test"] for r in counts) else 0, "split_id_column": "sample_id",
         "random_state": params.seed, "split_order": "md5_of_seed_and_sample_id",
         "threshold_95_specificity": model.threshold, "threshold_source": scope,
         "training_scope": "train_partition_only",

@@ -10,16 +10,19 @@ from fragloom.params import DEFAULTS, Params
 DEPTH = "coverage_total_gc_corrected"
 
 
-def arm_features(corrected: DataFrame, arms: DataFrame, samples: DataFrame) -> DataFrame:
+def arm_features(corrected: DataFrame, arms: DataFrame, samples: DataFrame, bins: DataFrame | None = None) -> DataFrame:
     """Mean corrected depth of the bins that overlap each arm, 0.0 without bins.
 
-    A bin over two arms counts in both. z is a placeholder of 0.0.
+    A bin over two arms counts in both. z is a placeholder of 0.0. `bins` names the bins of
+    `corrected`; without it they are taken from the table itself.
     """
+    place = ["chrom", "start", "end"]
     spans = arms.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), "arm")
-    hits = (
-        overlap_join(corrected.select("sample_id", "chrom", "start", "end", DEPTH), spans)
-        .select("sample_id", "arm", F.col(DEPTH).alias("depth"))
-    )
+    # Bins are the same in all samples: overlaps are found once per bin, samples join by equality.
+    arms_of_bin = overlap_join(
+        bins.select(*place) if bins is not None else corrected.select(*place).distinct(), spans).select(*place, "arm")
+    hits = lookup_join(corrected.select("sample_id", *place, F.col(DEPTH).alias("depth")), arms_of_bin, place).select(
+        "sample_id", "arm", "depth")
     grid = product_rows(samples.select("sample_id"), arms.select("arm").distinct())
     named = F.regexp_replace("arm", "chr", "arm_chr")
     return (
@@ -90,56 +93,49 @@ def mito_features(reads: DataFrame, column: str = "chrom") -> DataFrame:
         "log10_mito_fraction", F.log10(F.greatest("mito_fraction", F.lit(1e-12))))
 
 
-def _mers(fragments, reference, chunk_size, salts):
-    """(left, right) 4-mers when each chunk also holds the bases after its end."""
+def _looked_up(rows, reference, chunk, column, salts):
+    """`rows` with the sequence chunk of the number `chunk` as `column`; NULL for a NULL number."""
+    # Rows without a number get keys that no chunk has, spread evenly.
+    none = -1 - F.pmod(F.xxhash64("sample_id", "start", "end"), F.lit(4096).cast("long"))
+    keyed = rows.withColumn("chunk", F.coalesce(chunk, none))
+    named = reference.select("chrom", "chunk", F.col("seq").alias(column))
+    return lookup_join(keyed, named, ["chrom", "chunk"], "left", salts=salts).drop("chunk")
+
+
+def _mers(fragments, reference, chunk_size, reach, salts):
+    """(left, right) 4-mers. A chunk also holds bases after its end: a right end that lies within
+    `reach` bases of the start is read from the chunk of the start, others look up their own."""
     size = F.lit(chunk_size).cast("long")
-    keyed = fragments.select(
-        "sample_id", "chrom", "start", "end", m.long_div(F.col("start"), chunk_size).alias("chunk"))
-    offset = F.col("start") - F.col("chunk") * size
-    length = F.col("end") - F.col("start")
-    tail = F.least(length, F.lit(4).cast("long"))
-    return lookup_join(keyed, reference.select("chrom", "chunk", "seq"), ["chrom", "chunk"],
-                       row_limit=20_000, salts=salts).select(
-        "sample_id",
-        F.upper(F.substring("seq", offset + 1, F.lit(4))).alias("left"),
-        F.upper(F.substring("seq", offset + length - tail + 1, tail)).alias("right"))
-
-
-def _mers_two_joins(fragments, reference, chunk_size, salts):
-    """The same for fragments of any length: each end looks up its own chunk."""
-    out = fragments.select(
-        "sample_id", "chrom", "start", "end",
-        F.greatest(F.col("end") - 4, F.col("start")).alias("tail"))
-    for name, begin, stop in (("left", "start", F.col("start") + 4), ("right", "tail", F.col("end"))):
-        chunk = m.long_div(F.col(begin), chunk_size)
-        keyed = out.withColumn("chunk", chunk)
-        ref = reference.select("chrom", "chunk", "seq")
-        looked = lookup_join(keyed, ref, ["chrom", "chunk"], "left", row_limit=20_000, salts=salts)
-        base = F.col(begin) - F.col("chunk") * F.lit(chunk_size).cast("long")
-        mer = F.upper(F.substring("seq", base + 1, stop - F.col(begin)))
-        out = looked.withColumn(name, F.coalesce(mer, F.lit(""))).drop("seq", "chunk")
-    return out.select("sample_id", "left", "right")
+    start, end = F.col("start"), F.col("end")
+    tail = F.greatest(end - 4, start)
+    first, last = m.long_div(start, chunk_size), m.long_div(tail, chunk_size)
+    far = (last != first) & (end - start > reach)
+    looked = _looked_up(fragments.select("sample_id", "chrom", "start", "end"), reference, first, "_first", salts)
+    looked = _looked_up(looked, reference, F.when(far, last), "_last", salts)
+
+    def mer(sequence, chunk, begin, stop):
+        return F.coalesce(F.upper(F.substring(sequence, begin - chunk * size + 1, stop - begin)), F.lit(""))
+
+    right = F.when(far, mer(F.col("_last"), last, tail, end)).otherwise(mer(F.col("_first"), first, tail, end))
+    return looked.select("sample_id", mer(F.col("_first"), first, start, start + 4).alias("left"), right.alias("right"))
 
 
 def end_motif_counts(fragments: DataFrame, reference: DataFrame, chunk_size: int,
                      tail_bases: int, bounded_length: int | None = None, salts: int = 16) -> DataFrame:
     """Motif counts per sample in three families: left, right and combined 4-mers.
 
-    `reference` chunks carry `tail_bases` bases beyond their end. When the ingest
-    filter bounds fragment lengths (`bounded_length`) and the tail covers that bound,
-    both ends of a fragment are read from one chunk with one join; fragments that are
-    longer all the same, and all without a bound, have each end looked up. The genome is repeated `salts` times rather than shuffling hot
-    chunks of fragments to one task. Pairs are counted first (at most 65,536 usual
-    rows per sample), the families follow from the pair counts.
+    `reference` chunks carry `tail_bases` bases beyond their end. When the ingest filter bounds
+    fragment lengths (`bounded_length`) and the tail covers that bound, both ends of a fragment are
+    read from the chunk of its start; longer fragments, and without a bound all that cross a
+    chunk, look up the chunk of their right end too, in the same pass. The genome is repeated
+    `salts` times where it is too large to broadcast, rather than shuffling hot chunks of fragments
+    to one task. Pairs are counted first (at most 65,536 usual rows per sample), the families
+    follow from the pair counts.
     """
-    if bounded_length is not None and tail_bases >= bounded_length:
-        short = F.col("end") - F.col("start") <= tail_bases
-        mers = _mers(fragments.filter(short), reference, chunk_size, salts).union(
-            _mers_two_joins(fragments.filter(~short), reference, chunk_size, salts))
-    else:
-        if tail_bases < 3:
-            raise ValueError("reference chunks need at least 3 tail bases")
-        mers = _mers_two_joins(fragments, reference, chunk_size, salts)
+    if tail_bases < 3:
+        raise ValueError("reference chunks need at least 3 tail bases")
+    covered = bounded_length is not None and tail_bases >= bounded_length
+    mers = _mers(fragments, reference, chunk_size, tail_bases if covered else 0, salts)
     pairs = mers.groupBy("sample_id", "left", "right").agg(F.count(F.lit(1)).alias("n"))
     has_left, has_right = F.length("left") == 4, F.length("right") == 4
     names = F.array_compact(F.array(

@@ -31,7 +31,7 @@ def feature_tables(fragments: DataFrame, sizes: DataFrame, samples: DataFrame, r
     counts = coverage.dense_bin_counts(fragments, bins, samples, params.bin_size, params)
     corrected = stage(gc.correct(counts, tiles.count(), params, correction), "corrected")
     if arms is not None:
-        arm_table = regions.arm_features(corrected, arms, samples)
+        arm_table = regions.arm_features(corrected, arms, samples, tiles)
     else:
         arm_table = regions.chrom_features(corrected)
     groups = [matrix.all_bin_features(corrected), regions.arm_long(arm_table), *extra]

@@ -1,17 +1,11 @@
 """Readers. Every text table has an explicit schema; nothing is inferred."""
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fragloom import schemas as S
 from fragloom.operators.joins import lookup_join
-from fragloom.sources import bgzf
-from fragloom.sources.bgzf import is_blocked, split_text, stream_text
+from fragloom.sources.split_text import BGZ_SPLIT, frames
 
-# The block reader travels inside the task, executors need no copy of this package.
-cloudpickle.register_pickle_by_value(bgzf)
-
-BGZ_SPLIT = 32 << 20
 BGZ_TASKS = 50_000
 
 
@@ -81,29 +75,12 @@ def bgz_splits(files: DataFrame, split_bytes: int = BGZ_SPLIT) -> DataFrame:
 
 def decode_splits(splits: DataFrame, split_bytes: int = BGZ_SPLIT) -> DataFrame:
     """Raw fragments with the file path of the lines that begin in each byte range."""
-    names = S.RAW_FRAGMENT.fieldNames()
     schema = T.StructType(S.RAW_FRAGMENT.fields + [T.StructField("path", T.StringType())])
 
     def decode(batches):
-        import io
-        import pandas as pd
-
-        kinds = {"chrom": str, "start": "int64", "end": "int64", "mapq": "int64", "strand": str}
         for batch in batches:
             for path, length, start in batch[["path", "length", "start"]].itertuples(index=False):
-                if is_blocked(path):
-                    pieces = split_text(path, start, start + split_bytes, length)
-                elif start == 0:
-                    pieces = stream_text(path)
-                else:
-                    continue
-                for piece in pieces:
-                    if not piece.strip():
-                        continue
-                    pdf = pd.read_csv(io.BytesIO(piece), sep="\t", header=None, names=names,
-                                      usecols=range(5), dtype=kinds, keep_default_na=False, quoting=3)
-                    pdf["path"] = path
-                    yield pdf
+                yield from frames(path, length, start, split_bytes)
 
     return splits.mapInPandas(decode, schema)
 

@@ -5,6 +5,8 @@ import json
 from pyspark.sql import DataFrame, functions as F
 
 from fragloom import schemas as S
+from fragloom.operators.coverage import tiled_fragments
+from fragloom.session import shuffle_tasks
 
 
 def write_fragments(fragments: DataFrame, path: str, cluster: bool = False) -> None:
@@ -21,6 +23,38 @@ def write_fragments(fragments: DataFrame, path: str, cluster: bool = False) -> N
     df.write.mode("overwrite").partitionBy("sample_id").parquet(path)
 
 
+TILE_KEYS = ("sample_id", "chrom", "tile")
+
+
+def write_tiled_fragments(fragments: DataFrame, path: str, name: str, bin_size: int, buckets: int | None = None) -> DataFrame:
+    """Fragments by tile, in buckets of whole tiles that are sorted by tile: the table `name` at
+    `path`. Aggregates and joins by sample, contig and tile of such tables need no shuffle where
+    the numbers of buckets agree (by default that of the shuffle tasks)."""
+    buckets = buckets or shuffle_tasks(fragments.sparkSession)
+    tiled = tiled_fragments(fragments, bin_size)
+    (tiled.repartition(buckets, *TILE_KEYS).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *TILE_KEYS).sortBy(*TILE_KEYS, "start").saveAsTable(name))
+    return fragments.sparkSession.table(name)
+
+
+def open_tiled_fragments(spark, path: str, name: str, buckets: int) -> DataFrame:
+    """The table in a session that did not write it."""
+    columns = spark.read.parquet(path).schema
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    keys = ", ".join(TILE_KEYS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet CLUSTERED BY ({keys}) "
+              f"SORTED BY ({keys}, start) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def write_tile_table(df: DataFrame, path: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Any table with the keys of a tile, bucketed to join fragments in place."""
+    buckets = buckets or shuffle_tasks(df.sparkSession)
+    (df.repartition(buckets, *TILE_KEYS).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *TILE_KEYS).sortBy(*TILE_KEYS).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def read_written_fragments(spark, path: str) -> DataFrame:
     """The table back, with the canonical schema also when it has no rows."""
     return spark.read.schema(S.FRAGMENT).parquet(path).select(*S.FRAGMENT_COLUMNS)

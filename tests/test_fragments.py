@@ -176,3 +176,47 @@ def test_url_discovery_falls_back_to_strings(spark):
 def test_params_change_results(spark, fragments):
     out = fr.with_size_class(fragments, Params(short_min=30, short_max=50))
     assert values(out, "is_short", "start", "chrom") == [False, True, False, False]
+
+
+# Quality rules and what they judge
+
+
+def quality_row(**changes):
+    row = {"sample_id": "s", "filtered_fragments": 6_000_000, "mean_coverage": 0.2, "duplicate_rate": 0.1,
+           "median_fragment_length": 167.0, "mito_fraction": 0.01, "fraction_proper_pair": 0.95}
+    return {**row, **changes}
+
+
+BROKEN = {
+    "low_fragment_count": {"filtered_fragments": 4_999_999}, "low_coverage": {"mean_coverage": 0.09},
+    "high_duplicate_rate": {"duplicate_rate": 0.36}, "low_median_length": {"median_fragment_length": 119.0},
+    "high_median_length": {"median_fragment_length": 191.0}, "high_mito_fraction": {"mito_fraction": 0.21},
+    "low_proper_pair": {"fraction_proper_pair": 0.79}}
+
+
+def test_every_quality_rule_both_ways(spark):
+    import pandas as pd
+    from fragloom.operators import fragments as fr
+    rows = [quality_row(sample_id=name, **change) for name, change in BROKEN.items()]
+    edges = quality_row(sample_id="edges", filtered_fragments=5_000_000, mean_coverage=0.1, duplicate_rate=0.35,
+                        median_fragment_length=120.0, mito_fraction=0.20, fraction_proper_pair=0.80)
+    frame = pd.DataFrame([*rows, edges, quality_row(sample_id="fine")])
+    got = {r.sample_id: (r.qc_flags, r.qc_pass) for r in fr.qc_flags(spark.createDataFrame(frame)).collect()}
+    assert got == {**{name: (name, False) for name in BROKEN}, "edges": ("", True), "fine": ("", True)}
+
+
+def test_coverage_and_pairs_behind_the_rules(spark):
+    from fragloom import constants as C
+    from fragloom.operators import fragments as fr
+    frags = spark.createDataFrame(
+        [("a", "chr1", 0, 100), ("a", "chr2", 10, 60), ("a", "chrX", 0, 999), ("b", "chrM", 0, 50)],
+        "sample_id string, chrom string, start long, `end` long")
+    sizes = spark.createDataFrame([("chr1", 1000), ("chr2", 500), ("chrX", 10), ("chrM", 10)], "chrom string, size long")
+    assert dict(map(tuple, fr.autosomal_coverage(frags, sizes).collect())) == {"a": 150 / 1500, "b": 0.0}
+    flags = [C.FLAG_PAIRED | C.FLAG_PROPER_PAIR, C.FLAG_PAIRED, C.FLAG_PAIRED | C.FLAG_PROPER_PAIR | C.FLAG_MATE_UNMAPPED,
+             C.FLAG_PAIRED | C.FLAG_PROPER_PAIR | C.FLAG_SECONDARY, C.FLAG_PROPER_PAIR]
+    reads = spark.createDataFrame([("a", f, 40) for f in flags] + [("a", flags[0], 3), ("b", 0, 60)], "sample_id string, flag int, mapq int")
+    got = {r.sample_id: r for r in fr.alignment_qc(reads).collect()}
+    assert (got["a"].alignments, got["a"].paired_alignments, got["a"].fraction_proper_pair) == (6, 4, 0.5)
+    assert got["a"].kept_alignments == fr.filter_flags(reads).filter("sample_id = 'a'").count()
+    assert got["b"].paired_alignments == 0 and not got["b"].fraction_proper_pair

@@ -176,8 +176,8 @@ def test_spark_correction_equals_the_kernel(spark):
 INTERVALS = "id bigint, chrom string, start bigint, `end` bigint"
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_overlap_join_equals_nested_loop(spark, limit):
+@pytest.mark.parametrize("options", [{}, {"max_bytes": 0}, {"max_bytes": 0, "salts": 4}])
+def test_overlap_join_equals_nested_loop(spark, options):
     r = random.Random(4)
     spans = lambda n, top: [
         (i, f"c{r.randint(1, 2)}", s, s + r.choice([0, 1, 50, 16384, 16385, 70000, 2_000_000][:top]))
@@ -187,9 +187,9 @@ def test_overlap_join_equals_nested_loop(spark, limit):
     b = spark.createDataFrame(right, INTERVALS).select(
         F.col("id").alias("rid"), "chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     want = sorted((x[0], y[0]) for x in left for y in right if x[1] == y[1] and x[2] < y[3] and x[3] > y[2])
-    got = overlap_join(a, b, row_limit=limit)
+    got = overlap_join(a, b, **options)
     assert sorted((q["id"], q["rid"]) for q in got.collect()) == want
-    kept = overlap_join(a, b, "left_anti", row_limit=limit)
+    kept = overlap_join(a, b, "left_anti", **options)
     assert sorted(q["id"] for q in kept.collect()) == sorted({x[0] for x in left} - {p[0] for p in want})
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -199,8 +199,8 @@ def test_salted_lookup_keeps_every_row(spark):
     big = spark.range(1000).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id")).alias("k"), "id")
     small = spark.createDataFrame([(1, "hot"), (900, "cold"), (5000, "unused")], "k bigint, v string")
     for how, n in (("inner", 701), ("left", 1000), ("left_semi", 701), ("left_anti", 299)):
-        for limit in (0, 100):
-            assert lookup_join(big, small, ["k"], how, row_limit=limit).count() == n
+        for options in ({}, {"max_bytes": 0}, {"max_bytes": 0, "salts": 16}):
+            assert lookup_join(big, small, ["k"], how, **options).count() == n
 
 
 def test_product_has_every_pair(spark):
@@ -470,3 +470,56 @@ def test_vectors_of_all_fits(spark):
         s: v for (s, fit), v in want.items() if fit == 1}
     plan = vectors._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+# Union of groups, and the summary document
+
+
+def test_union_shuffles_shared_names_only(spark):
+    schema = "sample_id string, feature_name string, value double"
+    bins = spark.createDataFrame([(s, f"bin{i}", float(i)) for s in "ab" for i in range(50)] + [("a", "both", 1.0)], schema)
+    arms = spark.createDataFrame([("a", "both", 2.0), ("b", "both", 3.0), ("a", "arm", None)], schema)
+    late = spark.createDataFrame([("b", "arm", 9.0), ("a", "alone", 5.0)], schema)
+    got = mx.union_features(bins, arms, late)
+    want = {("a", "both"): 2.0, ("b", "both"): 3.0, ("a", "arm"): None, ("b", "arm"): 9.0, ("a", "alone"): 5.0}
+    rows = {(r.sample_id, r.feature_name): r.value for r in got.collect()}
+    assert rows == {**want, **{(s, f"bin{i}"): float(i) for s in "ab" for i in range(50)}} and got.count() == len(rows)
+    apart = mx.union_features(bins.filter("feature_name <> 'both'"), late.filter("feature_name = 'alone'"))
+    assert "Exchange" not in apart._jdf.queryExecution().executedPlan().toString()
+    assert apart.count() == 101
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1  # of the rows that share a name
+
+
+def test_summary_document(spark, tmp_path):
+    import json
+    from fragloom.plans.evaluation import analysis_summary, report_files, report_tables
+    from fragloom.sources import writers as wr
+    metadata = spark.createDataFrame([("a", "control"), ("b", "lung_cancer"), ("c", None)], "sample_id string, label string")
+    scores = spark.createDataFrame(
+        [("a", 0.2, "lower_fragmentome_score"), ("b", 0.9, "elevated_fragmentome_score"), ("c", 0.2, None), ("d", None, None)],
+        "sample_id string, cancer_probability double, classification string")
+    cv = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, None)], "y_true int, cv_probability double")
+    one_class = spark.createDataFrame([(1, 0.9)], "y_true int, test_probability double")
+    facts = {"model_name": "logistic_l2", "nested": {"0.95": [1, 2.5]}}
+    summary = analysis_summary(metadata, scores, cv, one_class, model_metadata=facts)
+    path = str(tmp_path / "summary")
+    wr.write_json_summary(summary, path)
+    document = json.loads(spark.read.text(path).head()[0])
+    assert document["n_samples"] == 4 and document["n_predictions"] == 3 and document["unique_score_count"] == 2
+    assert document["classification_counts"] == {
+        "null": 2, "lower_fragmentome_score": 1, "elevated_fragmentome_score": 1}
+    assert document["class_counts"] == {"0": 3, "1": 1}
+    assert document["confusion_matrix"] == {"tp": 1, "tn": 3, "fp": 0, "fn": 0}
+    assert (document["sensitivity"], document["specificity"], document["roc_auc"]) == (1.0, 1.0, 1.0)
+    assert document["cross_validated_predictions"] == {"n_samples": 2, "unique_score_count": 2, "roc_auc": 1.0, "pr_auc": 1.0}
+    assert "heldout_test_predictions" not in document and "classification_warning" not in document
+    assert document["model_metadata"] == facts
+    assert "few unique values" in document["score_warning"] and "supplied prediction file" in document["evaluation_warning"]
+    bare = analysis_summary(metadata.drop("label"), scores)
+    wr.write_json_summary(bare, path)
+    plain = json.loads(spark.read.text(path).head()[0])
+    assert not {"class_counts", "confusion_matrix", "roc_auc", "sensitivity", "evaluation_warning"} & set(plain)
+    report_files({"top_scores": report_tables(metadata, scores)["top_scores"]}, summary, str(tmp_path / "report"))
+    assert (tmp_path / "report" / "top_scores" / "_SUCCESS").exists()
+    assert (tmp_path / "report" / "prediction_analysis_summary" / "_SUCCESS").exists()

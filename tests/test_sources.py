@@ -200,3 +200,134 @@ def test_stream_reads_blocks_and_text(spark, tmp_path):
     for name, text in data.items():
         got = sorted(f"{r['chrom']}\t{r['start']}\t{r['end']}\t{r['mapq']}\t{r['strand']}" for r in rows if r["sample_id"] == name)
         assert got == sorted(text.decode().split("\n")[:-1])
+
+
+# The data source, streaming state, and the bucketed layout
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    from fragloom.sources.fragment_source import register
+    register(spark)
+    return spark
+
+
+def raw_rows(spark, n=2000, seed=4):
+    r = random.Random(seed)
+    rows = [(r.choice("ab"), r.choice(["1", "2", "MT"]), s, s + r.randint(30, 600), r.randint(0, 60), r.choice("+-"))
+            for s in (r.randint(0, 10**6) for _ in range(n))]
+    return rows, spark.createDataFrame(rows, "sample_id string, chrom string, start long, `end` long, mapq long, strand string")
+
+
+def test_sink_and_source_round_trip(source, tmp_path):
+    rows, df = raw_rows(source)
+    folder = str(tmp_path / "files")
+    df.repartition(3).write.format("fragments").mode("append").save(folder)
+    assert not list((tmp_path / "files" / "_temporary").glob("*"))
+    files = sorted((tmp_path / "files").glob("*/*.frag.tsv.bgz"))
+    assert {f.parent.name for f in files} == {"a", "b"} and all(bgzf.is_blocked(str(f)) for f in files)
+    assert sum(gzip.decompress(f.read_bytes()).count(b"\n") for f in files) == len(rows)
+    for size in (700, 1 << 20):
+        back = source.read.format("fragments").option("splitBytes", size).load(folder)
+        got = sorted((r.path.split("/")[-2], r.chrom, r.start, r.end, r.mapq, r.strand) for r in back.collect())
+        assert got == sorted(rows)
+    assert source.read.format("fragments").option("splitBytes", 700).load(folder).rdd.getNumPartitions() > len(files)
+    df.limit(5).drop("sample_id").write.format("fragments").mode("overwrite").save(folder)
+    assert source.read.format("fragments").load(folder).count() == 5
+
+
+def test_source_reads_all_codecs_and_refuses_bad_input(source, tmp_path):
+    data = {name: lines(200, seed) for seed, name in enumerate(("a", "b", "c"))}
+    write_blocks(tmp_path / "a.frag.tsv.bgz", data["a"], 300)
+    for name in ("b.bgz", "c.tsv.gz"):  # the first one is plain gzip behind the block suffix
+        with gzip.open(tmp_path / name, "wb") as f:
+            f.write(data[name[0]])
+    (tmp_path / "empty.bgz").write_bytes(b"")
+    (tmp_path / "notes.txt").write_text("not a fragment file")
+    rows = source.read.format("fragments").option("splitBytes", 500).load(str(tmp_path)).collect()
+    for name, text in data.items():
+        got = ["\t".join(map(str, r[:5])) for r in rows if r.path.split("/")[-1].startswith(f"{name}.")]
+        assert sorted(got) == sorted(text.decode().split("\n")[:-1])
+    with gzip.open(tmp_path / "d.gz", "wb") as f:
+        f.write(b"1\t2\t3\tmany\t+\n")
+    with pytest.raises(Exception, match="many|int64|invalid literal"):
+        source.read.format("fragments").load(str(tmp_path)).collect()
+    with pytest.raises(Exception, match="no such path"):
+        source.read.format("fragments").load(str(tmp_path / "gone")).collect()
+    with pytest.raises(Exception, match="mapq"):
+        raw_rows(source, 3)[1].drop("mapq").write.format("fragments").mode("append").save(str(tmp_path / "out"))
+
+
+def test_stream_reads_each_file_once(source, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+    counts = []
+    for i in range(3):
+        write_blocks(folder / f"f{i}.bgz", lines(100, i), 400)
+        stream = source.readStream.format("fragments").load(str(folder))
+        stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+        counts.append(source.read.parquet(out).count())
+    assert counts == [100, 200, 300]
+
+
+def test_addresses_of_other_file_systems():
+    from fragloom.sources import fragment_source as fsrc
+    assert fsrc.open_system("file:/tmp/x")[1] == "/tmp/x" and fsrc.open_system("file:///tmp/x")[1] == "/tmp/x"
+    assert fsrc._full_path("s3a://bucket/folder", object(), "bucket/folder/f.bgz") == "s3://bucket/folder/f.bgz"
+
+
+def batch_bins(spark, rows, size):
+    from fragloom.operators.coverage import bin_counts
+    frags = spark.createDataFrame([(r[0], r[1], r[2], r[3], r[3] - r[2]) for r in rows],
+                                  "sample_id string, chrom string, start long, `end` long, length long")
+    return frags, sorted(map(tuple, bin_counts(frags, size).collect()))
+
+
+def test_bin_state_merges_replays_and_compacts(spark, tmp_path):
+    from fragloom.streaming.fragments import BinState
+    state = BinState(spark, str(tmp_path / "state"), 50_000)
+    assert state.counts().count() == 0
+    state.compact()
+    rows, _ = raw_rows(spark, 900)
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    schema = "sample_id string, chrom string, start long, `end` long, length long"
+    deltas = []
+    for i in range(4):
+        part, _ = batch_bins(spark, rows[i * 200: (i + 1) * 200], 50_000)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        state.follow(spark.readStream.schema(schema).parquet(folder), checkpoint).awaitTermination()
+        deltas.append(spark.read.parquet(str(tmp_path / "state" / "deltas" / f"batch={i}")).agg({"n": "sum"}).head()[0])
+        if i in (1, 2):
+            state.compact()
+        _, want = batch_bins(spark, rows[: (i + 1) * 200], 50_000)
+        assert sorted(map(tuple, state.statistics().collect())) == want
+    assert max(deltas) < 250  # a trigger adds its own rows only
+    assert state._numbers("base") == [1, 2] and state._numbers("deltas") == [2, 3]
+    again = spark.read.parquet(str(tmp_path / "state" / "deltas" / "batch=3"))
+    again.cache().count()
+    again.write.mode("overwrite").parquet(str(tmp_path / "state" / "deltas" / "batch=3"))  # the batch is run again
+    assert sorted(map(tuple, state.statistics().collect())) == want
+
+
+def test_tiled_table_counts_without_a_shuffle(spark, tmp_path):
+    from fragloom.operators.coverage import tiled_bin_counts
+    rows, _ = raw_rows(spark, 1500)
+    frags, want = batch_bins(spark, rows, 10_000)
+    table = wr.write_tiled_fragments(frags, str(tmp_path / "tiled"), "tiled_test", 10_000, 5)
+    counted = tiled_bin_counts(table)
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, counted.collect())) == want
+    assert table.filter("owner").count() == len(rows) < table.count()
+    spark.sql("DROP TABLE tiled_test")
+    again = wr.open_tiled_fragments(spark, str(tmp_path / "tiled"), "tiled_again", 5)
+    other = wr.write_tile_table(
+        again.select(*wr.TILE_KEYS).distinct().selectExpr("*", "1 AS weight"), str(tmp_path / "weights"), "tile_weights", 5)
+    joined = again.hint("merge").join(other, list(wr.TILE_KEYS))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == again.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("tiled_again", "tile_weights"):
+            spark.sql(f"DROP TABLE {name}")
