@@ -32,6 +32,17 @@ def _forest(batches):
             yield pa.record_batch([pa.array(names[moved]), pa.array(root[moved])], names=["u", "v"])
 
 
+#: Edges that one task finishes on its own: 16 bytes each, and some 60 for the work.
+EDGES_IN_TASK = 2_000_000
+
+
+def _finished(batches):
+    """The star forest of all edges of the task."""
+    held = [batch for batch in batches if batch.num_rows]
+    if held:
+        yield from _forest([pa.Table.from_batches(held).combine_chunks().to_batches()[0]])
+
+
 def components(edges: DataFrame, shelf: Shelf, name: str = "components") -> DataFrame:
     """(vertex, root) for every vertex of an edge, root being the smallest one it reaches.
 
@@ -49,6 +60,9 @@ def components(edges: DataFrame, shelf: Shelf, name: str = "components") -> Data
         pairs.filter("u <> v").mapInArrow(_forest, "u long, v long").distinct(), f"{name}-0")
     before, turn = None, 0
     while True:
+        if links.limit(EDGES_IN_TASK + 1).count() <= EDGES_IN_TASK:
+            links = shelf.keep(links.coalesce(1).mapInArrow(_finished, "u long, v long"), f"{name}-all")
+            break
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
         large = (

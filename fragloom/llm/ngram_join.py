@@ -12,6 +12,8 @@ The order puts frequent shingles last. Which ones count as frequent changes the
 the result: any order that all documents share is right.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -397,9 +399,31 @@ def _linked(docs, pairs, k, threshold, repeats):
 def remove_near_copies(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The documents without those that `jaccard_join` finds to be copies of one with a smaller id.
 
-    Of rows that repeat a doc_id one stays; rows with a null doc_id all stay. Columns are kept.
+    Rows that repeat a doc_id stay where their sets of shingles differ; of those with one set (or
+    with none and one text) the first by all columns stays. Rows with a null doc_id all stay.
+    Columns are kept.
     """
     found = jaccard_join(docs, k, threshold)
     removed = found.filter("NOT kept").select("doc_id").distinct()
     left = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
-    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(left.filter("doc_id IS NULL"))
+    several = left.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if several.isEmpty():
+        return left
+    repeated = left.join(several, "doc_id", "left_semi")
+    rows = repeated.withColumn("_all", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    named = rows.select("_all", F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(
+        _named_sets(k), "_all " + rows.schema["_all"].dataType.simpleString() + ", _name binary")
+    first = named.groupBy(F.col("_all.doc_id"), "_name").agg(F.min("_all").alias("_all")).select("_all.*")
+    return left.join(several, "doc_id", "left_anti").select(*docs.columns).union(first)
+
+
+def _named_sets(k):
+    """A digest of the set of shingles of each text, or of a text without any."""
+    def named(batches):
+        for batch in batches:
+            names = [
+                hashlib.sha256(s.tobytes() if len(s) else b"text " + (text or "").encode()).digest()
+                for s, text in zip(shingle_sets(batch.column(1), k), batch.column(1).to_pylist())]
+            yield pa.record_batch([batch.column(0), pa.array(names, pa.binary())], names=["_all", "_name"])
+        released()
+    return named

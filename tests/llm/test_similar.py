@@ -80,6 +80,23 @@ def test_jaccard_join_odd_rows(rows):
     assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 0, 4, 5]
 
 
+def test_unlike_texts_of_one_id_stay(rows):
+    long = " ".join(f"w{i}" for i in range(40))
+    docs = [(5, long, "a"), (5, "wholly another text of some words", "b"), (5, long, "c"), (5, None, "d"), (5, "", "e"),
+            (6, long + " more", "f"), (7, "a third text that is like no other", "g")]
+    got = remove_near_copies(rows(docs, "doc_id long, text string, source string"))
+    assert sorted(r.source for r in got.collect()) == ["a", "b", "d", "g"]
+
+
+def test_components_of_many_edges_by_rounds(spark, rows, monkeypatch):
+    from fragloom.llm import components as module
+    monkeypatch.setattr(module, "EDGES_IN_TASK", 0)
+    pick = random.Random(9)
+    pairs = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1200)]
+    got = {r.vertex: r.root for r in components(rows(pairs, "a long, b long"), Shelf(spark, "t")).collect()}
+    assert got == reach({x for p in pairs for x in p}, pairs)
+
+
 def test_jaccard_join_of_repeated_rows(rows):
     """A text links two shorter ones that are not linked themselves; its row is there many times."""
     docs, groups = [], [1, 7, 8, 61, 62, 63, 70]
