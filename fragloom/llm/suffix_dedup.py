@@ -23,11 +23,13 @@ it stands for, which spread over the key ranges.
 
 import bisect
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
@@ -40,8 +42,9 @@ RANGE_ROWS = 100_000
 RUN_ROWS = 100_000
 #: Texts whose suffixes the splitters are taken from.
 SPLITTER_TEXTS = 4_000
-#: Occurrences of one k-gram from which its passages are sorted one by one.
-HOT_ROWS = 100_000
+#: Occurrences of one k-gram from which its passages are sorted one by one; so many such k-grams are
+#: told to every task (16 bytes each), more are joined by shuffle.
+HOT_ROWS, BROADCAST_GRAMS = 100_000, 500_000
 _PLACE = np.uint64((1 << 28) - 1)
 #: Texts that are written out at once.
 REMOVED_ROWS = 1_000
@@ -192,6 +195,8 @@ def _runs(length, splitters):
     """Sort the suffixes of a task into runs and cut them by key ranges."""
     def runs(batches):
         right, left, doc, key, packed = [], [], [], [], []
+        # What is covered already needs no merge: such rows get numbers below 0, spread over all tasks.
+        aside = itertools.count(1 + TaskContext.get().partitionId() * 7919)
 
         def flush():
             order = sorted(range(len(right)), key=lambda i: (right[i], left[i], doc[i], packed[i] >> 14))
@@ -216,7 +221,7 @@ def _runs(length, splitters):
                     yield (number, *Piece(heads[a:b], [left[i] for i in some], docs[some], keys[some], packs[some]).coded())
             if covered:
                 place, most, least = unpack(packs[covered])
-                yield (-1, b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
+                yield (-(next(aside) % 1_000_003) - 1, b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
                        np.concatenate([place - most, place - least]).tobytes())
             for held in (right, left, doc, key, packed):
                 held.clear()
@@ -477,7 +482,10 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
     repeated = shelf.keep(
         found.repartition(tasks, deal).sortWithinPartitions("gram")
         .mapInArrow(_repeated, "gram long, key long, packed long"), "repeated")
-    hot = repeated.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select("gram", F.lit(True).alias("hot"))
+    hot = shelf.keep(repeated.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS).select(
+        "gram", F.lit(True).alias("hot")), "hot")
+    if hot.count() <= BROADCAST_GRAMS:
+        hot = F.broadcast(hot)
     total = repeated.count()
     parts = max(tasks, -(-total // RANGE_ROWS))
     splitters = _splitters(texts, repeated, parts)
