@@ -23,13 +23,11 @@ it stands for, which spread over the key ranges.
 
 import bisect
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
@@ -40,8 +38,8 @@ GRAM = 24
 RANGE_ROWS = 100_000
 #: Anchors of one sorted run, about.
 RUN_ROWS = 100_000
-#: Texts whose suffixes the splitters are taken from.
-SPLITTER_TEXTS = 4_000
+#: Anchors that the splitters are taken from.
+SPLITTER_ROWS = 40_000
 #: Occurrences of one k-gram from which its passages are sorted one by one; so many such k-grams are
 #: told to every task (16 bytes each), more are joined by shuffle.
 HOT_ROWS, BROADCAST_GRAMS = 100_000, 500_000
@@ -195,8 +193,6 @@ def _runs(length, splitters):
     """Sort the suffixes of a task into runs and cut them by key ranges."""
     def runs(batches):
         right, left, doc, key, packed = [], [], [], [], []
-        # What is covered already needs no merge: such rows get numbers below 0, spread over all tasks.
-        aside = itertools.count(1 + TaskContext.get().partitionId() * 7919)
 
         def flush():
             order = sorted(range(len(right)), key=lambda i: (right[i], left[i], doc[i], packed[i] >> 14))
@@ -221,7 +217,8 @@ def _runs(length, splitters):
                     yield (number, *Piece(heads[a:b], [left[i] for i in some], docs[some], keys[some], packs[some]).coded())
             if covered:
                 place, most, least = unpack(packs[covered])
-                yield (-(next(aside) % 1_000_003) - 1, b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
+                # These need no merge: numbers below 0, by their first text, spread them over all tasks.
+                yield (-1 - int(keys[covered[0]] % 1_000_003), b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
                        np.concatenate([place - most, place - least]).tobytes())
             for held in (right, left, doc, key, packed):
                 held.clear()
@@ -237,24 +234,28 @@ def _runs(length, splitters):
             docs, keys, texts, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
                 text = unsqueezed(texts[i].as_py())
-                for item in lists[i].as_py():
-                    own, hot = item["packed"], item["hot"]
-                    place, most, least = unpack(own)
-                    if hot:
-                        for start in range(place - most, place - least + 1):
-                            right.append(text[start: start + length])
-                            left.append(b"")
+                items = lists[i].values
+                owns = items.field("packed").to_numpy(zero_copy_only=False)
+                hots = items.field("hot").to_numpy(zero_copy_only=False)
+                # A few at once, so that what is held does not grow with the text.
+                for first in range(0, len(owns), RUN_ROWS // length):
+                    for own, hot in zip(owns[first: first + RUN_ROWS // length].tolist(), hots[first: first + RUN_ROWS // length].tolist()):
+                        place, most, least = unpack(own)
+                        if hot:
+                            for start in range(place - most, place - least + 1):
+                                right.append(text[start: start + length])
+                                left.append(b"")
+                                doc.append(docs[i])
+                                key.append(keys[i])
+                                packed.append(pack(start, start, start))
+                        else:
+                            right.append(text[place: place - least + length])
+                            left.append(text[place - most: place])
                             doc.append(docs[i])
                             key.append(keys[i])
-                            packed.append(pack(start, start, start))
-                    else:
-                        right.append(text[place: place - least + length])
-                        left.append(text[place - most: place])
-                        doc.append(docs[i])
-                        key.append(keys[i])
-                        packed.append(own)
-                if len(right) > RUN_ROWS:
-                    yield rows()
+                            packed.append(own)
+                    if len(right) > RUN_ROWS:
+                        yield rows()
         if right:
             yield rows()
     return runs
@@ -397,25 +398,31 @@ def _combine(length):
     return combine
 
 
-def _splitters(docs: DataFrame, repeated: DataFrame, parts: int) -> list[bytes]:
-    """Keys that cut the repeated suffixes of a bounded sample of texts into equal parts."""
-    sample = docs.select("key", F.substring("text", 1, 20_000).alias("text")).orderBy(
-        F.xxhash64("key")).limit(SPLITTER_TEXTS).toArrow()
-    texts = {k: t.encode() for k, t in zip(*(sample[c].to_pylist() for c in ("key", "text")))}
-    if not texts:
+def _grams(batches):
+    """The first bytes of the suffixes at sampled anchors."""
+    for batch in batches:
+        found = []
+        for text, packed in zip(batch.column(1), batch.column(2).to_pylist()):
+            data = text.as_py().encode()
+            places = [unpack(p)[0] for p in packed]
+            found += [g for g in (data[at: at + GRAM] for at in places) if len(g) == GRAM]
+        yield pa.record_batch([pa.array(found, pa.binary())], names=["gram"])
+    released()
+
+
+def _splitters(docs: DataFrame, repeated: DataFrame, parts: int, total: int) -> list[bytes]:
+    """Keys that cut the repeated suffixes into about equal parts, from a sample of the anchors
+    themselves: about `SPLITTER_ROWS` by a hash, wherever in however long texts they stand."""
+    if parts < 2:
         return []
-    ids = docs.sparkSession.createDataFrame(sorted(texts), "long").toDF("key")
-    found = repeated.join(F.broadcast(ids), "key").select("key", "packed").toArrow()
-    keys = []
-    for text, packed in zip(found["key"].to_pylist(), found["packed"].to_pylist()):
-        place, _, _ = unpack(packed)
-        key = texts[text][place: place + GRAM]
-        if len(key) == GRAM:
-            keys.append(key)
-    keys.sort()
-    del found, sample, texts
+    share = min(1.0, SPLITTER_ROWS / max(total, 1))
+    hashed = F.pmod(F.xxhash64("key", "packed", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = repeated.filter(hashed).groupBy("key").agg(F.collect_list("packed").alias("packed"))
+    grams = docs.select("key", "text").join(F.broadcast(sample), "key").select("key", "text", "packed").mapInArrow(
+        _grams, "gram binary").toArrow()["gram"].to_pylist()
+    grams.sort()
     released()
-    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+    return sorted({grams[len(grams) * i // parts] for i in range(1, parts)}) if grams else []
 
 
 def _remove(batches):
@@ -488,7 +495,7 @@ def repeated_passages(docs: DataFrame, length: int = 100) -> DataFrame:
         hot = F.broadcast(hot)
     total = repeated.count()
     parts = max(tasks, -(-total // RANGE_ROWS))
-    splitters = _splitters(texts, repeated, parts)
+    splitters = _splitters(texts, repeated, parts, total)
     by_text = (
         repeated.join(hot, "gram", "left").groupBy("key")
         .agg(F.collect_list(F.struct("packed", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("anchors")))

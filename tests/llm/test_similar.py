@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fragloom.llm import ngram_join, suffix_dedup
@@ -289,3 +290,45 @@ def test_least_collisions_holds_the_recall():
     count, p = least_collisions(), math.erf(1.5 / math.sqrt(2))
     tail = lambda c: sum(math.comb(16, k) * p**k * (1 - p) ** (16 - k) for k in range(c, 17))
     assert tail(count) >= 0.995 > tail(count + 1)
+
+
+def test_a_long_uniform_text_in_small_memory():
+    """Runs are written while the text is read: half a megabyte of one letter, in pieces."""
+    from fragloom.llm import suffix_dedup as sd
+    text = b"a" * 500_000
+    places = np.arange(len(text) - 100)
+    packed = [int(sd.pack(int(p), int(p), int(p))) for p in places]
+    lists = pa.array([[{"packed": p, "hot": True} for p in packed]])
+    batch = pa.record_batch([pa.array([1]), pa.array([2]), pa.array([sd.zstandard.compress(text)]), lists],
+                            names=["doc", "key", "text", "anchors"])
+    pieces = list(sd._runs(100, [])([batch]))
+    assert len(pieces) >= 4
+    sent = sum(np.frombuffer(b, np.int64).size for p in pieces for b, n in zip(p["packed"].to_pylist(), p["part"].to_pylist()) if n >= 0)
+    assert sent <= 2 * len(packed)
+
+
+def test_repeats_inside_one_long_text(rows):
+    """Passages of a text of megabytes, beyond the stretch that anchors are looked for in."""
+    pick = random.Random(12)
+    words = ["".join(pick.choice("abcdefghij") for _ in range(8)) for _ in range(40_000)]
+    unique = " ".join(pick.choice(words) + str(i) for i in range(330_000))
+    passage = " ".join(f"planted{i}" for i in range(30))
+    text = unique[:2_000_000] + passage + unique[2_000_000:] + passage
+    assert len(text) > 4_500_000
+    got = repeated_passages(rows([(1, text), (2, "short " + passage)], "doc_id long, text string")).collect()
+    found = {r.row.doc_id: r for r in got}
+    for i, own in ((1, text), (2, "short " + passage)):
+        last = own.encode().rfind(passage.encode())
+        spans = [(s.first, s.last) for s in found[i].spans]
+        assert any(a <= last and b >= last + len(passage) for a, b in spans)
+        assert found[i].n_removed < len(passage) + 30
+
+
+def test_join_of_long_texts(rows):
+    pick = random.Random(13)
+    words = [f"w{pick.randrange(10**6)}" for _ in range(30_000)]
+    other = [*words[:29_000], *(f"x{i}" for i in range(1_000))]
+    far = [*words[:15_000], *(f"y{i}" for i in range(15_000))]
+    docs = [(i, " ".join(t)) for i, t in enumerate((words, other, far))]
+    got = {r.doc_id: r.component_id for r in jaccard_join(rows(docs, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
