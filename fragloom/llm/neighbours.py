@@ -10,6 +10,7 @@ How many vectors are enough is found on the sample, where the recall of the same
 against brute force.
 """
 
+import functools
 import heapq
 
 import numpy as np
@@ -170,19 +171,26 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     divisible by `every`, by Euclidean distance in double precision, ties to the smaller vec_id.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
-    null ids and vectors whose length is not the most frequent one. Equal vectors are searched once
-    and share one entry, of which the k + 1 smallest ids are kept: more can never be among the k
-    nearest. Rows that repeat an id count once. Other columns are ignored.
+    null ids. Vectors are searched among those of their own length, one length after the other.
+    Equal vectors are searched once and share one entry, of which the k + 1 smallest ids are kept:
+    more can never be among the k nearest. Rows that repeat an id count once, with the least of
+    their vectors. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    shelf = Shelf(spark, "forest")
     rows = usable(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id IS NOT NULL"))
-    length = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if length is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.filter(F.size("embedding") == length["d"])
-    few = top_rows_per_group(rows.dropDuplicates(["vec_id"]), ["embedding"], ["vec_id"], k + 1)
+    if not rows.groupBy("vec_id").count().filter("count > 1").isEmpty():
+        rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    lengths = sorted(r[0] for r in rows.select(F.size("embedding")).distinct().collect())
+    found = [_nearest_of_length(rows.filter(F.size("embedding") == d), every, k) for d in lengths]
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.union, found) if found else empty
+
+
+def _nearest_of_length(rows: DataFrame, every: int, k: int) -> DataFrame:
+    """`nearest` among vectors of one length with distinct ids."""
+    spark = rows.sparkSession
+    shelf = Shelf(spark, "forest")
+    few = top_rows_per_group(rows, ["embedding"], ["vec_id"], k + 1)
     classes = shelf.keep(
         few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
         .select(F.element_at("ids", 1).alias("id"), F.col("embedding").alias("vector"), "ids"), "classes")

@@ -229,6 +229,17 @@ def test_neighbours_against_brute_force(rows):
     assert hits >= 0.9 * 10 * len(got)
 
 
+def test_neighbours_among_vectors_of_every_length(rows):
+    data = [(i, [float(i), 1.0]) for i in range(0, 120)] + [(i, [float(i), 2.0, 3.0]) for i in range(200, 330)]
+    data += [(500, [7.0]), (300, [1000.0, 2.0, 3.0])]  # one alone; a second vector of an id, the larger one
+    found = {}
+    for r in nearest(rows(data, "vec_id long, embedding array<double>"), k=3).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: sorted(v) for q, v in found.items()} == {
+        0: [(1, 1), (2, 2), (3, 3)], 100: [(1, 99), (2, 101), (3, 98)], 200: [(1, 201), (2, 202), (3, 203)],
+        300: [(1, 299), (2, 301), (3, 298)]}
+
+
 def test_neighbours_of_copies_and_few_rows(rows):
     schema = "vec_id long, embedding array<float>"
     assert nearest(rows([], schema)).count() == 0
