@@ -15,7 +15,7 @@ from .shelf import Shelf
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of one source and size that one task ranks; larger strata are ranked in parts.
 STRATUM_ROWS = 20_000
-MOST_STEPS = 60
+MOST_STEPS = 120
 
 
 def word_count(text):
@@ -82,7 +82,9 @@ def balance(histogram: DataFrame, targets: DataFrame, shelf: Shelf, cap: int = 3
         far = F.greatest(F.abs(newton - F.col("tilt")), F.lit(0.0)) > 4 * (1 + F.abs("tilt"))
         halved = F.when(F.col("low2").isNotNull() & F.col("high2").isNotNull(), (F.col("low2") + F.col("high2")) / 2).otherwise(
             F.when(miss < 0, 2 * F.abs("tilt") + 1).otherwise(-2 * F.abs("tilt") - 1))
-        done = F.col("done") | (F.abs(miss) <= tolerance * F.col("target"))
+        # Met, or as near as the tilt can come: the bracket has no number inside.
+        shut = F.col("high2") - F.col("low2") <= 1e-15 * F.greatest(F.abs("low2"), F.abs("high2"))
+        done = F.col("done") | (F.abs(miss) <= tolerance * F.col("target")) | F.coalesce(shut, F.lit(False))
         moved = state.join(sums, "key", "left").withColumns({"low2": low, "high2": high}).withColumn("over", done).select(
             "key", "target", "mean",
             F.when(F.col("over"), F.col("tilt")).when(newton.isNotNull() & inside & ~far, newton).otherwise(halved).alias("tilt"),
@@ -91,6 +93,9 @@ def balance(histogram: DataFrame, targets: DataFrame, shelf: Shelf, cap: int = 3
         shelf.drop(f"tilt-{step - 1}")
         if state.filter("NOT done").isEmpty():
             break
+    else:
+        if not state.isEmpty():
+            raise RuntimeError(f"targets of the mix are not met after {MOST_STEPS} steps")
     return state.select("key", "mean", "tilt")
 
 
