@@ -168,11 +168,13 @@ sums{t} AS (
     sum(w * ry) AS t0, sum(w * ry * (x - x0)) AS t1, max(mean) FILTER (x = x0) AS mean
   FROM weights w JOIN levels{t} USING (sample_id, x) GROUP BY ALL),
 fits{t} AS MATERIALIZED (
-  SELECT sample_id, metric, x0 AS x, CASE WHEN s0 > 0 THEN t0 / s0
+  SELECT sample_id, metric, x0 AS x, CASE WHEN s0 > 1e-12 THEN t0 / s0
     - s1 / s0 * (t1 / s0 - s1 / s0 * t0 / s0) / greatest(s2 / s0 - s1 / s0 * s1 / s0, 1e-12) ELSE mean END AS fit FROM sums{t})""")
         if t < 3:
             passes.append(f"""
-gaps{t} AS MATERIALIZED (SELECT p.*, abs(y - fit) AS gap FROM points{t} p JOIN fits{t} USING (sample_id, metric, x)),
+raw{t} AS MATERIALIZED (SELECT p.*, abs(y - fit) AS raw FROM points{t} p JOIN fits{t} USING (sample_id, metric, x)),
+gaps{t} AS MATERIALIZED (SELECT * EXCLUDE (raw),
+  CASE WHEN raw > 1e-9 * max(raw) OVER (PARTITION BY sample_id, metric) THEN raw ELSE 0 END AS gap FROM raw{t}),
 scales{t} AS (SELECT sample_id, metric, 6 * median(gap) AS scale FROM gaps{t} GROUP BY ALL),
 ratios{t} AS (SELECT * EXCLUDE (r), CASE WHEN scale > 0 THEN gap / scale WHEN gap > 0 THEN 1.0 ELSE 0.0 END AS u
   FROM gaps{t} JOIN scales{t} USING (sample_id, metric)),

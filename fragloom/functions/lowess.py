@@ -18,6 +18,10 @@ import numpy as np
 STEP = 128
 #: Powers of a node: degree 9 of the weight and 2 of the regression.
 POWERS = 12
+#: Residuals up to this share of the largest one are rounding errors of an exact fit and count as 0.
+NOISE = 1e-9
+#: A neighbourhood with less weight than this has none: what is left are distances rounded at its edge.
+NO_WEIGHT = 1e-12
 #: (1 - u^3)^3 by powers of u.
 TRICUBE = {0: 1.0, 3: -3.0, 6: 3.0, 9: -1.0}
 _CHOOSE = np.array([[comb(p, i) for i in range(POWERS)] for p in range(POWERS)], float)
@@ -137,7 +141,7 @@ def fitted(fit_x, radius, x, r, ry, y, below: Node | None = None, above: Node |
                 for total, more in zip(sums, _far_sums(f, safe, centre, whole, side)):
                     total += more
         s0, s1, s2, t0, t1 = sums
-        ok = s0 > 0
+        ok = s0 > NO_WEIGHT
         s0 = np.where(ok, s0, 1.0)
         mean_x, mean_y = s1 / s0, t0 / s0
         spread = np.maximum(s2 / s0 - mean_x * mean_x, 1e-12)
@@ -214,6 +218,7 @@ def lowess(x, y, frac=0.30, iterations=3):
         fits = fitted(levels, radius, levels, sums(robust), sums(robust * y), mean)
         if step < iterations:
             residual = np.abs(y - fits[where])
+            residual[residual <= NOISE * residual.max(axis=0)] = 0.0
             robust = bisquare(residual, np.median(residual, axis=0))
     return levels, fits
 

@@ -155,7 +155,10 @@ def correct_gc_ranged(counts: DataFrame, params: Params = DEFAULTS, block: int =
         fits = needed.groupBy("sample_id", "_fit").applyInArrow(_fits_of_blocks(params.lowess_frac, columns), schema)
         points = stage(points.drop(*fit_columns).join(fits, key), "lowess-fits")
         if turn < PASSES:
-            gaps = {c: F.abs(F.col(c) - F.col(f)) for c, f in zip(METRICS, fit_columns)}
+            raw = {c: F.abs(F.col(c) - F.col(f)) for c, f in zip(METRICS, fit_columns)}
+            points = points.drop(*[f"_most_{c}" for c in METRICS])
+            points = points.join(points.groupBy("sample_id").agg(*[F.max(g).alias(f"_most_{c}") for c, g in raw.items()]), "sample_id")
+            gaps = {c: F.when(g > F.col(f"_most_{c}") * kernel.NOISE, g).otherwise(0.0) for c, g in raw.items()}
             middle = _medians(points.select("sample_id", *[g.alias(c) for c, g in gaps.items()]), "_gap")
             points = points.drop(*[f"_gap_{c}" for c in METRICS]).join(middle, "sample_id")
             weights = {c: _bisquare(gaps[c], F.col(f"_gap_{c}")) for c in METRICS}
