@@ -214,6 +214,24 @@ def metadata_key(spark, sf):
         "url", t.build_download_url(F.col("metadata_key")))
 
 
+@query("WITH " + DIRECT + "," + RECORDS.strip() + f""",
+found AS (SELECT p.*, p.line - 2 AS ckey, r.id IS NOT NULL AS metadata_found, CASE WHEN r.kind = 0 THEN r.key END AS metadata_key
+  FROM picked p LEFT JOIN recs r ON (p.line - 2) % 3 <> 0 AND r.id = p.line - 2 AND r.id % 10 <> 7)
+SELECT line, CASE WHEN ckey % 3 = 0 THEN '' ELSE 'm' || ckey END AS metadata_path, metadata_found, metadata_key,
+  CASE WHEN direct <> '' THEN direct WHEN metadata_key IS NOT NULL THEN metadata_key ELSE trim(finaledb_fragment) END AS finaledb_fragment,
+  CASE WHEN metadata_key IS NOT NULL THEN '{BASE}/data/' || metadata_key WHEN direct LIKE 'entries/%' THEN '{BASE}/data/' || direct
+    WHEN direct <> '' THEN fragment_url ELSE '' END AS finaledb_url FROM found""")
+def resolved_sources(spark, sf):
+    """Sources of a sheet whose lines name metadata records: a third names none, some records are missing."""
+    key = F.col("line") - 2
+    lines = fragment_sheet(spark, sf).withColumn(
+        "metadata_json", F.when(key % 3 == 0, "  ").otherwise(F.concat(F.lit(" m"), key.cast("string"))))
+    metadata = records(spark, sf).filter(F.col("id").cast("long") % 10 != 7).select(
+        F.concat(F.lit("m"), F.col("id").cast("string")).alias("metadata_json"), "json")
+    found = sm.resolve_sources(lines, metadata, "hg19")
+    return found.select("line", "metadata_path", "metadata_found", "metadata_key", "finaledb_fragment", "finaledb_url")
+
+
 URLS = RECORDS + f""",
 urls AS (SELECT *, CASE kind WHEN 0 THEN '{BASE}/data/' || key WHEN 1 THEN '{BASE}/data/' || key
   WHEN 2 THEN '{BASE}/data/b' || id || '.bed.gz' END AS url FROM recs)"""

@@ -85,9 +85,11 @@ def resolve_sources(sheet: DataFrame, metadata: DataFrame | None = None, assembl
     if metadata is not None:
         record = F.from_json("json", METADATA_RECORD)
         keys = metadata.select(
-            F.col("metadata_json").alias("_path"), F.lit(True).alias("_found"),
+            F.col("metadata_json").alias("_key"), F.lit(True).alias("_found"),
             find_fragment_key(record, assembly).alias("metadata_key"))
-        df = df.join(keys, "_path", "left")
+        # Lines without a path get keys that no record has, spread evenly.
+        none = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in sheet.columns]), F.lit(4096)).cast("string"))
+        df = lookup_join(df.withColumn("_key", F.when(F.col("_path") == "", none).otherwise(F.col("_path"))), keys, ["_key"], "left").drop("_key")
     else:
         df = df.withColumn("_found", F.lit(None).cast("boolean")).withColumn(
             "metadata_key", F.lit(None).cast("string"))
