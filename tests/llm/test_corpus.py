@@ -226,10 +226,39 @@ def test_query(spark, name):
     found = entry.queries()[name](spark, SF)
     table = "conversations" if "chat" in name else "embeddings" if name in ("op1_nearest_neighbours", "op4_embedding_near_dedup") else "documents"
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
-    want = {"op1_nearest_neighbours": 50, "op6_chat_formatting": None}.get(name, n)
+    want = {"op1_nearest_neighbours": 50, "op6_chat_formatting": None, "op12_best_fit_packing": None, "op13_ranked_search": 800}.get(name, n)
     assert want is None or found.count() == want
 
 
+def test_quality_equals_a_loop_over_blocks(rows):
+    """Sizes and scores from one-shot compressors, block by block, with the same dictionaries."""
+    import math
+
+    import zstandard
+    from fragloom.llm import quality
+    pick = random.Random(6)
+    good, bad = ([" ".join(pick.choices(words, k=60)) for _ in range(60)] for words in (
+        ["calm", "river", "under", "the", "old", "bridge"], ["click", "free", "win", "$$$", "now", "http"]))
+    texts = [t for pair in zip(good, bad) for t in pair]
+    dictionaries, slope, offset = quality.fit(pa.array(texts), np.array([1, 0] * 60))
+    asked = [None, "", "x", "calm river win now", good[0] * 9, "é" * 700, *texts[:20]]
+    got = next(quality._score(type("Shared", (), {"value": (dictionaries, slope, offset)}))(
+        [pa.record_batch([pa.array(asked)], names=["text"])]))["score"].to_pylist()
+    for text, score in zip(asked, got):
+        data, sizes = (text or "").encode(), []
+        for content, trained in dictionaries:
+            kind = zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT
+            held = zstandard.ZstdCompressionDict(content, dict_type=kind)
+            total = 0
+            for at in range(0, len(data), 512):
+                press = zstandard.ZstdCompressor(3, dict_data=held, write_content_size=False, write_dict_id=False)
+                total += len(press.compress(data[at: at + 512]))
+            sizes.append(total)
+        x = (sizes[0] - sizes[1]) / max(1, len(data))
+        assert score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, slope * x + offset)))), abs=1e-9)
+    assert got[asked.index(good[0])] > 0.5 > got[asked.index(bad[0])]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
@@ -246,3 +275,79 @@ def test_pipeline(spark):
 
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def plain_near_copies(docs, k=5, part=80, whole=100):
+    """Ids of documents that are the smallest of their component."""
+    sets = {}
+    for r in docs:
+        words = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]+", lambda m: m[0].lower(), r.text or ""))
+        sets[r.doc_id] = {tuple(words[i: i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            same = len(sets[a] & sets[b])
+            if same and whole * same >= part * (len(sets[a]) + len(sets[b]) - same):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {i for i in ids if find(i) == i}
+
+
+def plain_repeats(docs, length=100):
+    """The text left of each document."""
+    first, out = {}, {}
+    for i, text in sorted((r.doc_id, r.text or "") for r in docs):
+        data = text.encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - length + 1):
+            if first.setdefault(data[at: at + length], (i, at)) != (i, at):
+                gone[at: at + length] = b"\1" * length
+        out[i] = bytes(b for b, g in zip(data, gone) if not g).decode("utf-8", "ignore")
+    return out
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Every stage on what the stage before it kept, row by row."""
+    import public_tokenizers
+    from collections import Counter
+    from tokenizers import Tokenizer
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    start = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = spark.createDataFrame(stages[0](spark, start, SF).toArrow())
+    rows_ = kept.collect()
+    assert set(map(tuple, rows_)) <= set(map(tuple, start.collect()))
+    apart = spark.createDataFrame(stages[1](spark, kept, SF).toArrow())
+    want = plain_near_copies(rows_)
+    assert sorted(map(tuple, apart.collect())) == sorted(tuple(r) for r in rows_ if r.doc_id in want)
+    cleaned = spark.createDataFrame(stages[2](spark, apart, SF).toArrow())
+    want = plain_repeats(apart.collect())
+    before = {r.doc_id: r for r in apart.collect()}
+    got = {r.doc_id: r for r in cleaned.collect()}
+    assert {i: r.text for i, r in got.items()} == want and any(r.text != (before[i].text or "") for i, r in got.items())
+    assert all((r.lang, r.source, r.n_chars) == (before[i].lang, before[i].source, len(r.text)) for i, r in got.items())
+    mixed = spark.createDataFrame(stages[3](spark, cleaned, SF).toArrow())
+    copies = Counter(map(tuple, mixed.collect()))
+    assert set(copies) <= set(map(tuple, got.values())) and max(copies.values()) <= 3
+    words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in got.values()}
+    size, taken = Counter(), Counter()
+    for r in got.values():
+        size[r.source] += words[r.doc_id]
+    for row, n in copies.items():
+        taken[row[mixed.columns.index("source")]] += n * words[row[mixed.columns.index("doc_id")]]
+    for source, aim in targets(dict(size)).items():
+        assert abs(taken[source] - aim) <= max(words[i] for i, r in got.items() if r.source == source)
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in mixed.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        want[r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()] += 1
+    last = stages[4](spark, mixed, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert Counter(map(tuple, last.collect())) == want
