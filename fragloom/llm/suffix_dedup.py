@@ -218,8 +218,8 @@ def _runs(length, splitters):
             if covered:
                 place, most, least = unpack(packs[covered])
                 # These need no merge: numbers below 0, by their first text, spread them over all tasks.
-                yield (-1 - int(keys[covered[0]] % 1_000_003), b"", b"", b"", b"", b"", b"", keys[covered].tobytes(),
-                       np.concatenate([place - most, place - least]).tobytes())
+                own, first, last = joined_stretches(keys[covered], place - most, place - least)
+                yield (-1 - int(own[0] % 1_000_003), b"", b"", b"", b"", b"", b"", own.tobytes(), np.concatenate([first, last]).tobytes())
             for held in (right, left, doc, key, packed):
                 held.clear()
 
@@ -359,6 +359,23 @@ def covered_starts(right_shared, left, doc, packed, length):
 _COVER = "key long, first long, last long"
 
 
+def joined_stretches(key: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """The same starts of each text as stretches that neither meet nor overlap."""
+    order = np.lexsort((first, key))
+    key, first, last = (np.asarray(c, np.int64)[order] for c in (key, first, last))
+    if not len(key):
+        return key, first, last
+    fresh = np.append(True, key[1:] != key[:-1])
+    # The furthest end so far in the same text: later texts get larger numbers.
+    text = np.cumsum(fresh) << 32
+    reach = np.maximum.accumulate(text + last)
+    begin = fresh.copy()
+    begin[1:] |= text[1:] + first[1:] > reach[:-1] + 1
+    at = np.flatnonzero(begin)
+    ends = np.append(at[1:], len(key)) - 1
+    return key[at], first[at], reach[ends] - text[ends]
+
+
 def _combine(length):
     """Merge the pieces of each key range and give the covered stretches of starts."""
     def rows(key, first, last):
@@ -378,7 +395,7 @@ def _combine(length):
         flat = [s for strings in left for s in strings]
         doc, key, packed = (np.concatenate(c)[at] for c in (doc, key, packed))
         found, first, last = covered_starts(shared, [flat[i] for i in at.tolist()], doc, packed, length)
-        return rows(key[found], first, last)
+        return rows(*joined_stretches(key[found], first, last))
 
     def combine(batches):
         part, held = None, []

@@ -343,3 +343,15 @@ def test_join_of_long_texts(rows):
     docs = [(i, " ".join(t)) for i, t in enumerate((words, other, far))]
     got = {r.doc_id: r.component_id for r in jaccard_join(rows(docs, "doc_id long, text string")).collect()}
     assert got == {0: 0, 1: 0, 2: 2}
+
+
+def test_stretches_are_joined_without_a_change_of_starts():
+    from fragloom.llm.suffix_dedup import joined_stretches
+    pick = np.random.default_rng(3)
+    key, first = pick.integers(-5, 5, 400), pick.integers(0, 3000, 400)
+    last = first + pick.integers(0, 12, 400)
+    found = joined_stretches(key, first, last)
+    starts = lambda rows: {(k, s) for k, a, b in zip(*rows) for s in range(a, b + 1)}
+    assert starts([c.tolist() for c in found]) == starts([c.tolist() for c in (key, first, last)])
+    assert all(k != m or b + 1 < c for k, b, m, c in zip(found[0], found[2], found[0][1:], found[1][1:]))
+    assert [len(c) for c in joined_stretches(*[np.zeros(0, np.int64)] * 3)] == [0, 0, 0]
