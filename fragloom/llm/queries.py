@@ -63,7 +63,20 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query()
+@query("""WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, b, unnest(range(0, octet_length(b) - 99)) AS s FROM texts),
+strings AS (SELECT doc_id, s, row_number() OVER (PARTITION BY md5(b[s + 1:s + 100]) ORDER BY doc_id, s) AS nth FROM starts),
+later AS (SELECT doc_id, s, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100, -1) AS fresh FROM strings WHERE nth > 1),
+numbered AS (SELECT doc_id, s, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM later),
+runs AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS z FROM numbered GROUP BY ALL),
+gaps AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+cut AS (
+  SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN kept IS NULL THEN b ELSE unhex(kept) END) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)""")
 def op10_suffix_dedup(spark, sf_dir):
     """Repeated 100-byte passages of all documents and what is left without them."""
     from .suffix_dedup import repeated_passages
