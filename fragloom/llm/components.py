@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
+from .words import released
 
 
 def roots_of(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,6 +42,7 @@ def _finished(batches):
     held = [batch for batch in batches if batch.num_rows]
     if held:
         yield from _forest([pa.Table.from_batches(held).combine_chunks().to_batches()[0]])
+    released()
 
 
 def components(edges: DataFrame, shelf: Shelf, name: str = "components") -> DataFrame:

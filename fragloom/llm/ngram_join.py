@@ -242,6 +242,7 @@ def _pairs(threshold, with_root, best):
                     count = 0
             if held:
                 yield flush()
+        released()
     return pairs
 
 
@@ -262,6 +263,7 @@ def _verify(k, threshold):
                     overlap = int((b[at] == a).sum()) if len(a) else 0
                     same.append(overlap > 0 and whole * overlap >= part * (len(a) + len(b) - overlap))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(same, pa.bool_()))
+        released()
     return verify
 
 
@@ -377,6 +379,7 @@ def _shared(threshold):
             held, known = table.slice(len(token) - 1).combine_chunks(), bool(several[-1])
         if held is not None and known:
             yield from held.to_batches()
+        released()
     return shared
 
 

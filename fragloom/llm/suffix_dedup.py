@@ -258,6 +258,7 @@ def _runs(length, splitters):
                         yield rows()
         if right:
             yield rows()
+        released()
     return runs
 
 
@@ -412,6 +413,7 @@ def _combine(length):
                 held.append(row)
         if held:
             yield merge(held)
+        released()
     return combine
 
 

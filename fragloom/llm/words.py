@@ -4,6 +4,8 @@ A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as a-
 64 bits: two words are taken as equal when their hashes are.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -19,6 +21,7 @@ _BYTE = _random.integers(1, 2**64, 256, dtype=np.uint64, endpoint=False) | np.ui
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = _random.integers(1, 2**64, 16, dtype=np.uint64, endpoint=False) | np.uint64(1)
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Bytes that are neither letters nor digits nor part of a character beyond ASCII.
@@ -112,6 +115,7 @@ def squeeze(batches):
         press = zstandard.ZstdCompressor(3).compress
         texts = [press(data[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "text"])
+    released()
 
 
 def unsqueezed(data: bytes) -> bytes:
@@ -144,3 +148,5 @@ def small_batches(spark) -> None:
 def released():
     """Give memory of finished batches back: workers live on and share their machine."""
     pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)  # else the C library keeps what arrays of up to 32 MB have left
