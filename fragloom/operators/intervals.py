@@ -2,13 +2,15 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from fragloom.operators.joins import lookup_join
+from fragloom.operators.joins import BROADCAST_BYTES, lookup_join
 
 # Bucket widths. A left interval uses the smallest width that is not shorter than it;
 # the last width covers every coordinate.
 WIDTHS = (1 << 14, 1 << 20, 1 << 26, 1 << 32)
 # For left intervals and right intervals of a few hundred bases.
 NARROW_WIDTHS = (1 << 9, 1 << 14, 1 << 20, 1 << 26, 1 << 32)
+#: Real bytes of a right row and its copies of one width, for each byte of the estimate.
+UNSEEN = 64
 
 
 def _width(length, widths):
@@ -31,9 +33,11 @@ def overlap_join(left: DataFrame, right: DataFrame, how="inner", keys=("chrom",)
     repeated for each bucket in which an overlapping left row of that width can
     start. So left rows are never copied, pairs never repeat, interval lengths have
     no cap, and `left_anti` / `left_semi` work unchanged. The repeated right side is
-    broadcast only while it is estimated to be small. `widths` balances copies of the
-    right side against candidates per bucket.
+    broadcast only where the right table is estimated at a small part of what may be sent: the
+    estimate sees neither the copies nor how far its file is compressed. `widths` balances copies
+    of the right side against candidates per bucket.
     """
+    options.setdefault("max_bytes", BROADCAST_BYTES // (UNSEEN * len(widths)))
     ls, le = (F.col(f"`{c}`") for c in left_span)
     rs, re_ = (F.col(f"`{c}`") for c in right_span)
     left_b = (

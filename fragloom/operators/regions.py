@@ -96,47 +96,55 @@ def mito_features(reads: DataFrame, column: str = "chrom") -> DataFrame:
 def _looked_up(rows, reference, chunk, column, salts):
     """`rows` with the sequence chunk of the number `chunk` as `column`; NULL for a NULL number."""
     # Rows without a number get keys that no chunk has, spread evenly.
-    none = -1 - F.pmod(F.xxhash64("sample_id", "start", "end"), F.lit(4096).cast("long"))
+    none = -1 - F.pmod(F.xxhash64(*rows.columns), F.lit(4096).cast("long"))
     keyed = rows.withColumn("chunk", F.coalesce(chunk, none))
     named = reference.select("chrom", "chunk", F.col("seq").alias(column))
-    return lookup_join(keyed, named, ["chrom", "chunk"], "left", salts=salts).drop("chunk")
+    # Sequences are longer than any estimate of a text: they are never sent to every task.
+    return lookup_join(keyed, named, ["chrom", "chunk"], "left", max_bytes=0, salts=salts).drop("chunk")
 
 
-def _mers(fragments, reference, chunk_size, reach, salts):
-    """(left, right) 4-mers. A chunk also holds bases after its end: a right end that lies within
-    `reach` bases of the start is read from the chunk of the start, others look up their own."""
+def _pairs(fragments, reference, chunk_size, reach, salts):
+    """(sample_id, left, right, n): fragments by their 4-mers. A chunk also holds bases after its end:
+    a right end that lies within `reach` bases of the start is read from the chunk of the start.
+    Others are counted by place and look up their own: no row carries a sequence to a shuffle."""
     size = F.lit(chunk_size).cast("long")
     start, end = F.col("start"), F.col("end")
     tail = F.greatest(end - 4, start)
     first, last = m.long_div(start, chunk_size), m.long_div(tail, chunk_size)
     far = (last != first) & (end - start > reach)
-    looked = _looked_up(fragments.select("sample_id", "chrom", "start", "end"), reference, first, "_first", salts)
-    looked = _looked_up(looked, reference, F.when(far, last), "_last", salts)
 
     def mer(sequence, chunk, begin, stop):
         return F.coalesce(F.upper(F.substring(sequence, begin - chunk * size + 1, stop - begin)), F.lit(""))
 
-    right = F.when(far, mer(F.col("_last"), last, tail, end)).otherwise(mer(F.col("_first"), first, tail, end))
-    return looked.select("sample_id", mer(F.col("_first"), first, start, start + 4).alias("left"), right.alias("right"))
+    looked = _looked_up(fragments.select("sample_id", "chrom", "start", "end"), reference, first, "_seq", salts)
+    counted = looked.groupBy(
+        "sample_id", mer(F.col("_seq"), first, start, start + 4).alias("left"),
+        F.when(~far, mer(F.col("_seq"), first, tail, end)).alias("near"),
+        F.when(far, F.col("chrom")).alias("chrom"), F.when(far, tail).alias("tail"), F.when(far, end).alias("end"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    place, stop = F.col("tail"), F.col("end")
+    chunk = m.long_div(place, chunk_size)
+    ended = _looked_up(counted, reference, chunk, "_seq", salts)
+    right = F.coalesce("near", mer(F.col("_seq"), chunk, place, stop))
+    return ended.groupBy("sample_id", "left", right.alias("right")).agg(F.sum("n").alias("n"))
 
 
 def end_motif_counts(fragments: DataFrame, reference: DataFrame, chunk_size: int,
-                     tail_bases: int, bounded_length: int | None = None, salts: int = 16) -> DataFrame:
+                     tail_bases: int, bounded_length: int | None = None, salts: int | None = None) -> DataFrame:
     """Motif counts per sample in three families: left, right and combined 4-mers.
 
     `reference` chunks carry `tail_bases` bases beyond their end. When the ingest filter bounds
     fragment lengths (`bounded_length`) and the tail covers that bound, both ends of a fragment are
     read from the chunk of its start; longer fragments, and without a bound all that cross a
-    chunk, look up the chunk of their right end too, in the same pass. The genome is repeated
-    `salts` times where it is too large to broadcast, rather than shuffling hot chunks of fragments
-    to one task. Pairs are counted first (at most 65,536 usual rows per sample), the families
+    chunk, look up the chunk of their right end too, in the same pass. Fragments and chunks are
+    shuffled and merged; adaptive execution splits hot chunks, `salts` repeats the genome so many
+    times to split them without it. Pairs are counted first (at most 65,536 usual rows per sample), the families
     follow from the pair counts.
     """
     if tail_bases < 3:
         raise ValueError("reference chunks need at least 3 tail bases")
     covered = bounded_length is not None and tail_bases >= bounded_length
-    mers = _mers(fragments, reference, chunk_size, tail_bases if covered else 0, salts)
-    pairs = mers.groupBy("sample_id", "left", "right").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _pairs(fragments, reference, chunk_size, tail_bases if covered else 0, salts)
     has_left, has_right = F.length("left") == 4, F.length("right") == 4
     names = F.array_compact(F.array(
         F.when(has_left, F.concat(F.lit("left_4mer_"), "left")),

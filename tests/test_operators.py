@@ -523,3 +523,21 @@ def test_summary_document(spark, tmp_path):
     report_files({"top_scores": report_tables(metadata, scores)["top_scores"]}, summary, str(tmp_path / "report"))
     assert (tmp_path / "report" / "top_scores" / "_SUCCESS").exists()
     assert (tmp_path / "report" / "prediction_analysis_summary" / "_SUCCESS").exists()
+
+
+def test_lookups_that_grow_are_not_broadcast(spark):
+    """Rows that explode makes, and long texts, are not in the estimates of adaptive execution."""
+    from fragloom.operators.regions import end_motif_counts, wps
+    from fragloom.sources.readers import chunk_sequence
+    sizes = spark.range(4).groupBy((F.col("id") % 2).cast("string").alias("chrom")).agg(F.count(F.lit(1)).alias("n"))
+    genome = chunk_sequence(sizes.select("chrom", F.repeat(F.lit("ACGGT"), 4000).alias("sequence")), 64, 8)
+    fragments = spark.range(500).select(
+        F.lit("s").alias("sample_id"), (F.col("id") % 2).cast("string").alias("chrom"),
+        (F.col("id") * 31).alias("start"), (F.col("id") * 31 + 90).alias("end"))
+    regions = spark.range(20_000).select(
+        (F.col("id") % 2).cast("string").alias("chrom"), F.col("id").alias("start"), (F.col("id") + 9).alias("end"),
+        F.col("id").cast("string").alias("name"))
+    for df, n in ((end_motif_counts(fragments, genome, 64, 8), 1500), (wps(fragments, regions, spark.range(1).select(F.lit("s").alias("sample_id"))), None)):
+        rows = df.collect()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        assert n is None or sum(r["n"] for r in rows) == n
