@@ -4,10 +4,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.functions import chrom as chrom_fn, measures as m
 from fragloom.operators.intervals import overlap_join
-from fragloom.operators.joins import product_rows
+from fragloom.operators.joins import lookup_join, product_rows
 from fragloom.params import DEFAULTS, Params
 from fragloom.schemas import BIN_COUNT_COLUMNS
 
+#: Bases in a tile of places.
+TILE = 1 << 11
+
 
 def make_bins(sizes: DataFrame, bin_size: int, autosomes_only: bool = True) -> DataFrame:
     """Tiles of `bin_size` per contig; a last partial tile stays from half the size on."""
@@ -93,10 +96,66 @@ def _hits_on_intervals(fragments: DataFrame, bins: DataFrame) -> DataFrame:
         "sample_id", "chrom", "length", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
 
 
-def fragment_hits(fragments: DataFrame, bins: DataFrame, bin_size: int | None = None) -> DataFrame:
+def _counts_on_intervals(fragments: DataFrame, bins: DataFrame) -> DataFrame:
+    """(sample_id, chrom, start, end, n) of the intervals that fragments touch, without a row per hit.
+
+    The fragments that touch an interval are those that start before its end, less those that end
+    at or before its start. Starts and ends are counted by place and kept by tile, with the counts
+    of all tiles before; each bound of an interval meets the one tile it lies in, once per sample.
+    So work grows with fragments and with intervals x samples, not with hits. A tile holds at most
+    `TILE` places, whatever the number of fragments there.
+    """
+    tile = lambda c: m.long_div(F.col(c), TILE)
+    spans = bins.select("chrom", "start", "end").filter(F.col("start") < F.col("end")).distinct()
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    bounds = spans.withColumn("b", F.explode(F.array(
+        F.struct((F.col("end") - 1).alias("at"), F.lit(True).alias("upper")),
+        F.struct(F.col("start").alias("at"), F.lit(False).alias("upper")),
+    ))).select("chrom", "start", "end", "b.*").withColumn("tile", tile("at"))
+    places = (
+        fragments.filter(F.col("end") >= F.col("start"))
+        .select("sample_id", "chrom", F.explode(F.array(
+            F.struct(F.col("start").alias("at"), one.alias("starts"), zero.alias("ends")),
+            F.struct(F.col("end").alias("at"), zero.alias("starts"), one.alias("ends")))).alias("p"))
+        .groupBy("sample_id", "chrom", F.col("p.at").alias("at"))
+        .agg(F.sum("p.starts").alias("starts"), F.sum("p.ends").alias("ends"))
+    )
+    keys = ["sample_id", "chrom", "tile"]
+    held = places.withColumn("tile", tile("at")).groupBy(*keys).agg(
+        F.sum("starts").alias("all_starts"), F.sum("ends").alias("all_ends"),
+        F.collect_list(F.struct("at", "starts", "ends")).alias("places"))
+    # Tiles that a bound lies in count too where a sample has nothing there.
+    asked = lookup_join(
+        bounds.select("chrom", "tile").distinct(), fragments.select("sample_id", "chrom").distinct(), ["chrom"],
+        max_bytes=0)
+    tiles = held.unionByName(asked, allowMissingColumns=True).groupBy(*keys).agg(
+        F.sum(F.coalesce("all_starts", zero)).alias("all_starts"), F.sum(F.coalesce("all_ends", zero)).alias("all_ends"),
+        F.flatten(F.collect_list("places")).alias("places"))
+    # One row for each tile of a contig, a number set by the genome.
+    before = Window.partitionBy("sample_id", "chrom").orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = tiles.withColumns({
+        "starts_before": F.coalesce(F.sum("all_starts").over(before), zero),
+        "ends_before": F.coalesce(F.sum("all_ends").over(before), zero),
+    }).drop("all_starts", "all_ends")
+
+    def until(count):
+        upto = F.aggregate("places", zero, lambda total, p: total + F.when(p["at"] <= F.col("at"), p[count]).otherwise(zero))
+        return F.col(f"{count}_before") + upto
+
+    met = lookup_join(tiles, bounds, ["chrom", "tile"], max_bytes=0)
+    part = F.when(F.col("upper"), until("starts")).otherwise(-until("ends"))
+    return (
+        met.select("sample_id", "chrom", "start", "end", part.alias("n"))
+        .groupBy("sample_id", "chrom", "start", "end").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+    )
+
+
+def fragment_hits(fragments: DataFrame, bins: DataFrame, bin_size: int | None = None, lengths: bool = True) -> DataFrame:
+    """One row per fragment and bin it touches. Without `lengths` the hits of each sample on bins of
+    any shape come counted, as `n`: no row is made per hit."""
     if bin_size:
         return _hits_on_tiles(fragments, bin_size)
-    return _hits_on_intervals(fragments, bins)
+    return _hits_on_intervals(fragments, bins) if lengths else _counts_on_intervals(fragments, bins)
 
 
 def length_counts(hits: DataFrame, keys) -> DataFrame:

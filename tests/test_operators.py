@@ -541,3 +541,25 @@ def test_lookups_that_grow_are_not_broadcast(spark):
         rows = df.collect()
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
         assert n is None or sum(r["n"] for r in rows) == n
+
+
+@pytest.mark.parametrize("copies", [1, 30])
+def test_counts_on_intervals_equal_counted_hits(spark, copies):
+    from fragloom.operators.coverage import fragment_hits
+    r = random.Random(9)
+    rows = [(f"s{r.randint(1, 3)}", f"c{r.randint(1, 2)}", s, s + r.choice([0, 1, 167, 2048, 9000])) for s in
+            (r.choice([r.randint(-50, 30_000), 2048, 4096, 100]) for _ in range(300))] * copies
+    spans = [(f"c{r.randint(1, 3)}", s, s + r.choice([1, 60, 2048, 25_000])) for s in
+             (r.choice([r.randint(-50, 30_000), 2048, 267, 0]) for _ in range(60))]
+    fragments = spark.createDataFrame(rows, "sample_id string, chrom string, start bigint, `end` bigint").withColumn(
+        "length", F.col("end") - F.col("start"))
+    bins = spark.createDataFrame(spans * 2, "chrom string, start bigint, `end` bigint")
+    counted = fragment_hits(fragments, bins, lengths=False)
+    want = {}
+    for sample, chrom, s, e in rows:
+        for c, rs, re_ in set(spans):
+            if c == chrom and s < re_ and e > rs:
+                want[sample, c, rs, re_] = want.get((sample, c, rs, re_), 0) + 1
+    assert {tuple(q)[:4]: q["n"] for q in counted.collect()} == want
+    hits = fragment_hits(fragments, bins).groupBy("sample_id", "chrom", "start", "end").count()
+    assert {tuple(q)[:4]: q["count"] for q in hits.collect()} == want
