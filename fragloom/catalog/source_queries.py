@@ -155,8 +155,8 @@ SELECT id, frag_num, sample_name AS name, disease FROM recs""")
 def read_metadata_json(spark, sf):
     """Each record as a file of its own, read whole and parsed with the explicit record schema."""
     path = stage_path(spark, "records")
-    records(spark, sf).select(F.xxhash64("json").alias("file"), "json").write.partitionBy("file").text(path)
-    return rd.read_metadata_json(spark, f"{path}/file=*").select(
+    wr.write_metadata_json(records(spark, sf).select("json"), path)
+    return rd.read_metadata_json(spark, path).select(
         "record.id", "record.frag_num", "record.sample.name", "record.sample.disease")
 
 

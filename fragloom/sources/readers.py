@@ -7,6 +7,8 @@ from fragloom.operators.joins import lookup_join
 from fragloom.sources.split_text import BGZ_SPLIT, frames
 
 BGZ_TASKS = 50_000
+#: Groups of small files, as Spark plans them, that one task reads.
+FILE_GROUPS = 256
 
 
 def _paths(paths):
@@ -231,9 +233,15 @@ def read_reference(spark: SparkSession, path: str, chunk_size: int, tail_bases:
 
 
 def read_metadata_json(spark: SparkSession, paths) -> DataFrame:
-    """One JSON record per file as (path, json, record)."""
+    """One JSON record per file as (path, json, record).
+
+    Spark plans few small files for a task, by what it costs to open one; a task takes several of
+    these groups, so the number of tasks does not follow the number of files.
+    """
     text = spark.read.text(paths, wholetext=True)
-    return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"),
+    groups = text.rdd.getNumPartitions()
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-groups // FILE_GROUPS))
+    return text.coalesce(min(max(groups, 1), tasks)).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"),
                        F.from_json("value", S.METADATA_RECORD).alias("record"))
 
 

@@ -331,3 +331,14 @@ def test_tiled_table_counts_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("tiled_again", "tile_weights"):
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_each_record_is_a_file_in_few_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "records")
+    texts = spark.range(900).select(F.concat(F.lit('{"id":'), (F.col("id") % 890).cast("string"), F.lit("}")).alias("json"))
+    wr.write_metadata_json(texts, path)
+    got = rd.read_metadata_json(spark, path)
+    assert got.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    rows = got.select("path", "record.id").collect()
+    assert len({r["path"] for r in rows}) == 900 and sorted(r["id"] for r in rows) == sorted(i % 890 for i in range(900))
