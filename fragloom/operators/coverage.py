@@ -127,7 +127,7 @@ def _counts_on_intervals(fragments: DataFrame, bins: DataFrame) -> DataFrame:
     # Tiles that a bound lies in count too where a sample has nothing there.
     asked = lookup_join(
         bounds.select("chrom", "tile").distinct(), fragments.select("sample_id", "chrom").distinct(), ["chrom"],
-        max_bytes=0)
+        max_bytes=0, grows=True)
     tiles = held.unionByName(asked, allowMissingColumns=True).groupBy(*keys).agg(
         F.sum(F.coalesce("all_starts", zero)).alias("all_starts"), F.sum(F.coalesce("all_ends", zero)).alias("all_ends"),
         F.flatten(F.collect_list("places")).alias("places"))
@@ -142,7 +142,7 @@ def _counts_on_intervals(fragments: DataFrame, bins: DataFrame) -> DataFrame:
         upto = F.aggregate("places", zero, lambda total, p: total + F.when(p["at"] <= F.col("at"), p[count]).otherwise(zero))
         return F.col(f"{count}_before") + upto
 
-    met = lookup_join(tiles, bounds, ["chrom", "tile"], max_bytes=0)
+    met = lookup_join(tiles, bounds, ["chrom", "tile"], max_bytes=0, grows=True)
     part = F.when(F.col("upper"), until("starts")).otherwise(-until("ends"))
     return (
         met.select("sample_id", "chrom", "start", "end", part.alias("n"))

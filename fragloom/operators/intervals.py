@@ -53,5 +53,5 @@ def overlap_join(left: DataFrame, right: DataFrame, how="inner", keys=("chrom",)
     )
 
     residual = (ls < re_) & (le > rs)
-    joined = lookup_join(left_b, right_b, [*keys, "_width", "_bucket"], how, residual, **options)
+    joined = lookup_join(left_b, right_b, [*keys, "_width", "_bucket"], how, residual, grows=True, **options)
     return joined.drop("_width", "_bucket")

@@ -100,7 +100,7 @@ def _looked_up(rows, reference, chunk, column, salts):
     keyed = rows.withColumn("chunk", F.coalesce(chunk, none))
     named = reference.select("chrom", "chunk", F.col("seq").alias(column))
     # Sequences are longer than any estimate of a text: they are never sent to every task.
-    return lookup_join(keyed, named, ["chrom", "chunk"], "left", max_bytes=0, salts=salts).drop("chunk")
+    return lookup_join(keyed, named, ["chrom", "chunk"], "left", max_bytes=0, salts=salts, grows=True).drop("chunk")
 
 
 def _pairs(fragments, reference, chunk_size, reach, salts):
