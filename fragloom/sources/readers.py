@@ -162,20 +162,18 @@ def chunk_sequence(contigs: DataFrame, chunk_size: int, tail_bases: int = 3) ->
     chunk end need one chunk only.
     """
     size = F.lit(chunk_size).cast("long")
-    total = F.length("sequence").cast("long")
     start = F.col("chunk") * size
+    # One walk along the contig: cutting each chunk by its position would walk from the contig's
+    # start again and copy the contig into every row.
+    pattern = f"(?s)(?=(.{{1,{chunk_size + tail_bases}}})).{{1,{chunk_size}}}"
+    cut = F.posexplode(F.regexp_extract_all("sequence", F.lit(pattern), F.lit(1)))
     return (
-        contigs.filter(total > 0)
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), _last_chunk(total, size))))
-        .select("chrom", "chunk", start.alias("start"), F.least(start + size, total).alias("end"),
-                F.substring("sequence", (start + 1).cast("int"), F.lit(chunk_size + tail_bases)).alias("seq"))
+        contigs.select("chrom", cut.alias("chunk", "seq")).withColumn("chunk", F.col("chunk").cast("long"))
+        .select("chrom", "chunk", start.alias("start"),
+                (start + F.least(F.length("seq"), F.lit(chunk_size))).alias("end"), "seq")
     )
 
 
-def _last_chunk(total, size):
-    return F.floor((total - 1) / size).cast("long")
-
-
 def read_reference(spark: SparkSession, path: str, chunk_size: int, tail_bases: int = 3) -> DataFrame:
     """FASTA as sequence chunks (chrom, chunk, start, end, seq), in linear time.
 

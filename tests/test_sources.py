@@ -342,3 +342,15 @@ def test_each_record_is_a_file_in_few_tasks(spark, tmp_path):
     assert got.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     rows = got.select("path", "record.id").collect()
     assert len({r["path"] for r in rows}) == 900 and sorted(r["id"] for r in rows) == sorted(i % 890 for i in range(900))
+
+
+def test_chunks_of_a_contig_do_not_carry_it(spark):
+    texts = ["", None, "A", "AC\nGT" * 7, "é𝄞\r\n" * 11, "G" * 64]
+    contigs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "chrom string, sequence string")
+    for size, tail in ((8, 3), (5, 0), (64, 9)):
+        cut = rd.chunk_sequence(contigs, size, tail)
+        want = [(str(i), at // size, at, min(at + size, len(t)), t[at:at + size + tail])
+                for i, t in enumerate(texts) if t for at in range(0, len(t), size)]
+        assert sorted(map(tuple, cut.collect())) == want
+        generate = cut._jdf.queryExecution().optimizedPlan().toString().split("Generate ")[1].split("\n")[0]
+        assert "posexplode" in generate and "[1]" in generate  # the sequence ends there
