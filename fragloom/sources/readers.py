@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fragloom import schemas as S
-from fragloom.operators.joins import lookup_join
 from fragloom.sources.split_text import BGZ_SPLIT, frames
 
 BGZ_TASKS = 50_000
@@ -102,8 +101,14 @@ def read_fragments(spark: SparkSession, paths, sample_map: DataFrame) -> DataFra
 
 
 def name_samples(rows: DataFrame, sample_map: DataFrame) -> DataFrame:
-    """Sample ids of rows by `file_name`; the sample sheet is a small lookup."""
-    return lookup_join(rows, sample_map.select("file_name", "sample_id"), ["file_name"]).select(
+    """Sample ids of rows by `file_name`.
+
+    The map has a row per file, names that the driver lists to plan the read anyway, so it goes to
+    every task whatever its estimate says (which counts the contents of listed files): rows of
+    large files are never shuffled by the name of their file.
+    """
+    names = F.broadcast(sample_map.select("file_name", "sample_id"))
+    return rows.join(names, "file_name").select(
         "sample_id", *S.RAW_FRAGMENT.fieldNames())
 
 

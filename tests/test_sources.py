@@ -354,3 +354,19 @@ def test_chunks_of_a_contig_do_not_carry_it(spark):
         assert sorted(map(tuple, cut.collect())) == want
         generate = cut._jdf.queryExecution().optimizedPlan().toString().split("Generate ")[1].split("\n")[0]
         assert "posexplode" in generate and "[1]" in generate  # the sequence ends there
+
+
+def test_names_of_files_shuffle_no_rows(spark, tmp_path):
+    data = lines(200)
+    with gzip.open(tmp_path / "b.tsv.gz", "wb") as f:
+        f.write(data)
+    from pyspark.sql import functions as F
+    (tmp_path / "big.bin").touch()
+    with open(tmp_path / "big.bin", "r+b") as f:
+        f.truncate(1 << 33)  # what a listing of large files says
+    listed = spark.read.format("binaryFile").load(str(tmp_path)).select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.lit("s").alias("sample_id"))
+    got = rd.read_fragments(spark, [str(tmp_path / "b.tsv.gz")], listed)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got.count() == 200
