@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
-from .words import released
+from .words import giving_back
 
 
 def roots_of(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -24,6 +24,7 @@ def roots_of(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarra
             return names, names[root]
 
 
+@giving_back
 def _forest(batches):
     """Replace the edges of each batch by a star for each of its components."""
     for batch in batches:
@@ -37,12 +38,12 @@ def _forest(batches):
 EDGES_IN_TASK = 2_000_000
 
 
+@giving_back
 def _finished(batches):
     """The star forest of all edges of the task."""
     held = [batch for batch in batches if batch.num_rows]
     if held:
         yield from _forest([pa.Table.from_batches(held).combine_chunks().to_batches()[0]])
-    released()
 
 
 def components(edges: DataFrame, shelf: Shelf, name: str = "components") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import Cache, Vocabulary
 from .lexicon import Lexicon
 from .pretokens import pre_tokens
-from .words import pieces, released, small_batches, utf8
+from .words import giving_back, pieces, small_batches, utf8
 
 #: Words in the lexicon at most; it holds speed, not results.
 LEXICON_WORDS = 1 << 16
@@ -40,7 +40,7 @@ def _counter(specials):
                 often = {w: c for w, c in found.items() if c >= FREQUENT_IN_PIECE}
                 yield pa.record_batch(
                     [pa.array(list(often), pa.binary()), pa.array(list(often.values()), pa.int64())], names=["word", "n"])
-    return count
+    return giving_back(count)
 
 
 def frequent_words(docs: DataFrame, specials: dict[bytes, int], most: int = LEXICON_WORDS) -> list[bytes]:
@@ -91,8 +91,7 @@ def _encode(shared):
                 ids, of = encoder.encode(data[bounds[first]: bounds[last]], bounds[first: last + 1] - bounds[first])
                 lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.record_batch([batch.column(0).slice(first, last - first), lists], names=["doc_id", "ids"])
-        released()
-    return encode
+    return giving_back(encode)
 
 
 def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -134,7 +133,7 @@ def _decode(shared, column):
                 texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:])]
                 rows = batch.slice(first, last - first)
                 yield pa.record_batch([*(rows.column(i) for i in rest), pa.array(texts, pa.string())], names=names)
-    return decode
+    return giving_back(decode)
 
 
 def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .shelf import Shelf
-from .words import gathered, mix, released, shingle_sets, squeeze, unsqueezed
+from .words import gathered, giving_back, mix, released, shingle_sets, squeeze, unsqueezed
 
 #: Documents are counted in parts of about so many shingles; shingles this often in a part take
 #: part in the count of frequent ones.
@@ -79,8 +79,7 @@ def _frequent(k):
                     size = 0
         if held:
             yield flush()
-        released()
-    return count
+    return giving_back(count)
 
 
 def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +118,7 @@ def _sketch(k, threshold, frequent):
                     pa.array(np.cumsum([0, *sizes]), pa.int32()),
                     pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)])))],
                 names=["doc_id", "n", "mark", "other", "bitmap", "prefix"])
-    return sketch
+    return giving_back(sketch)
 
 
 class _Bitmaps:
@@ -242,8 +241,7 @@ def _pairs(threshold, with_root, best):
                     count = 0
             if held:
                 yield flush()
-        released()
-    return pairs
+    return giving_back(pairs)
 
 
 def _verify(k, threshold):
@@ -263,8 +261,7 @@ def _verify(k, threshold):
                     overlap = int((b[at] == a).sum()) if len(a) else 0
                     same.append(overlap > 0 and whole * overlap >= part * (len(a) + len(b) - overlap))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(same, pa.bool_()))
-        released()
-    return verify
+    return giving_back(verify)
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -379,8 +376,7 @@ def _shared(threshold):
             held, known = table.slice(len(token) - 1).combine_chunks(), bool(several[-1])
         if held is not None and known:
             yield from held.to_batches()
-        released()
-    return shared
+    return giving_back(shared)
 
 
 def _linked(docs, pairs, k, threshold, repeats):
@@ -428,5 +424,4 @@ def _named_sets(k):
                 hashlib.sha256(s.tobytes() if len(s) else b"text " + (text or "").encode()).digest()
                 for s, text in zip(shingle_sets(batch.column(1), k), batch.column(1).to_pylist())]
             yield pa.record_batch([batch.column(0), pa.array(names, pa.binary())], names=["_all", "_name"])
-        released()
-    return named
+    return giving_back(named)

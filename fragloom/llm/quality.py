@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .labelled import fold, labelled_sample, logistic
-from .words import released, small_batches, utf8
+from .words import giving_back, released, small_batches, utf8
 
 #: Labelled rows that the dictionaries and the calibration are fitted on, at most.
 SAMPLE_ROWS = 8_000
@@ -79,8 +79,7 @@ def _score(shared):
             x = differences(compressors, batch.column(batch.num_columns - 1))
             p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
             yield pa.record_batch([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
-        released()
-    return score
+    return giving_back(score)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .shelf import Shelf
-from .words import gathered, mix, released, squeeze, unsqueezed, utf8
+from .words import gathered, giving_back, mix, released, squeeze, unsqueezed, utf8
 
 GRAM = 24
 #: Anchors of one range and task, about.
@@ -123,9 +123,10 @@ def _find(length):
                     count = 0
             if held:
                 yield flush()
-    return find
+    return giving_back(find)
 
 
+@giving_back
 def _repeated(batches):
     """Of rows sorted by k-gram, those known to be repeated and those next to one of their k-gram."""
     def chosen(table, several):
@@ -258,8 +259,7 @@ def _runs(length, splitters):
                         yield rows()
         if right:
             yield rows()
-        released()
-    return runs
+    return giving_back(runs)
 
 
 def merged(pieces_: list[tuple[np.ndarray, list[bytes]]]) -> Iterator[tuple[int, int, int]]:
@@ -413,10 +413,10 @@ def _combine(length):
                 held.append(row)
         if held:
             yield merge(held)
-        released()
-    return combine
+    return giving_back(combine)
 
 
+@giving_back
 def _grams(batches):
     """The first bytes of the suffixes at sampled anchors."""
     for batch in batches:
@@ -426,7 +426,6 @@ def _grams(batches):
             places = [unpack(p)[0] for p in packed]
             found += [g for g in (data[at: at + GRAM] for at in places) if len(g) == GRAM]
         yield pa.record_batch([pa.array(found, pa.binary())], names=["gram"])
-    released()
 
 
 def _splitters(docs: DataFrame, repeated: DataFrame, parts: int, total: int) -> list[bytes]:
@@ -444,11 +443,11 @@ def _splitters(docs: DataFrame, repeated: DataFrame, parts: int, total: int) ->
     return sorted({grams[len(grams) * i // parts] for i in range(1, parts)}) if grams else []
 
 
+@giving_back
 def _remove(batches):
     for batch in batches:
         for first in range(0, batch.num_rows, REMOVED_ROWS):
             yield _removed(batch.slice(first, REMOVED_ROWS))
-    released()
 
 
 def _removed(batch):

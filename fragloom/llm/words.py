@@ -5,6 +5,7 @@ A word is a maximal run of bytes other than space and 0x09-0x0D; A-Z count as a-
 """
 
 import ctypes
+import functools
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,17 @@ def shingle_sets(texts: pa.Array, k: int):
             yield np.unique(shingle_hashes(words[of[i]: of[i + 1]], k))
 
 
+def giving_back(work):
+    """The function over the batches of a task, giving memory back when it has ended: only then are its
+    own variables, the last batch and whatever it built for the task among them, free."""
+    @functools.wraps(work)
+    def ending(batches):
+        yield from work(batches)
+        released()
+    return ending
+
+
+@giving_back
 def squeeze(batches):
     """Replace the text, the last column, by its compressed bytes, for shuffles of whole texts."""
     for batch in batches:
@@ -115,7 +127,6 @@ def squeeze(batches):
         press = zstandard.ZstdCompressor(3).compress
         texts = [press(data[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "text"])
-    released()
 
 
 def unsqueezed(data: bytes) -> bytes:

@@ -2,12 +2,15 @@
 
 import hashlib
 import random
+import weakref
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from fragloom.llm import encoding, words
 from fragloom.llm.bpe import Cache, Vocabulary
 from fragloom.llm.encoding import decode, encode, encoded_digests
 from fragloom.llm.lexicon import Lexicon
@@ -111,3 +114,23 @@ def test_merges_of_many_words_are_those_of_single_words(library):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_memory_goes_back_after_the_encoder_is_gone(monkeypatch):
+    class Held:
+        def encode(self, data, bounds):
+            return np.zeros(0, np.int32), bounds * 0
+
+    made, alive = [], []
+
+    def build(**_):
+        made.append(weakref.ref(held := Held()))
+        return held
+
+    monkeypatch.setattr(encoding, "_Encoder", build)
+    for module in (encoding, words):
+        monkeypatch.setattr(module, "released", lambda: alive.append(made[0]() is not None), raising=False)
+    batch = pa.record_batch([pa.array([1]), pa.array(["a b"])], names=["doc_id", "text"])
+    shared = type("Shared", (), {"value": {}})
+    assert sum(b.num_rows for b in encoding._encode(shared)(iter([batch]))) == 1
+    assert alive == [False]
