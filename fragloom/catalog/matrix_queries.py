@@ -124,11 +124,11 @@ def broad(spark, sf):
     ).agg(F.max(F.col("l_quantity").cast("long")).alias("value"))
 
 
-def broad_lines(spark, sf):
+def broad_pieces(spark, sf):
     features = stage(broad(spark, sf), "broad")
     metadata = features.select("sample_id").distinct().withColumns(
         {"unlisted": F.lit(True), "sheet_line": F.lit(None).cast("long")})
-    return mx.wide_lines(features, metadata)
+    return mx.wide_pieces(features, metadata)
 
 
 @query("WITH " + BROAD_SQL + """,
@@ -142,14 +142,14 @@ lines AS (
 SELECT row, md5(line) AS digest, CAST(length(line) AS BIGINT) AS n_chars FROM lines""")
 def wide_matrix_text(spark, sf):
     """The wide matrix as text, with a column for every order line."""
-    return broad_lines(spark, sf).select("row", F.md5("line").alias("digest"), F.length("line").cast("long").alias("n_chars"))
+    return mx.line_digests(broad_pieces(spark, sf))
 
 
 @query("WITH " + BROAD_SQL + " SELECT sample_id, feature_name, CAST(value AS VARCHAR) AS value FROM broad")
 def read_wide_text(spark, sf):
     """The same matrix written as text and read back into long features; missing cells are empty."""
     path = stage_path(spark, "wide")
-    write_wide_lines(broad_lines(spark, sf), path)
+    write_wide_lines(broad_pieces(spark, sf), path)
     return read_wide_lines(spark, path)[1].filter("value <> ''")
 
 
