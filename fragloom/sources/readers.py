@@ -1,10 +1,19 @@
 """Readers. Every text table has an explicit schema; nothing is inferred."""
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fragloom import schemas as S
+from fragloom.session import stage
 from fragloom.sources.split_text import BGZ_SPLIT, frames
 
+# The function that places cells travels inside the task, executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BGZ_TASKS = 50_000
 #: Groups of small files, as Spark plans them, that one task reads.
 FILE_GROUPS = 256
@@ -282,18 +291,54 @@ def split_matrix(wide: DataFrame, meta_columns, limit: int = 5000):
 def read_wide_lines(spark: SparkSession, path):
     """Wide matrix file of any width as (metadata, long features), values as text.
 
-    Lines are split once and cut into cells by position; the header, one row, gives the names.
+    Files are cut at tabs, not at lines, so a row is one cell wherever a split begins. A cell with a
+    line end inside closes one line and opens the next. Cells are numbered by the counts of the
+    splits before; the number at which each line opens, of which there is one per sample, gives
+    every cell its line and place. Header lines begin with sample_id and give the names.
     """
     from fragloom.constants import META_COLUMNS
 
-    lines = spark.read.text(path).filter(F.col("value") != "").select(F.split("value", "\t", -1).alias("cells"))
-    header = F.col("cells")[0] == "sample_id"
-    names = lines.filter(header).select(F.posexplode("cells").alias("at", "feature_name")).distinct()
-    rows = lines.filter(~header).select(F.col("cells")[0].alias("sample_id"), F.posexplode("cells").alias("at", "value"))
-    cells = rows.join(names, "at")
+    block = ["path", "block"]
+    cells = spark.read.text(path, lineSep="\t").select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value")
+    sizes = stage(cells.groupBy(*block).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "splits")
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    offsets = stage(sizes.select(*block, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("offset")), "offsets")
+    parts = F.split("value", "\r\n|\n|\r")
+    numbered = cells.join(F.broadcast(offsets), block).select(
+        "path", "block", (F.col("id") + F.col("offset")).alias("g"), parts.alias("parts"))
+    # A line opens at 2g with the first cell of a file, at 2g + 1 behind a line end inside cell g.
+    heads = sizes.groupBy("path").agg(F.min_by("first", "block").alias("id")).join(offsets, "path").join(
+        sizes.select(*block, F.col("first").alias("own")), block).filter("id = own").select((F.col("own") + F.col("offset")).alias("g"))
+    opened = numbered.select("g", F.posexplode("parts").alias("k", "name")).join(
+        F.broadcast(heads.withColumnRenamed("g", "head")), F.col("g") == F.col("head"), "left").filter("k > 0 OR head IS NOT NULL")
+    lines = stage(opened.select((2 * F.col("g") + F.when(F.col("k") > 0, 1).otherwise(0)).alias("at"), "k", "name"), "lines")
+    starts = spark.sparkContext.broadcast(lines.orderBy("at", "k").select("at", "name").toArrow())
+    long = numbered.select("g", F.col("parts")[0].alias("value")).mapInArrow(
+        _cells_of_lines(starts), "sample_id string, at long, value string")
+    header = F.col("sample_id") == "sample_id"
+    names = long.filter(header).select("at", F.col("value").alias("feature_name")).distinct()
+    rows = long.filter(~header).join(names.hint("merge"), "at")
     is_meta = F.col("feature_name").isin(list(META_COLUMNS))
-    meta = cells.filter(is_meta).groupBy("sample_id").pivot("feature_name", list(META_COLUMNS)).agg(F.first("value"))
-    return meta, cells.filter(~is_meta).select("sample_id", "feature_name", "value")
+    ids = lines.filter("name NOT IN ('', 'sample_id')").select(F.col("name").alias("sample_id"), F.lit("sample_id"), "name")
+    meta = rows.filter(is_meta).select("sample_id", "feature_name", "value").union(ids).groupBy("sample_id").pivot(
+        "feature_name", list(META_COLUMNS)).agg(F.first("value"))
+    return meta, rows.filter(~is_meta).select("sample_id", "feature_name", "value")
+
+
+def _cells_of_lines(starts):
+    """Line, as its first cell, and place in the line of numbered cells; first cells themselves go."""
+    def placed(batches):
+        opens, names = starts.value["at"].to_numpy(), starts.value["name"].combine_chunks()
+        for batch in batches:
+            g = batch.column(0).to_numpy()
+            line = np.searchsorted(opens, 2 * g, "right") - 1
+            at = g - opens[line] // 2
+            rows = pa.record_batch(
+                [names.take(pa.array(line)), pa.array(at), batch.column(1)], names=["sample_id", "at", "value"])
+            yield rows.filter(pa.array(at > 0))
+    return placed
 
 
 def read_predictions(spark: SparkSession, path: str, score: str = "cancer_probability") -> DataFrame:

@@ -1,11 +1,14 @@
 """Readers and writers on small files."""
 
 import gzip
+import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
+from fragloom.operators import matrix
 from fragloom.sources import bgzf, readers as rd, writers as wr
 
 
@@ -370,3 +373,55 @@ def test_names_of_files_shuffle_no_rows(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert got.count() == 200
+
+
+WIDE = {("b", "f1"): 1.0, ("b", "f5"): None, ("a", "f2"): 2.0, ("a", "f4"): 4.0, ("c", "f3"): 3.0, ("c", "f5"): 5.0}
+WIDE_LINES = ["sample_id\tlabel\tf1\tf2\tf3\tf4\tf5", "b\tx\t1.0\t\t\t\t", "a\t\t\t2.0\t\t4.0\t", "c\t\t\t\t3.0\t\t5.0"]
+
+
+@pytest.mark.parametrize("cells", [1, 2, 4, 8])
+def test_no_row_of_a_wide_matrix_grows_with_its_width(spark, tmp_path, monkeypatch, cells):
+    monkeypatch.setattr(matrix, "PIECE_FEATURES", cells)
+    features = spark.createDataFrame([(*k, x) for k, x in WIDE.items()], "sample_id string, feature_name string, value double")
+    metadata = spark.createDataFrame(
+        [("a", None, False, 2), ("b", "x", False, 1), ("c", None, True, None), ("without", "y", False, 0)],
+        "sample_id string, label string, unlisted boolean, sheet_line long")
+    pieces = matrix.wide_pieces(features, metadata)
+    rows = sorted(map(tuple, pieces.collect()))
+    assert max(text.count("\t") for _, piece, text in rows if piece >= 0) <= cells
+    assert ["".join(t for r, _, t in rows if r == row) for row in range(4)] == WIDE_LINES
+    assert sorted(map(tuple, matrix.line_digests(pieces).collect())) == [
+        (i, hashlib.md5(line.encode()).hexdigest(), len(line)) for i, line in enumerate(WIDE_LINES)]
+    wr.write_wide_lines(pieces, f"file://{tmp_path}/wide")
+    written = [line for f in (tmp_path / "wide").glob("part-*") for line in f.read_text().splitlines()]
+    assert sorted(written) == sorted(WIDE_LINES)
+
+
+@pytest.mark.parametrize("split_bytes", ["3", "7", "1m"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wide_lines_are_read_by_cell(spark, tmp_path, split_bytes, end):
+    for name, lines in (("p0", WIDE_LINES[2:]), ("p1", [*WIDE_LINES[:2], ""])):
+        (tmp_path / name).write_bytes("".join(line + end for line in lines).encode())
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        meta, long = rd.read_wide_lines(spark, str(tmp_path))
+        assert len(meta.select("label").collect()) == 3
+        names, *rows = [line.split("\t") for line in WIDE_LINES]
+        want = [(row[0], name, value) for row in rows for name, value in zip(names[2:], row[2:])]
+        assert sorted(map(tuple, long.collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", was[1])
+
+
+def test_cells_find_their_line_by_number():
+    """Two files: the second one opens a line with its first cell (8), others open behind a line end."""
+    opens = pa.table({"at": [0, 7, 15, 16, 21], "name": ["sample_id", "b", "", "a", "c"]})
+    cells = pa.record_batch([pa.array([0, 1, 3, 4, 7, 8, 9, 10, 11, 12]), pa.array(list("01347") + ["a", "9", "10", "11", "12"])],
+                            names=["g", "value"])
+    placed, = rd._cells_of_lines(type("Shared", (), {"value": opens}))(iter([cells]))
+    assert list(zip(*(c.to_pylist() for c in placed.columns))) == [
+        ("sample_id", 1, "1"), ("sample_id", 3, "3"), ("b", 1, "4"), ("b", 4, "7"),
+        ("a", 1, "9"), ("a", 2, "10"), ("c", 1, "11"), ("c", 2, "12")]
