@@ -563,3 +563,109 @@ def test_counts_on_intervals_equal_counted_hits(spark, copies):
     assert {tuple(q)[:4]: q["n"] for q in counted.collect()} == want
     hits = fragment_hits(fragments, bins).groupBy("sample_id", "chrom", "start", "end").count()
     assert {tuple(q)[:4]: q["count"] for q in hits.collect()} == want
+
+
+def forest_rows(spark, n=600, features=9, seed=3):
+    rng = np.random.default_rng(seed)
+    y = (np.arange(n) % 3 == 0).astype(int)
+    x = rng.normal(size=(n, features)) + y[:, None] * np.linspace(0, 1.2, features)
+    x[:, 4] = rng.integers(0, 3, n)
+    return x, y, rows_of(spark, x, y)
+
+
+def rows_of(spark, x, y):
+    from pyspark.ml.linalg import Vectors
+    return spark.createDataFrame(
+        [(f"p{i:04d}", int(c), Vectors.dense(row)) for i, (row, c) in enumerate(zip(x.tolist(), y))], ["sample_id", "y", "features"])
+
+
+def plain_tree(x, cuts, times, y, weight, tree, seed, depth, heap=1):
+    """Probability of class 1 at the leaf of each row, one node at a time."""
+    from fragloom.operators import forest as fo
+    binned = np.stack([np.searchsorted(c, x[:, i]) for i, c in enumerate(cuts)], axis=1)
+
+    def leaf(rows, heap):
+        w = np.array([(times[rows] * (y[rows] == c)).sum() * weight[c] for c in (0, 1)])
+        gini = lambda v: 1 - ((v / v.sum()) ** 2).sum()
+        best, found = fo.LEAST_GAIN, None
+        if w.all() and heap.bit_length() <= depth:
+            for f in fo.chosen(np.array([heap]), tree, seed, x.shape[1])[0]:
+                for cut in range(fo.BINS - 1):
+                    left = binned[rows, f] <= cut
+                    a = np.array([(times[rows][left] * (y[rows][left] == c)).sum() * weight[c] for c in (0, 1)])
+                    if a.sum() and (w - a).sum() > 1e-9:
+                        gain = gini(w) - (a.sum() * gini(a) + (w - a).sum() * gini(w - a)) / w.sum()
+                        if gain > best + 1e-13:
+                            best, found = gain, (f, cut)
+        if found is None:
+            return {heap: (None, w[1] / w.sum())}
+        f, cut = found
+        left = binned[rows, f] <= cut
+        return {heap: (f, cut), **leaf(rows[left], 2 * heap), **leaf(rows[~left], 2 * heap + 1)}
+
+    nodes = leaf(np.flatnonzero(times), heap)
+
+    def value(row):
+        at = heap
+        while nodes[at][0] is not None:
+            at = 2 * at + int(binned[row, nodes[at][0]] > nodes[at][1])
+        return nodes[at][1]
+    return np.array([value(i) for i in range(len(x))])
+
+
+def forest_scores(model, rows):
+    from pyspark.ml.functions import vector_to_array
+    return np.array([r[0] for r in model.transform(rows).orderBy("sample_id").select(vector_to_array("probability")[1]).collect()])
+
+
+@pytest.mark.parametrize("node_rows", [1 << 15, 60])
+def test_forest_is_that_of_a_plain_loop(spark, node_rows):
+    from fragloom.operators import forest as fo
+    x, y, rows = forest_rows(spark, 300, 5)
+    weights = {0: 300 / (2 * 200), 1: 300 / (2 * 100)}
+    model = fo.fit_forest(rows, weights, 300, 4, 6, 7, node_rows)
+    key = np.array([r[0] for r in rows.orderBy("sample_id").select(F.xxhash64("sample_id")).collect()])
+    expected = np.mean([plain_tree(x, model.cuts, fo.draws(key, t, 7), y, (weights[0], weights[1]), t, 7, 6) for t in range(4)], axis=0)
+    np.testing.assert_allclose(forest_scores(model, rows), expected, atol=1e-9)
+
+
+def test_forest_of_many_parts_is_the_same(spark, tmp_path):
+    from fragloom.operators import forest as fo
+    x, y, rows = forest_rows(spark, 3000)
+    weights = {0: 0.75, 1: 1.5}
+    whole = fo.fit_forest(rows, weights, 3000, 5, 30, 7)
+    assert whole.parts.count() == 5 and len(whole.top.nodes) == 5
+    cut = fo.fit_forest(rows.repartition(7), weights, 3000, 5, 30, 7, 100)
+    assert cut.parts.count() > 100 and cut.top.part.sum() == cut.parts.count()
+    scores = forest_scores(whole, rows)
+    np.testing.assert_array_equal(scores, forest_scores(cut, rows))
+    cut.save(str(tmp_path / "f"))
+    np.testing.assert_array_equal(scores, forest_scores(fo.Forest.load(str(tmp_path / "f")), rows))
+    x, y, other = forest_rows(spark, 3000, seed=4)
+    assert ((forest_scores(whole, other) > 0.5) == y).mean() > 0.8
+
+
+def test_forest_is_as_good_as_that_of_spark(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from fragloom.operators import forest as fo
+    _, _, rows = forest_rows(spark, 1500)
+    _, y, other = forest_rows(spark, 1500, seed=5)
+    own = forest_scores(fo.fit_forest(rows, {0: 0.75, 1: 1.5}, 1500, 40, 30, 7), other)
+    weighted = rows.withColumn("weight", F.when(F.col("y") == 1, 1.5).otherwise(0.75))
+    theirs = forest_scores(RandomForestClassifier(
+        labelCol="y", numTrees=40, maxDepth=30, seed=7, featureSubsetStrategy="sqrt", weightCol="weight").fit(weighted), other)
+    area = lambda s: np.mean(s[y == 1][:, None] > s[y == 0]) + np.mean(s[y == 1][:, None] == s[y == 0]) / 2
+    assert abs(area(own) - area(theirs)) < 0.02 and abs(own.mean() - theirs.mean()) < 0.03
+
+
+def test_forest_of_equal_rows_of_one_class_and_of_none(spark):
+    from fragloom.operators import forest as fo
+    x, y = np.ones((400, 3)), np.arange(400) % 2
+    same = rows_of(spark, x, y)
+    model = fo.fit_forest(same, {0: 1.0, 1: 1.0}, 400, 3, 30, 7, 50)
+    assert model.parts.count() == 0 and len(model.top.nodes) == 3  # nothing splits: no task gets all rows
+    assert len(set(forest_scores(model, same))) == 1
+    one = rows_of(spark, x, y * 0)
+    assert set(forest_scores(fo.fit_forest(one, {0: 1.0}, 400, 3, 30, 7), one)) == {0.0}
+    with pytest.raises(ValueError):
+        fo.fit_forest(one.limit(0), {}, 0, 3, 30, 7)
