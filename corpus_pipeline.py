@@ -40,7 +40,7 @@ def mixture(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir):
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document of the mix."""
-    return encoded_digests(docs, public_tokenizers.path(VOCABULARY))
+    return encoded_digests(docs, public_tokenizers.path(VOCABULARY), apart=True)
 
 
 STAGES = [

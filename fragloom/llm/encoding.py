@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import Cache, Vocabulary
 from .lexicon import Lexicon
 from .pretokens import pre_tokens
+from .shelf import Shelf
 from .words import giving_back, pieces, small_batches, utf8
 
 #: Words in the lexicon at most; it holds speed, not results.
@@ -150,10 +151,16 @@ def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
     return rows.mapInArrow(_decode(shared, column), schema)
 
 
-def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of `docs`."""
+def encoded_digests(docs: DataFrame, path: str, apart: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of `docs`.
+
+    With `apart` the ids are written between encoding and decoding: else each task has a worker for both
+    at once, and an executor keeps twice the workers, with their memory, for the steps that follow.
+    """
     ids = encode(docs, path).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+    if apart:
+        ids = Shelf(docs.sparkSession, "encoding").keep(ids, "ids")
     return decode(ids, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -134,3 +134,14 @@ def test_memory_goes_back_after_the_encoder_is_gone(monkeypatch):
     shared = type("Shared", (), {"value": {}})
     assert sum(b.num_rows for b in encoding._encode(shared)(iter([batch]))) == 1
     assert alive == [False]
+
+
+def test_encoding_and_decoding_share_no_task(spark):
+    """Two Python steps in one task are two workers, whose memory an executor holds at the same time."""
+    from fragloom.llm.encoding import encoded_digests
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (2, "")], "doc_id long, text string")
+    done = encoded_digests(docs, public_tokenizers.path("byte_bpe_50k.json"), apart=True)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(done.collect()) == sorted(encoded_digests(docs, public_tokenizers.path("byte_bpe_50k.json")).collect())
+    assert sorted((r["doc_id"], r["n_tokens"] > 0) for r in done.collect()) == [(1, True), (2, False), (2, False)]
