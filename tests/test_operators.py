@@ -669,3 +669,38 @@ def test_forest_of_equal_rows_of_one_class_and_of_none(spark):
     assert set(forest_scores(fo.fit_forest(one, {0: 1.0}, 400, 3, 30, 7), one)) == {0.0}
     with pytest.raises(ValueError):
         fo.fit_forest(one.limit(0), {}, 0, 3, 30, 7)
+
+
+def test_boosting_starts_no_task_for_each_file(spark, monkeypatch):
+    """Hundreds of passes: 40 small parts of a table are few tasks, a large table has at most as many as cores unless they would be too large."""
+    from pyspark.ml.functions import array_to_vector
+    seen = []
+
+    class Watched:
+        def fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count(), {r["y"]: r["weight"] for r in train.distinct().collect()}))
+
+    monkeypatch.setattr(md, "_classifier", lambda *a: Watched())
+    rows = spark.range(80).selectExpr("'s' || id AS sample_id", "CAST(id % 4 = 0 AS INT) AS y", "array(double(id % 4), 1D) AS v").repartition(40)
+    rows = rows.select("sample_id", "y", array_to_vector("v").alias("features"))
+    md.fit("gradient_boosting", rows)
+    assert seen == [(1, 80, {0: 80 / 120, 1: 2.0})]
+    assert md.training_tasks(0, 12) == 1
+    assert md.training_tasks(10 << 20, 12) == 12
+    assert md.training_tasks(3 << 19, 12) == 3
+    assert md.training_tasks(1 << 30, 12) == 128
+
+
+def test_fold_vectors_are_made_by_many_tasks_and_not_joined(spark):
+    """Vectors are far larger than what they are made of: they are joined to nothing, and their tasks are not merged."""
+    features = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 3.0), ("b", "y", 4.0), (None, "x", 1.0)], "sample_id string, feature_name string, value double")
+    index = spark.createDataFrame([(0, 0, "x", 2.0, 1.0), (1, 0, "x", 5.0, 2.0), (1, 1, "y", 7.0, 1.0)], "fit_fold int, idx int, feature_name string, fill double, scale double")
+    samples = spark.createDataFrame([("a", 0, "p"), ("b", 1, "q"), ("c", 0, None), ("b", 1, "q"), (None, 0, "r")], "sample_id string, y int, label string")
+    vectors = md.fold_vectors(features, index, samples)
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[: plan.index("MapInArrow")]
+    assert vectors.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = sorted((r["sample_id"], r["fit_fold"], r["y"], r["label"] or "", tuple(r["features"])) for r in vectors.collect())
+    assert found == sorted([
+        ("a", 0, 0, "p", (1.0,)), ("a", 1, 0, "p", (0.5, 7.0)), ("c", 0, 0, "", (2.0,)), ("c", 1, 0, "", (2.5, 7.0)),
+        *2 * [("b", 0, 1, "q", (3.0,)), ("b", 1, 1, "q", (1.5, 4.0))]])
