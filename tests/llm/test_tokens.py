@@ -145,3 +145,19 @@ def test_encoding_and_decoding_share_no_task(spark):
     assert plan.count("MapInArrow") == 1
     assert sorted(done.collect()) == sorted(encoded_digests(docs, public_tokenizers.path("byte_bpe_50k.json")).collect())
     assert sorted((r["doc_id"], r["n_tokens"] > 0) for r in done.collect()) == [(1, True), (2, False), (2, False)]
+
+
+def test_readers_hold_few_texts_and_lists_at_once(spark):
+    """A batch of 4,096 rows of ids is one array of tens of megabytes for each task of an executor."""
+    from fragloom.llm.words import small_batches
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "4096")
+        small_batches(spark)
+        assert spark.conf.get(name) == "256"
+        spark.conf.set(name, "64")
+        small_batches(spark)
+        assert spark.conf.get(name) == "64"
+    finally:
+        spark.conf.set(name, before)
