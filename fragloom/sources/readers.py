@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from fragloom import schemas as S
 from fragloom.session import stage
+from fragloom.sources import record_files
 from fragloom.sources.split_text import BGZ_SPLIT, frames
 
 # The function that places cells travels inside the task, executors need no copy of this package.
@@ -247,14 +248,18 @@ def read_reference(spark: SparkSession, path: str, chunk_size: int, tail_bases:
 def read_metadata_json(spark: SparkSession, paths) -> DataFrame:
     """One JSON record per file as (path, json, record).
 
-    Spark plans few small files for a task, by what it costs to open one; a task takes several of
-    these groups, so the number of tasks does not follow the number of files.
+    Folders are listed and files read by tasks, so the driver knows no file. Patterns, and stores that
+    Arrow does not open, are left to Spark's reader. It plans few small files for a task, by what it costs to
+    open one; a task takes several of these groups, so the number of tasks does not follow the number of files.
     """
+    parsed = F.from_json("json", S.METADATA_RECORD).alias("record")
+    if all(record_files.opens(p) for p in _paths(paths)):
+        return record_files.read_files(spark, _paths(paths)).select("path", "json", parsed)
     text = spark.read.text(paths, wholetext=True)
     groups = text.rdd.getNumPartitions()
     tasks = max(4 * spark.sparkContext.defaultParallelism, -(-groups // FILE_GROUPS))
-    return text.coalesce(min(max(groups, 1), tasks)).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"),
-                       F.from_json("value", S.METADATA_RECORD).alias("record"))
+    return text.coalesce(min(max(groups, 1), tasks)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("json")).select("path", "json", parsed)
 
 
 def read_alignments(spark: SparkSession, paths) -> DataFrame:

@@ -425,3 +425,41 @@ def test_cells_find_their_line_by_number():
     assert list(zip(*(c.to_pylist() for c in placed.columns))) == [
         ("sample_id", 1, "1"), ("sample_id", 3, "3"), ("b", 1, "4"), ("b", 4, "7"),
         ("a", 1, "9"), ("a", 2, "10"), ("c", 1, "11"), ("c", 2, "12")]
+
+
+def test_records_are_files_that_no_driver_lists(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from fragloom.sources import record_files as rf
+    monkeypatch.setattr(rf, "FOLDER_FILES", 10)
+    monkeypatch.setattr(rf, "HELD_FILES", 7)
+    path = str(tmp_path / "records")
+    texts = spark.range(90).select(F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit(',"sample":{"name":"ü"}}')).alias("json"))
+    for _ in range(2):  # the second time over the first
+        wr.write_metadata_json(texts, path)
+    files = [f for f in (tmp_path / "records").rglob("*") if f.is_file()]
+    assert len(files) == 90 and not any(f.name.endswith(".crc") for f in files)  # a checksum file beside each before
+    assert max(sum(f.parent == d for f in files) for d in {f.parent for f in files}) <= 10
+    got = rd.read_metadata_json(spark, path)
+    assert not got.inputFiles() or not any(f.endswith(".txt") for f in got.inputFiles())  # its plan has no file of a record
+    by_task = {r["path"]: (r["json"], r["id"], r["name"]) for r in got.select("path", "json", "record.id", "record.sample.name").collect()}
+    plain = spark.read.text(f"{path}/*/*/*.txt", wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    assert {p: x[0] for p, x in by_task.items()} == {r["path"]: r["value"] for r in plain.collect()}
+    assert sorted(x[1:] for x in by_task.values()) == [(i, "ü") for i in range(90)]
+    by_pattern = rd.read_metadata_json(spark, f"{path}/*/*/*.txt")
+    assert sorted(r["id"] for r in by_pattern.select("record.id").collect()) == list(range(90))
+    with pytest.raises(Exception, match="no such path"):
+        rd.read_metadata_json(spark, str(tmp_path / "none")).collect()
+
+
+def test_metadata_files_of_odd_names_and_kinds(spark, tmp_path):
+    import gzip
+    folder = tmp_path / "a b" / "k=1"
+    folder.mkdir(parents=True)
+    (folder / "x%1#.json").write_text('{"id":1}')
+    (folder / "y.json.gz").write_bytes(gzip.compress(b'{"id":2}'))
+    (folder / "empty.json").write_text("")
+    (folder / "_hidden.json").write_text('{"id":9}')
+    rows = rd.read_metadata_json(spark, [str(tmp_path / "a b"), str(folder / "x%1#.json")]).select("path", "json", "record.id").collect()
+    assert sorted(r["json"] for r in rows) == ['{"id":1}', '{"id":1}', '{"id":2}']
+    spark_paths = {r[0] for r in spark.read.text(str(folder), wholetext=True).select("_metadata.file_path").collect()}
+    assert {r["path"] for r in rows} == spark_paths
