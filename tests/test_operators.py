@@ -704,3 +704,33 @@ def test_fold_vectors_are_made_by_many_tasks_and_not_joined(spark):
     assert found == sorted([
         ("a", 0, 0, "p", (1.0,)), ("a", 1, 0, "p", (0.5, 7.0)), ("c", 0, 0, "", (2.0,)), ("c", 1, 0, "", (2.5, 7.0)),
         *2 * [("b", 0, 1, "q", (3.0,)), ("b", 1, 1, "q", (1.5, 4.0))]])
+
+
+def test_driver_garbage_is_collected_while_models_are_trained(spark, monkeypatch):
+    import threading
+    from fragloom import session
+    seen, twice = [], threading.Event()
+    collect = session.collect_garbage
+
+    def counted(own):
+        collect(own)
+        seen.append(threading.current_thread())
+        if len(seen) > 1:
+            twice.set()
+
+    monkeypatch.setattr(session, "COLLECT_S", 0.01)
+    monkeypatch.setattr(session, "collect_garbage", counted)
+    before = threading.active_count()
+    with session.collected(spark), session.collected(spark):  # the inner one does nothing
+        assert twice.wait(30) and len(set(seen)) == 1
+    made = len(seen)
+    assert threading.active_count() <= before and spark.range(3).count() == 3 and len(seen) == made
+    with pytest.raises(ValueError), session.collected(spark):
+        raise ValueError
+    twice.clear()
+    waited = []
+    monkeypatch.setattr(md, "fit", lambda *_: waited.append(twice.wait(30)))
+    monkeypatch.setattr(md, "score", lambda _, rows, *columns: rows)
+    rows = spark.range(6).selectExpr("0 as fit_fold", "int(id % 2) as fold").union(spark.range(6).selectExpr("1", "int(id % 2)"))
+    assert md.cross_validate("logistic_l2", rows, 2).count() == 6
+    assert waited == [True, True]  # none before: the heap grew to its limit
